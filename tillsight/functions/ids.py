@@ -21,6 +21,21 @@ def gender_letter(c: str) -> Column:
     return F.substring(F.col(c), 2, 1)
 
 
+def letter_code(letter: Column) -> Column:
+    """Code point of a one-letter text, 0 for the empty one.
+
+    As an integer it can be kept by min and max in a hash aggregate; strings would force the
+    aggregate to sort its input.
+    """
+    return F.ascii(letter)
+
+
+def letter_of(code: Column) -> Column:
+    """Inverse of letter_code."""
+    wide = F.unhex(F.lpad(F.hex(code), 8, "0"))
+    return F.when(code == 0, F.lit("")).otherwise(F.decode(wide, "UTF-32"))
+
+
 def is_quoted(c: str) -> Column:
     """True for ids of the regular form: a quote, any text, a quote."""
     return F.startswith(F.col(c), F.lit("'")) & F.endswith(F.col(c), F.lit("'")) & (F.length(c) >= 2)

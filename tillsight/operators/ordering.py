@@ -36,27 +36,23 @@ def global_sequence(df: DataFrame, order: list[Column | str], ws: Workspace) ->
 
 
 def running_sums(
-    df: DataFrame, keys: list[str], order: Column, value: str, ws: Workspace
+    df: DataFrame, keys: list[str], order: Column, values: list[str], ws: Workspace
 ) -> DataFrame:
-    """Add `before` (sum of `value` over earlier rows of the group) and `total` (over all).
+    """Add `before_<v>` (sum of v over earlier rows of the group) and `all_<v>` (over the group).
 
-    `order` must be unique within a group.
+    `order` must be unique within a group; without keys the whole frame is one group.
     """
     sliced = ws.save(df.sort(*keys, order).withColumn("_slice", F.spark_partition_id()), "slices")
     group = Window.partitionBy(*keys)
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(*keys, "_slice")
-        .agg(F.sum(value).alias("_sum"))
+        .agg(*[F.sum(v).alias(v) for v in values])
         .select(
             *keys,
             "_slice",
-            F.coalesce(
-                F.sum("_sum").over(
-                    group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("_offset"),
-            F.sum("_sum").over(group).alias("total"),
+            *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_offset_{v}") for v in values],
+            *[F.sum(v).over(group).alias(f"all_{v}") for v in values],
         )
     )
     within = (
@@ -64,9 +60,10 @@ def running_sums(
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    inside = {f"_in_{v}": F.coalesce(F.sum(v).over(within), F.lit(0)) for v in values}
     return (
-        sliced.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
+        sliced.withColumns(inside)
         .join(offsets, [*keys, "_slice"])
-        .withColumn("before", F.col("_offset") + F.col("_within"))
-        .drop("_slice", "_within", "_offset")
+        .withColumns({f"before_{v}": F.col(f"_offset_{v}") + F.col(f"_in_{v}") for v in values})
+        .drop("_slice", *inside, *[f"_offset_{v}" for v in values])
     )

@@ -1,7 +1,7 @@
 """Pair state: the one aggregate that all three rules read.
 
 One row per (merchant, customer), with counts, amount sum and the lowest and highest gender
-letter. Every column merges by sum, min or max, so the same frame serves a whole table, one
+letter as code points. Every column merges by sum, min or max, so the same frame serves a whole table, one
 chunk, or a stream's running history, and its size follows the number of pairs, not of rows.
 """
 
@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tillsight.functions.ids import is_quoted, strip_ends
+from tillsight.functions.ids import is_quoted, letter_code, strip_ends
 from tillsight.settings import Options
 from tillsight.sources.tables import normalize_transactions
 from tillsight.workspace import Workspace
@@ -30,8 +30,8 @@ def pair_aggregates(opts: Options) -> list[Column]:
         F.count(F.lit(1)).alias("n"),
         F.count("amount").alias("n_amount"),
         F.sum(amount).alias("amount"),
-        F.min("gender").alias("letter_lo"),
-        F.max("gender").alias("letter_hi"),
+        F.min(letter_code(F.col("gender"))).alias("code_lo"),
+        F.max(letter_code(F.col("gender"))).alias("code_hi"),
     ]
 
 
@@ -50,29 +50,39 @@ def merge_pairs(pairs: DataFrame, keys: list[Column]) -> DataFrame:
         F.sum("n").alias("n"),
         F.sum("n_amount").alias("n_amount"),
         F.sum("amount").alias("amount"),
-        F.min("letter_lo").alias("letter_lo"),
-        F.max("letter_hi").alias("letter_hi"),
+        F.min("code_lo").alias("code_lo"),
+        F.max("code_hi").alias("code_hi"),
     )
 
 
 @dataclass(frozen=True)
 class PairTable:
-    """Written pair state; `stray_ids` tells whether any id lacks its quotes."""
+    """Written pair state.
+
+    `stray_ids` tells whether any id lacks its quotes, `txns` counts the transactions behind it.
+    """
 
     df: DataFrame
     stray_ids: bool
+    txns: int
     scope: tuple[str, ...] = ()
 
 
-def has_stray_ids() -> Column:
-    return F.count_if(~(is_quoted("merchantId") & is_quoted("customerId")))
+def pair_facts() -> list[Column]:
+    """Aggregates that yield the facts of a PairTable."""
+    stray = F.count_if(~(is_quoted("merchantId") & is_quoted("customerId")))
+    return [stray.alias("stray"), F.sum("n").alias("txns")]
+
+
+def known_pairs(df: DataFrame, facts: dict, scope: tuple[str, ...] = ()) -> PairTable:
+    return PairTable(df, bool(facts.get("stray")), facts.get("txns") or 0, scope)
 
 
 def save_pairs(pairs: DataFrame, ws: Workspace, scope: tuple[str, ...] = ()) -> PairTable:
-    """Write the pair state, counting irregular ids in the same job."""
+    """Write the pair state, and learn its facts in the same job."""
     seen = Observation()
-    df = ws.save(pairs.observe(seen, has_stray_ids().alias("stray")), "pairs")
-    return PairTable(df, bool(seen.get.get("stray")), scope)
+    df = ws.save(pairs.observe(seen, *pair_facts()), "pairs")
+    return known_pairs(df, seen.get, scope)
 
 
 def by_stripped_ids(pairs: PairTable, opts: Options) -> DataFrame:

@@ -103,11 +103,13 @@ def lowest_weights(
         passing = F.col("weight_percentile_rank") <= limits.bottom_share
         return ranked.filter(passing).drop("weight_percentile_rank")
     rows = ws.save(weighted, "weighted")
-    values = rows.groupBy(*keys, "avg_weight").agg(F.count(F.lit(1)).alias("_rows"))
+    values = rows.groupBy(*keys, "avg_weight").agg(F.count(F.lit(1)).alias("customers"))
     order = F.col("avg_weight").asc_nulls_first()
-    summed = running_sums(values, keys, order, "_rows", ws)
+    summed = running_sums(values, keys, order, ["customers"], ws)
     cuts = ws.save(
-        summed.filter(percent(F.col("before"), F.col("total")) <= limits.bottom_share)
+        summed.filter(
+            percent(F.col("before_customers"), F.col("all_customers")) <= limits.bottom_share
+        )
         .groupBy(*keys)
         .agg(F.max("avg_weight").alias("_weight_cut")),
         "weight-cuts",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.ids import strip_ends
+from tillsight.functions.ids import letter_code, letter_of, strip_ends
 from tillsight.functions.rows import to_detections
 from tillsight.operators.pairs import PAIR, PairTable, by_stripped_ids
 from tillsight.settings import Clock, Options, Thresholds
@@ -14,11 +14,11 @@ from tillsight.sources.tables import normalize_transactions
 
 def one_letter() -> Column:
     """Exactly one distinct non-null letter: min and max skip nulls, and are null if all are."""
-    return F.col("letter_lo") == F.col("letter_hi")
+    return F.col("code_lo") == F.col("code_hi")
 
 
 def clear_customers(txns: DataFrame, opts: Options) -> DataFrame:
-    """(merchant, customer, gender) of pairs with one gender, straight from transactions.
+    """(merchant, customer, letter code) of pairs with one gender, straight from transactions.
 
     Grouping by pair with min and max replaces the distinct count, the join back to the rows
     and the distinct triple: one shuffle instead of three.
@@ -29,16 +29,19 @@ def clear_customers(txns: DataFrame, opts: Options) -> DataFrame:
     letters = (
         rows.filter(F.col("merchantId").isNotNull() & F.col("customerId").isNotNull())
         .groupBy(*PAIR)
-        .agg(F.min("gender").alias("letter_lo"), F.max("gender").alias("letter_hi"))
+        .agg(
+            F.min(letter_code(F.col("gender"))).alias("code_lo"),
+            F.max(letter_code(F.col("gender"))).alias("code_hi"),
+        )
     )
-    return letters.filter(one_letter()).select(*PAIR, F.col("letter_lo").alias("gender"))
+    return letters.filter(one_letter()).select(*PAIR, F.col("code_lo").alias("code"))
 
 
 def letter_counts(clear: DataFrame, keys: list[str]) -> DataFrame:
     """Customers of either letter per merchant, 0 where there is none."""
     return clear.groupBy(*keys).agg(
-        F.count_if(F.col("gender") == "F").cast("int").alias("F"),
-        F.count_if(F.col("gender") == "M").cast("int").alias("M"),
+        F.count_if(F.col("code") == ord("F")).cast("int").alias("F"),
+        F.count_if(F.col("code") == ord("M")).cast("int").alias("M"),
     )
 
 
@@ -50,7 +53,8 @@ def gender_distribution(clear: DataFrame, merchants: DataFrame) -> DataFrame:
     """Customers per letter of the first merchant by id, as a spot check of a detection."""
     first = merchants.select("merchantId").orderBy("merchantId").limit(1)
     rows = clear.join(F.broadcast(first), "merchantId", "left_semi")  # one row
-    return rows.groupBy("gender").agg(F.count(F.lit(1)).alias("customers"))
+    counts = rows.groupBy("code").agg(F.count(F.lit(1)).alias("customers"))
+    return counts.select(letter_of(F.col("code")).alias("gender"), "customers")
 
 
 def gender_skew(
@@ -58,6 +62,6 @@ def gender_skew(
 ) -> DataFrame:
     keys = [*pairs.scope, "merchantId"]
     clear = by_stripped_ids(pairs, opts).filter(one_letter())
-    counts = letter_counts(clear.withColumn("gender", F.col("letter_lo")), keys)
+    counts = letter_counts(clear.withColumnRenamed("code_lo", "code"), keys)
     skewed = counts.filter(is_skewed(limits))
     return to_detections(skewed, "gender_skew", clock, customer=F.lit(""), scope=pairs.scope)

@@ -29,12 +29,18 @@ class Workspace:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = root or f"{shared_root(spark)}/run-{uuid.uuid4().hex}"
+        self._saved = 0
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df once and return a frame that reads it back."""
-        path = self.path(f"{name}-{uuid.uuid4().hex[:8]}")
-        df.write.parquet(path)
+        """Write df once and return a frame that reads it back.
+
+        Names are numbered per workspace, so a second workspace on the same folder overwrites
+        the first one's tables in turn.
+        """
+        self._saved += 1
+        path = self.path(f"{self._saved:02d}-{name}")
+        df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
