@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.schemas import DETECTION_KEYS
@@ -32,11 +32,15 @@ def keep_first(
 ) -> DataFrame:
     """The first row of each key in the given order, whole.
 
-    min of a struct aggregates map-side, so a key with very many rows is no hot group.
+    Both forms aggregate map-side, so a key with very many rows is no hot group; a plain min
+    also stays in a hash aggregate.
     """
-    rest = [c for c in detections.columns if c not in keys and c != order]
+    columns = detections.columns
+    rest = [c for c in columns if c not in keys and c != order]
+    if not rest:
+        return detections.groupBy(*keys).agg(F.min(order).alias(order)).select(*columns)
     first = detections.groupBy(*keys).agg(F.min(F.struct(order, *rest)).alias("_first"))
-    return first.select(*[F.col(f"_first.{c}") if c not in keys else F.col(c) for c in detections.columns])
+    return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}") for c in columns])
 
 
 def occurs_once(df: DataFrame, keys: list[str] = DETECTION_KEYS) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillsight.settings import Thresholds
 from tillsight.verify.queries import (
+    BUSY,
     CHUNK_ROWS,
     CLOCK,
     EVENT_CHUNK,
@@ -160,12 +161,13 @@ def everything(lim: Thresholds, scope: str = "") -> str:
 
 KEYS = "patternId, actionType, customerName, merchantId"
 CHUNK = "chunk_id, "
-FIRED = f"fired AS ({everything(EVENTS, CHUNK)})"
 FIRST = f"firsts AS (SELECT min(chunk_id) AS chunk_id, {KEYS} FROM fired GROUP BY {KEYS})"
 
 
-def fired(body: str, chunk_rows: int = CHUNK_ROWS) -> str:
-    return with_events(body, True, chunk_rows, f"{FIRED}, {FIRST}")
+def fired(body: str, chunk_rows: int = CHUNK_ROWS, lim: Thresholds = EVENTS) -> str:
+    return with_events(
+        body, True, chunk_rows, f"fired AS ({everything(lim, CHUNK)}), {FIRST}"
+    )
 
 
 NUMBERED = f"""
@@ -264,5 +266,5 @@ ORACLE: dict[str, str] = {
     "stream_cumulative": with_events(everything(EVENTS)),
     "stream_child_final": with_events(child(EVENTS)),
     "stream_emit_once": fired("SELECT * FROM firsts", STREAM_CHUNK_ROWS),
-    "stream_files": fired(STREAMED, STREAM_CHUNK_ROWS),
+    "stream_files": fired(STREAMED, STREAM_CHUNK_ROWS, BUSY),
 }

@@ -43,6 +43,7 @@ LINEITEM_LIMITS = {
 }
 LINES = LINEITEM_LIMITS["sf0.01"]
 EVENTS = Thresholds(1_000, max_avg_amount=25, min_pair_txns=8, min_female=40)
+BUSY = Thresholds(500, max_avg_amount=35, min_pair_txns=8, min_female=20)
 EVENT_CHUNK = Thresholds(150, max_avg_amount=25, min_pair_txns=3, min_female=30)
 CHUNK_ROWS = 1_000
 STREAM_CHUNK_ROWS = 2_500
@@ -211,21 +212,22 @@ def chunk_child(spark, sf):
     return chunk_detections(spark, sf, ("child",))
 
 
-def cumulative(spark, sf, patterns=PATTERNS, ws=None):
+def cumulative(spark, sf, patterns=PATTERNS, ws=None, txns=None):
     ws = ws or Workspace(spark)
-    txns = chunked_events(spark, sf, ws)
+    txns = txns or chunked_events(spark, sf, ws)
     return cum.cumulative(txns, event_importance(spark, sf), EVENTS, CLOCK, OPTS, ws, patterns)
 
 
-def fired_keys(spark, sf, ws):
+def fired_keys(spark, sf, ws, txns=None):
     """(chunk, keys) of everything that fires, written once for its several readers."""
-    return ws.save(cumulative(spark, sf, ws=ws).select("chunk_id", *DETECTION_KEYS), "fired")
+    rows = cumulative(spark, sf, ws=ws, txns=txns).select("chunk_id", *DETECTION_KEYS)
+    return ws.save(rows, "fired")
 
 
 def progress(spark, sf):
     ws = Workspace(spark)
-    fired = fired_keys(spark, sf, ws)
-    return stream_progress(chunked_events(spark, sf, ws), keep_first(fired), ws)
+    txns = chunked_events(spark, sf, ws)
+    return stream_progress(txns, keep_first(fired_keys(spark, sf, ws, txns)), ws)
 
 
 def first_detection(spark, sf):
@@ -250,14 +252,19 @@ def batches(spark, sf, flush=False):
 
 
 def live_run(
-    spark: SparkSession, sf: str, patterns, at_end=(), chunk_rows: int = STREAM_CHUNK_ROWS
+    spark: SparkSession,
+    sf: str,
+    patterns,
+    at_end=(),
+    limits: Thresholds = EVENTS,
+    chunk_rows: int = STREAM_CHUNK_ROWS,
 ) -> LiveDetector:
     """Land the events chunk by chunk and run the detector over them to the end."""
     ws = Workspace(spark)
     chunks = ws.save(chunked_events(spark, sf, ws, chunk_rows), "chunks")
     landing = ws.path("landing")
     land_in_order(chunks, landing)
-    config = LiveConfig(EVENTS, OPTS, patterns=patterns, at_end=at_end)
+    config = LiveConfig(limits, OPTS, patterns=patterns, at_end=at_end)
     live = LiveDetector(
         spark, event_importance(spark, sf), ws.path("live"), config, lambda batch_id: CLOCK
     )
@@ -284,7 +291,7 @@ def stream_emit_once(spark, sf):
 
 
 def stream_files(spark, sf):
-    live = live_run(spark, sf, ("upgrade", "gender_skew"), at_end=("child",))
+    live = live_run(spark, sf, ("upgrade", "gender_skew"), at_end=("child",), limits=BUSY)
     files = spark.read.option("header", True).csv(live.files())
     return files.fillna("", DETECTION_COLUMNS).select(
         F.col("file_id").cast("long").alias("file_id"), *DETECTION_COLUMNS
