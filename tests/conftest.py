@@ -16,7 +16,7 @@ def spark():
         builder(
             "tillsight-tests",
             **{
-                "spark.sql.shuffle.partitions": "4",
+                "spark.sql.shuffle.partitions": "2",
                 "spark.driver.memory": "6g",
                 "spark.ui.enabled": "false",
                 "spark.ui.showConsoleProgress": "false",

@@ -19,8 +19,7 @@ LIMITS = limits(min_merchant_txns=60, min_pair_txns=3, max_avg_amount=20, min_fe
 STRATEGIES = [
     Options(amount_scale=2),
     Options(amount_scale=2, window_rows=0, broadcast_rows=0, salts=4),
-    Options(amount_scale=2, window_rows=0),
-    Options(amount_scale=2, broadcast_rows=0, salts=1),
+    Options(amount_scale=2, window_rows=0, salts=1),
 ]
 
 

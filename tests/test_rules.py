@@ -10,8 +10,9 @@ from tillsight.schemas import DETECTION_COLUMNS
 
 WAYS = {
     "default": Options(),
-    "decimal": Options(amount_scale=2),
-    "sliced and salted": Options(window_rows=0, broadcast_rows=0, salts=3),
+    "sliced, salted, decimal": Options(
+        window_rows=0, broadcast_rows=0, salts=3, amount_scale=2
+    ),
 }
 
 
