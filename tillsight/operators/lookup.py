@@ -19,7 +19,7 @@ def lookup_join(
 ) -> DataFrame:
     """Equi-join in which one key may hold a large part of `big`.
 
-    `small_rows` is the counted size of `small`. Up to the broadcast bound the big side is not
+    `small_rows` is the counted size of `small`, or a proven bound on it. Up to the broadcast bound the big side is not
     shuffled at all. Beyond it both sides are shuffled on (keys, salt): each key's rows in `big`
     are spread over `salts` tasks by the hash of `spread_by`, and `small` is repeated per salt.
     """

@@ -18,18 +18,34 @@ PLACE_BITS = 33
 
 def global_sequence(df: DataFrame, order: list[Column | str], ws: Workspace) -> DataFrame:
     """Add `seq`, 1-based and gapless, in the given order; the order should be total."""
-    placed = ws.save(df.sort(*order).withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    return number_placed(ws.save(place_in_order(df, order), "sorted"), [])
+
+
+def place_in_order(df: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Sort and note each row's slice and place. To be written before it is numbered."""
+    return df.sort(*order).withColumn("_at", F.monotonically_increasing_id())
+
+
+def number_placed(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """Turn written places into `seq`, counted from 1 for each of the keys.
+
+    There is one offset per key and sort partition, a number that does not grow with the rows.
+    """
     placed = placed.withColumn("_slice", F.shiftright("_at", PLACE_BITS))
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*keys) if keys else Window
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("_slice")
+        placed.groupBy(*keys, "_slice")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select(
+            *keys, "_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+        )
     )
+    # Without keys the offsets are at most the sort's partitions, so they may be broadcast.
+    offsets = offsets if keys else F.broadcast(offsets)
     place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    # One offset per sort partition, so the broadcast is bounded by the partition count.
     return (
-        placed.join(F.broadcast(offsets), "_slice")
+        placed.join(offsets, [*keys, "_slice"])
         .withColumn("seq", F.col("_before") + place + 1)
         .drop("_slice", "_before", "_at")
     )

@@ -59,11 +59,13 @@ def merge_pairs(pairs: DataFrame, keys: list[Column]) -> DataFrame:
 class PairTable:
     """Written pair state.
 
-    `stray_ids` tells whether any id lacks its quotes, `txns` counts the transactions behind it.
+    `stray_ids` tells whether any id lacks its quotes, `rows` counts the pairs and `txns` the
+    transactions behind them.
     """
 
     df: DataFrame
     stray_ids: bool
+    rows: int
     txns: int
     scope: tuple[str, ...] = ()
 
@@ -71,11 +73,12 @@ class PairTable:
 def pair_facts() -> list[Column]:
     """Aggregates that yield the facts of a PairTable."""
     stray = F.count_if(~(is_quoted("merchantId") & is_quoted("customerId")))
-    return [stray.alias("stray"), F.sum("n").alias("txns")]
+    return [stray.alias("stray"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("txns")]
 
 
 def known_pairs(df: DataFrame, facts: dict, scope: tuple[str, ...] = ()) -> PairTable:
-    return PairTable(df, bool(facts.get("stray")), facts.get("txns") or 0, scope)
+    stray, rows, txns = (facts.get(k) or 0 for k in ("stray", "rows", "txns"))
+    return PairTable(df, stray > 0, rows, txns, scope)
 
 
 def save_pairs(pairs: DataFrame, ws: Workspace, scope: tuple[str, ...] = ()) -> PairTable:

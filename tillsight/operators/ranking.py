@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillsight.operators.lookup import lookup_join
 from tillsight.operators.ordering import running_sums
+from tillsight.operators.pairs import PairTable
 from tillsight.settings import Options, Thresholds
 from tillsight.workspace import Workspace
 
@@ -56,22 +57,44 @@ def top_levels(levels: DataFrame, keys: list[str], limits: Thresholds) -> DataFr
 
 @dataclass(frozen=True)
 class Cuts:
-    """Smallest n in the top share, per merchant: a small written table and its sizes."""
+    """Smallest n in the top share, per merchant, with upper bounds on its sizes."""
 
     df: DataFrame
     rows: int
-    largest: int  # most top customers of any one merchant
+    largest: int  # top customers of any one merchant
+
+
+def cuts_of(top: DataFrame, keys: list[str]) -> DataFrame:
+    return top.groupBy(*keys).agg(
+        F.min("n").alias("cut"), F.sum("customers").alias("top_customers")
+    )
 
 
 def save_cuts(top: DataFrame, keys: list[str], ws: Workspace) -> Cuts:
-    df = ws.save(
-        top.groupBy(*keys).agg(
-            F.min("n").alias("cut"), F.sum("customers").alias("top_customers")
-        ),
-        "cuts",
+    """Write the cuts and count them in the same job."""
+    seen = Observation()
+    counted = cuts_of(top, keys).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.max("top_customers").alias("largest")
     )
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.max("top_customers").alias("largest")).first()
-    return Cuts(df, size["rows"], size["largest"] or 0)
+    df = ws.save(counted, "cuts")
+    return Cuts(df, seen.get.get("rows") or 0, seen.get.get("largest") or 0)
+
+
+def pair_cuts(
+    pairs: PairTable, keys: list[str], limits: Thresholds, opts: Options, ws: Workspace
+) -> Cuts:
+    """Cuts of written pair state.
+
+    An eligible merchant has at least `min_merchant_txns` transactions, so the totals known from
+    writing the pair state bound the number of cuts, and the number of pairs bounds every
+    merchant's customers. Where those bounds do, the cuts stay part of the final plan; otherwise
+    they are written and counted.
+    """
+    top = top_levels(count_levels(pairs.df, keys), keys, limits)
+    most = pairs.txns // max(limits.min_merchant_txns, 1)
+    if most <= opts.broadcast_rows and pairs.rows <= opts.window_rows:
+        return Cuts(cuts_of(top, keys), most, pairs.rows)
+    return save_cuts(top, keys, ws)
 
 
 def average_weights(importance: DataFrame) -> DataFrame:

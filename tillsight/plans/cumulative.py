@@ -22,11 +22,11 @@ from tillsight.operators.pairs import (
     pair_state,
     save_pairs,
 )
-from tillsight.operators.ranking import average_weights, lowest_weights, save_cuts, top_levels
+from tillsight.operators.ranking import lowest_weights, save_cuts, top_levels
 from tillsight.plans.child import is_child
 from tillsight.plans.gender_skew import is_skewed, one_letter
+from tillsight.plans.upgrade import pair_weights
 from tillsight.settings import PATTERNS, Clock, Options, Thresholds
-from tillsight.sources.tables import normalize_importance
 from tillsight.workspace import Workspace
 
 SCOPE = ("chunk_id",)
@@ -213,7 +213,7 @@ def cumulative_upgrade(
         floors.count(),
         opts,
     ).filter(F.col("n") >= F.col("floor"))
-    weights = average_weights(normalize_importance(importance, opts))
+    weights = pair_weights(importance, opts)
     known = reach.select("chunk_id", "next_chunk", "since", "n", *PAIR).join(weights, list(PAIR))
     spread = each_chunk(known, F.greatest("chunk_id", "since"), history).drop("since")
     top = lookup_join(spread, cuts.df, keys, "customerId", cuts.rows, opts).filter(

@@ -10,27 +10,27 @@ from pyspark.sql import functions as F
 from tillsight.operators.pairs import PairTable, pair_state, save_pairs
 from tillsight.plans.child import child
 from tillsight.plans.gender_skew import gender_skew
-from tillsight.plans.upgrade import upgrade
+from tillsight.plans.upgrade import pair_weights, upgrade
 from tillsight.settings import PATTERNS, Clock, Options, Thresholds
 from tillsight.workspace import Workspace
 
 
 def detect_on_pairs(
     pairs: PairTable,
-    importance: DataFrame | None,
+    weights: DataFrame | None,
     limits: Thresholds,
     clock: Clock,
     opts: Options,
     ws: Workspace,
     patterns: tuple[str, ...] = PATTERNS,
 ) -> DataFrame:
-    """Union of the chosen rules over written pair state."""
+    """Union of the chosen rules over written pair state and average weights per pair."""
     unknown = set(patterns) - set(PATTERNS)
     if unknown or not patterns:
         raise ValueError(f"patterns must be some of {PATTERNS}, not {patterns}")
     found = []
     if "upgrade" in patterns:
-        found.append(upgrade(pairs, importance, limits, clock, opts, ws))
+        found.append(upgrade(pairs, weights, limits, clock, opts, ws))
     if "child" in patterns:
         found.append(child(pairs.df, limits, clock, opts, pairs.scope))
     if "gender_skew" in patterns:
@@ -54,7 +54,8 @@ def detect(
     """
     ws = ws or Workspace(txns.sparkSession)
     pairs = save_pairs(pair_state(txns, opts, scope), ws, scope)
-    return detect_on_pairs(pairs, importance, limits, clock, opts, ws, patterns)
+    weights = pair_weights(importance, opts) if "upgrade" in patterns else None
+    return detect_on_pairs(pairs, weights, limits, clock, opts, ws, patterns)
 
 
 def detections_by_pattern(detections: DataFrame) -> DataFrame:

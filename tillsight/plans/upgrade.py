@@ -13,7 +13,7 @@ from tillsight.operators.ranking import (
     average_weights,
     count_levels,
     lowest_weights,
-    save_cuts,
+    pair_cuts,
     top_levels,
 )
 from tillsight.settings import Clock, Options, Thresholds
@@ -46,6 +46,11 @@ def pair_counts(txns: DataFrame, opts: Options) -> DataFrame:
     return pair_state(txns, opts).select(*PAIR, F.col("n").alias("txn_count"))
 
 
+def pair_weights(importance: DataFrame, opts: Options) -> DataFrame:
+    """Average weight per pair from a raw importance table."""
+    return average_weights(normalize_importance(importance, opts))
+
+
 def top_customers_ranked(
     pairs: PairTable, limits: Thresholds, opts: Options, ws: Workspace
 ) -> DataFrame:
@@ -67,24 +72,23 @@ def top_customers(pairs: PairTable, cuts: Cuts, opts: Options) -> DataFrame:
 
 
 def weighted_top_customers(
-    pairs: PairTable, importance: DataFrame, limits: Thresholds, opts: Options, ws: Workspace
+    pairs: PairTable, weights: DataFrame, limits: Thresholds, opts: Options, ws: Workspace
 ) -> tuple[DataFrame, Cuts]:
     """Top customers that have importance rows, with their average weight."""
     keys = [*pairs.scope, "merchantId"]
-    cuts = save_cuts(top_levels(count_levels(pairs.df, keys), keys, limits), keys, ws)
-    weights = average_weights(normalize_importance(importance, opts))
+    cuts = pair_cuts(pairs, keys, limits, opts, ws)
     return top_customers(pairs, cuts, opts).join(weights, list(PAIR)), cuts
 
 
 def upgrade(
     pairs: PairTable,
-    importance: DataFrame,
+    weights: DataFrame,
     limits: Thresholds,
     clock: Clock,
     opts: Options,
     ws: Workspace,
 ) -> DataFrame:
     keys = [*pairs.scope, "merchantId"]
-    weighted, cuts = weighted_top_customers(pairs, importance, limits, opts, ws)
+    weighted, cuts = weighted_top_customers(pairs, weights, limits, opts, ws)
     low = lowest_weights(weighted, keys, cuts.largest, limits, opts, ws)
     return to_detections(low, "upgrade", clock, scope=pairs.scope)

@@ -7,9 +7,10 @@ Everything a micro-batch writes is keyed by its id and overwritten if the batch
 reads only what earlier batches wrote. So results are the same after any restart.
 
     state/slot=<0|1>        the newest snapshot and the one before
-    emitted/step=<s>        detections with their sequence number; s = 2 * batch id,
-                            odd steps hold what is added when a run is closed
-    progress/step=<s>       rows and detections so far
+    emitted/step=<s>        detections in order; s = 2 * batch id, odd steps hold what is
+                            added when a run is closed
+    weights                 average importance per pair, from the static table
+    progress/step=<s>       rows and detections so far; makes the step's detections visible
     files/file_id=<i>       CSV files of exactly 50 detections
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillsight.functions.times import read_clock
 from tillsight.operators.batches import FILE_ROWS, file_of, write_files
 from tillsight.operators.dedup import not_seen
-from tillsight.operators.ordering import global_sequence
+from tillsight.operators.ordering import number_placed, place_in_order
 from tillsight.operators.pairs import (
     PAIR,
     PairTable,
@@ -37,18 +38,13 @@ from tillsight.operators.pairs import (
     save_pairs,
 )
 from tillsight.plans.detect import detect_on_pairs
+from tillsight.plans.upgrade import pair_weights
 from tillsight.schemas import DETECTION_COLUMNS, DETECTIONS
 from tillsight.settings import PATTERNS, Clock, Options, Thresholds
 from tillsight.sources.tables import normalize_transactions
 from tillsight.workspace import Workspace
 
-EMITTED = T.StructType(
-    [
-        *DETECTIONS.fields,
-        T.StructField("seq", T.LongType()),
-        T.StructField("file_id", T.LongType()),
-    ]
-)
+EMITTED = T.StructType([*DETECTIONS.fields, T.StructField("_at", T.LongType())])
 PROGRESS = T.StructType(
     [
         T.StructField("total_rows", T.LongType()),
@@ -111,6 +107,8 @@ class LiveDetector:
         self.out = out.rstrip("/")
         self.config = config
         self.clock = clock
+        self._last: tuple[int, Totals] | None = None
+        self._weights: DataFrame | None = None
         self._write(self._empty(EMITTED), "emitted", -1)
         self._write(self._empty(PROGRESS), "progress", -1)
 
@@ -126,9 +124,19 @@ class LiveDetector:
     def _empty(self, schema: T.StructType) -> DataFrame:
         return self.spark.createDataFrame([], schema).coalesce(1)
 
-    def emitted(self) -> DataFrame:
-        """All detections so far, with sequence, file and step."""
-        return self._read("emitted", EMITTED)
+    def emitted(self, after: int = 0) -> DataFrame:
+        """Detections with a sequence number above `after`, with sequence, file and step."""
+        known = self.progress().filter(F.col("total_detections") > after)
+        known = known.select("step", (F.col("total_detections") - F.col("detections")).alias("_base"))
+        placed = self._read("emitted", EMITTED).join(known, "step")
+        seq = F.col("seq") + F.col("_base")
+        return (
+            number_placed(placed, ["step"])
+            .withColumn("seq", seq)
+            .drop("_base")
+            .filter(F.col("seq") > after)
+            .withColumn("file_id", file_of(F.col("seq"), self.config.file_rows))
+        )
 
     def progress(self) -> DataFrame:
         return self._read("progress", PROGRESS)
@@ -151,21 +159,38 @@ class LiveDetector:
     def _snapshot(self, batch: DataFrame, batch_id: int, ws: Workspace) -> PairTable:
         if self.config.scope == "chunk":
             return save_pairs(pair_state(batch, self.config.opts), ws)
-        batch.write.mode("overwrite").parquet(self._state_path(batch_id))
-        return self._state(batch_id)
+        seen = Observation()
+        path = self._state_path(batch_id)
+        batch.observe(seen, *pair_facts()).write.mode("overwrite").parquet(path)
+        return known_pairs(self.spark.read.schema(batch.schema).parquet(path), seen.get)
 
     def _detect(
         self, pairs: PairTable, batch_id: int, start: str, patterns: tuple[str, ...], ws: Workspace
     ) -> DataFrame:
         clock = self.clock(batch_id) if self.clock else Clock(start, read_clock(self.spark))
         limits, opts = self.config.limits, self.config.opts
-        return detect_on_pairs(pairs, self.importance, limits, clock, opts, ws, patterns)
+        weights = self._pair_weights() if "upgrade" in patterns else None
+        return detect_on_pairs(pairs, weights, limits, clock, opts, ws, patterns)
+
+    def _pair_weights(self) -> DataFrame:
+        """Average weights, computed once per detector and read by every micro-batch."""
+        if self._weights is None:
+            weights = pair_weights(self.importance, self.config.opts)
+            path = f"{self.out}/weights"
+            weights.write.mode("overwrite").parquet(path)
+            self._weights = self.spark.read.schema(weights.schema).parquet(path)
+        return self._weights
 
     def _start_time(self) -> str:
         return "" if self.clock else read_clock(self.spark)
 
     def _totals(self, step: int) -> Totals:
-        """Totals over earlier steps, and whether this step was completed before."""
+        """Totals over earlier steps, and whether this step was completed before.
+
+        Right after a batch of this detector they are known; otherwise they are read.
+        """
+        if self._last and self._last[0] == step - 2:
+            return self._last[1]
         earlier = F.col("step") < step
         row = (
             self.progress()
@@ -191,7 +216,7 @@ class LiveDetector:
         pairs = self._snapshot(batch, batch_id, ws)
         found = self._detect(pairs, batch_id, start, self.config.patterns, ws)
         rows = pairs.txns + (totals.rows if self.config.scope == "chunk" else 0)
-        self._emit(found, step, totals, rows, ws)
+        self._emit(found, step, totals, rows)
 
     def _emit(
         self,
@@ -199,41 +224,35 @@ class LiveDetector:
         step: int,
         totals: Totals,
         rows: int,
-        ws: Workspace,
         flush: bool = False,
     ) -> None:
-        """Number new detections after the earlier ones, store them, write the files they fill.
+        """Store new detections in order, tell their number, write the files they fill.
 
-        The progress row comes last: it marks the step as complete.
+        Spark repeats the whole batch if any part of this fails.
         """
-        size = self.config.file_rows
         if self.config.emit_once:
-            found = not_seen(found, self.emitted().filter(F.col("step") < step))
+            earlier = self._read("emitted", EMITTED).filter(F.col("step") < step)
+            found = not_seen(found, earlier)
         seen = Observation()
-        numbered = (
-            global_sequence(found.select(*DETECTION_COLUMNS), ORDER, ws)
-            .withColumn("seq", F.col("seq") + totals.detections)
-            .withColumn("file_id", file_of(F.col("seq"), size))
-            .observe(seen, F.count(F.lit(1)).alias("rows"))
-        )
-        self._write(numbered, "emitted", step)
+        placed = place_in_order(found.select(*DETECTION_COLUMNS), ORDER)
+        self._write(placed.observe(seen, F.count(F.lit(1)).alias("rows")), "emitted", step)
         new = seen.get.get("rows") or 0
         total = totals.detections + new
-        first_open = totals.detections // size
-        end = total // size + (1 if flush and total % size else 0)
-        if end > first_open:
-            due = self.emitted().filter(
-                (F.col("step") <= step)
-                & (F.col("seq") > first_open * size)
-                & (F.col("file_id") < end)
-            )
-            write_files(due, self.files(), DETECTION_COLUMNS)
         counts = self.spark.range(0, 1, 1, 1).select(
             F.lit(rows).cast("long").alias("total_rows"),
             F.lit(new).cast("long").alias("detections"),
             F.lit(total).cast("long").alias("total_detections"),
         )
         self._write(counts, "progress", step)
+        size = self.config.file_rows
+        first_open = totals.detections // size
+        end = total // size + (1 if flush and total % size else 0)
+        if end > first_open:
+            due = self.emitted(first_open * size).filter(
+                (F.col("step") <= step) & (F.col("file_id") < end)
+            )
+            write_files(due, self.files(), DETECTION_COLUMNS)
+        self._last = (step, Totals(rows, total, False))
 
     # Running
 
@@ -270,7 +289,7 @@ class LiveDetector:
             start = self._start_time()
             state = self._state(batch_id)
             found = self._detect(state, batch_id, start, self.config.at_end, ws)
-        self._emit(found, step, totals, totals.rows, ws, flush=True)
+        self._emit(found, step, totals, totals.rows, flush=True)
 
     def run(self, stream: DataFrame) -> None:
         """Consume what is there, in order, and close."""

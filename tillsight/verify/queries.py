@@ -120,7 +120,11 @@ def upgrade_stage_top_txn(spark, sf):
 def upgrade_stage_weights(spark, sf):
     ws = Workspace(spark)
     weighted, _ = up.weighted_top_customers(
-        line_pairs(spark, sf, ws), lineitem_importance(spark, sf), LINES, OPTS, ws
+        line_pairs(spark, sf, ws),
+        up.pair_weights(lineitem_importance(spark, sf), OPTS),
+        LINES,
+        OPTS,
+        ws,
     )
     return weighted.withColumn("avg_weight", F.round("avg_weight", 6))
 
@@ -275,8 +279,8 @@ def live_run(
 def stream_cumulative(spark, sf):
     live = live_run(spark, sf, ("gender_skew",))
     ws = Workspace(spark)
-    importance = event_importance(spark, sf)
-    return detect_on_pairs(live.final_state(), importance, EVENTS, CLOCK, OPTS, ws)
+    weights = up.pair_weights(event_importance(spark, sf), OPTS)
+    return detect_on_pairs(live.final_state(), weights, EVENTS, CLOCK, OPTS, ws)
 
 
 def stream_child_final(spark, sf):
