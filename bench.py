@@ -45,7 +45,7 @@ def cumulative(spark, sf):
 HEADLINE = {
     "all_detections": rule("upgrade", "child", "gender_skew"),
     "upgrade": rule("upgrade"),
-    "child": q.child_rows,
+    "child": rule("child"),
     "gender_skew": rule("gender_skew"),
     "pair_txn_counts": q.pair_txn_counts,
     "gender_counts": q.gender_counts,

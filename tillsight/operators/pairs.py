@@ -14,44 +14,53 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillsight.functions.ids import is_quoted, letter_code, strip_ends
-from tillsight.settings import Options
+from tillsight.settings import PATTERNS, Options
 from tillsight.sources.tables import normalize_transactions
 from tillsight.workspace import Workspace
 
 PAIR = ("merchantId", "customerId")
 
 
-def pair_aggregates(opts: Options) -> list[Column]:
-    """Aggregates over normalised transactions; all are incremental, also on streams."""
-    amount = F.col("amount")
-    if opts.amount_scale is not None:
-        amount = amount.cast(f"decimal({18 + opts.amount_scale},{opts.amount_scale})")
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.count("amount").alias("n_amount"),
-        F.sum(amount).alias("amount"),
-        F.min(letter_code(F.col("gender"))).alias("code_lo"),
-        F.max(letter_code(F.col("gender"))).alias("code_hi"),
-    ]
+# How each column of the state merges.
+MERGE = {"n": F.sum, "n_amount": F.sum, "amount": F.sum, "code_lo": F.min, "code_hi": F.max}
 
 
-def pair_state(txns: DataFrame, opts: Options, scope: tuple[str, ...] = ()) -> DataFrame:
+def pair_aggregates(opts: Options, patterns: tuple[str, ...] = PATTERNS) -> list[Column]:
+    """What the patterns need of normalised transactions; all incremental, also on streams.
+
+    Exact amounts are summed as whole numbers of the smallest unit, which costs no more than
+    doubles; a sum that does not fit a long is an error.
+    """
+    found = [F.count(F.lit(1)).alias("n")]
+    if "child" in patterns:
+        amount = F.col("amount")
+        if opts.amount_scale is not None:
+            amount = F.rint(amount * F.lit(float(10**opts.amount_scale))).cast("long")
+        found += [F.count("amount").alias("n_amount"), F.sum(amount).alias("amount")]
+    if "gender_skew" in patterns:
+        code = letter_code(F.col("gender"))
+        found += [F.min(code).alias("code_lo"), F.max(code).alias("code_hi")]
+    return found
+
+
+def pair_state(
+    txns: DataFrame,
+    opts: Options,
+    scope: tuple[str, ...] = (),
+    patterns: tuple[str, ...] = PATTERNS,
+) -> DataFrame:
     """Aggregate raw transactions to pairs, within each value of the scope columns.
 
     Map-side partial aggregation collapses a hot pair before the shuffle.
     """
     rows = normalize_transactions(txns, opts, scope)
-    return rows.groupBy(*scope, *PAIR).agg(*pair_aggregates(opts))
+    return rows.groupBy(*scope, *PAIR).agg(*pair_aggregates(opts, patterns))
 
 
 def merge_pairs(pairs: DataFrame, keys: list[Column]) -> DataFrame:
     """Merge pair rows that share new keys."""
     return pairs.groupBy(*keys).agg(
-        F.sum("n").alias("n"),
-        F.sum("n_amount").alias("n_amount"),
-        F.sum("amount").alias("amount"),
-        F.min("code_lo").alias("code_lo"),
-        F.max("code_hi").alias("code_hi"),
+        *[merge(c).alias(c) for c, merge in MERGE.items() if c in pairs.columns]
     )
 
 
@@ -103,8 +112,16 @@ def by_stripped_ids(pairs: PairTable, opts: Options) -> DataFrame:
     return merge_pairs(stripped, [F.col(c) for c in (*pairs.scope, *PAIR)])
 
 
+def average_amount(opts: Options) -> Column:
+    average = F.try_divide(F.col("amount").cast("double"), F.col("n_amount"))
+    return average if opts.amount_scale is None else average / F.lit(float(10**opts.amount_scale))
+
+
 def average_below(limit: float, opts: Options) -> Column:
-    """`average amount < limit`, exact when amounts are kept as decimals."""
-    if opts.amount_scale is not None:
-        return F.col("amount") < F.lit(Decimal(str(limit))) * F.col("n_amount")
-    return F.try_divide(F.col("amount"), F.col("n_amount")) < F.lit(float(limit))
+    """`average amount < limit`, without rounding when amounts are exact."""
+    if opts.amount_scale is None:
+        return average_amount(opts) < F.lit(float(limit))
+    units = Decimal(str(limit)).scaleb(opts.amount_scale)
+    units = F.lit(int(units)) if units == int(units) else F.lit(units)
+    # Multiplied up, so that nothing is divided; without amounts the sum is null and never below.
+    return F.col("amount") < units * F.col("n_amount")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillsight.operators.pairs import PairTable, pair_state, save_pairs
 from tillsight.plans.child import child
-from tillsight.plans.gender_skew import gender_skew
+from tillsight.plans.gender_skew import clear_customers, gender_skew, skewed_merchants
 from tillsight.plans.upgrade import pair_weights, upgrade
 from tillsight.settings import PATTERNS, Clock, Options, Thresholds
 from tillsight.workspace import Workspace
@@ -50,10 +50,16 @@ def detect(
 ) -> DataFrame:
     """Detections of a transaction table; with scope=("chunk_id",) of each chunk alone.
 
-    The transactions are scanned and shuffled once; every rule reads the written pair state.
+    The transactions are scanned and shuffled once; every rule reads the written pair state. A
+    single rule that reads it only once is left as one lazy plan.
     """
+    if set(patterns) == {"child"}:
+        pairs = pair_state(txns, opts, scope, patterns)
+        return child(pairs, limits, clock, opts, scope)
+    if set(patterns) == {"gender_skew"}:
+        return skewed_merchants(clear_customers(txns, opts, scope), limits, clock, scope)
     ws = ws or Workspace(txns.sparkSession)
-    pairs = save_pairs(pair_state(txns, opts, scope), ws, scope)
+    pairs = save_pairs(pair_state(txns, opts, scope, patterns), ws, scope)
     weights = pair_weights(importance, opts) if "upgrade" in patterns else None
     return detect_on_pairs(pairs, weights, limits, clock, opts, ws, patterns)
 

@@ -17,24 +17,26 @@ def one_letter() -> Column:
     return F.col("code_lo") == F.col("code_hi")
 
 
-def clear_customers(txns: DataFrame, opts: Options) -> DataFrame:
+def clear_customers(
+    txns: DataFrame, opts: Options, scope: tuple[str, ...] = ()
+) -> DataFrame:
     """(merchant, customer, letter code) of pairs with one gender, straight from transactions.
 
     Grouping by pair with min and max replaces the distinct count, the join back to the rows
     and the distinct triple: one shuffle instead of three.
     """
-    rows = normalize_transactions(txns, opts)
+    rows = normalize_transactions(txns, opts, scope)
     if opts.id_style != "clean":
         rows = rows.withColumns({c: strip_ends(c) for c in PAIR})
     letters = (
         rows.filter(F.col("merchantId").isNotNull() & F.col("customerId").isNotNull())
-        .groupBy(*PAIR)
+        .groupBy(*scope, *PAIR)
         .agg(
             F.min(letter_code(F.col("gender"))).alias("code_lo"),
             F.max(letter_code(F.col("gender"))).alias("code_hi"),
         )
     )
-    return letters.filter(one_letter()).select(*PAIR, F.col("code_lo").alias("code"))
+    return letters.filter(one_letter()).select(*scope, *PAIR, F.col("code_lo").alias("code"))
 
 
 def letter_counts(clear: DataFrame, keys: list[str]) -> DataFrame:
@@ -57,11 +59,14 @@ def gender_distribution(clear: DataFrame, merchants: DataFrame) -> DataFrame:
     return counts.select(letter_of(F.col("code")).alias("gender"), "customers")
 
 
-def gender_skew(
-    pairs: PairTable, limits: Thresholds, clock: Clock, opts: Options
+def skewed_merchants(
+    clear: DataFrame, limits: Thresholds, clock: Clock, scope: tuple[str, ...] = ()
 ) -> DataFrame:
-    keys = [*pairs.scope, "merchantId"]
-    clear = by_stripped_ids(pairs, opts).filter(one_letter())
-    counts = letter_counts(clear.withColumnRenamed("code_lo", "code"), keys)
-    skewed = counts.filter(is_skewed(limits))
-    return to_detections(skewed, "gender_skew", clock, customer=F.lit(""), scope=pairs.scope)
+    """Detections from customers of one clear gender."""
+    skewed = letter_counts(clear, [*scope, "merchantId"]).filter(is_skewed(limits))
+    return to_detections(skewed, "gender_skew", clock, customer=F.lit(""), scope=scope)
+
+
+def gender_skew(pairs: PairTable, limits: Thresholds, clock: Clock, opts: Options) -> DataFrame:
+    clear = by_stripped_ids(pairs, opts).filter(one_letter()).withColumnRenamed("code_lo", "code")
+    return skewed_merchants(clear, limits, clock, pairs.scope)

@@ -43,7 +43,8 @@ def eligible_transactions(
 
 
 def pair_counts(txns: DataFrame, opts: Options) -> DataFrame:
-    return pair_state(txns, opts).select(*PAIR, F.col("n").alias("txn_count"))
+    counts = pair_state(txns, opts, patterns=("upgrade",))
+    return counts.withColumnRenamed("n", "txn_count")
 
 
 def pair_weights(importance: DataFrame, opts: Options) -> DataFrame:

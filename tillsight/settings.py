@@ -35,7 +35,8 @@ class Options:
     id_style      "reference" keeps the quotes of ids in UPGRADE and CHILD rows and drops the
                   first and last character in DEI-NEEDED rows; "clean" removes surrounding
                   quotes on input, everywhere.
-    amount_scale  decimal places kept exactly in amount sums; None sums doubles.
+    amount_scale  decimal places of the amounts, which are then summed exactly; None sums
+                  doubles.
     broadcast_rows  a counted lookup table of at most this many rows is broadcast; a larger
                   one is joined on salted keys.
     window_rows   a ranking window may hold at most this many rows of one merchant in one

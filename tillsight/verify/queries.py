@@ -12,11 +12,10 @@ from tillsight.functions.times import ist_text
 from tillsight.operators.batches import in_files
 from tillsight.operators.chunks import assign_chunks, land_in_order, stream_progress
 from tillsight.operators.dedup import emit_once, keep_first, occurs_once
-from tillsight.operators.pairs import pair_state, save_pairs
+from tillsight.operators.pairs import average_amount, pair_state, save_pairs
 from tillsight.plans import cumulative as cum
 from tillsight.plans import gender_skew as gs
 from tillsight.plans import upgrade as up
-from tillsight.plans.child import child
 from tillsight.plans.detect import detect, detect_on_pairs, detections_by_pattern
 from tillsight.schemas import DETECTION_COLUMNS, DETECTION_KEYS
 from tillsight.settings import PATTERNS, Clock, Options, Thresholds
@@ -58,7 +57,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_pairs(spark: SparkSession, sf: str, ws: Workspace):
-    return save_pairs(pair_state(lines(spark, sf), OPTS), ws)
+    return save_pairs(pair_state(lines(spark, sf), OPTS, patterns=("upgrade",)), ws)
 
 
 def chunked_events(
@@ -138,17 +137,16 @@ def upgrade(spark, sf):
 
 def pair_amount_stats(spark, sf):
     pairs = pair_state(lines(spark, sf), OPTS)
-    average = F.try_divide(F.col("amount").cast("double"), F.col("n_amount"))
     return pairs.select(
         "customerId",
         "merchantId",
-        F.round(average, 6).alias("avg_amount"),
+        F.round(average_amount(OPTS), 6).alias("avg_amount"),
         F.col("n").alias("txn_count"),
     )
 
 
 def child_rows(spark, sf):
-    return child(pair_state(lines(spark, sf), OPTS), LINES, CLOCK, OPTS)
+    return lineitem_detections(spark, sf, ("child",))
 
 
 # DEI-NEEDED and its stages
