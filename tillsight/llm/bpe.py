@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillsight.llm.text import blocks, coded, slices, tiles
+from tillsight.llm.text import blocks, coded, map_arrow, ragged, slices, tiles
 
 # Classes of code points.
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
@@ -33,6 +34,7 @@ S_LETTER, S_NUMBER, S_OTHER, S_SHORT, S_LONG, S_SPACE, S_JOIN, S_LAST = range(8)
 # States: within a run of a class, after a joining space, letters of a contraction left, ended.
 LETTERS, NUMBERS, OTHERS, SPACES, JOIN, ONE_LEFT, TWO_LEFT, ENDED = range(8)
 N_STATES = 8
+INTS = T.ArrayType(T.IntegerType())
 COLUMN = 256
 BLOCK = 8 << 20
 CACHE_PIECES = 500_000
@@ -293,14 +295,6 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return larger
 
 
-def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """starts[0], starts[0] + 1, … as many as counts[0], then those of the next."""
-    ends = np.cumsum(counts)
-    if len(ends) == 0:
-        return np.zeros(0, dtype=np.int64)
-    return np.arange(ends[-1]) + np.repeat(starts - (ends - counts), counts)
-
-
 @functools.cache
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -366,8 +360,8 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     kept = [f for f in docs.schema.fields if f.name not in ("ids", "piece_offsets", text)]
     schema = docs.select(*[f"`{f.name}`" for f in kept]).schema
-    schema = schema.add("ids", "array<int>").add("piece_offsets", "array<int>")
-    return docs.mapInArrow(run, schema)
+    schema = schema.add("ids", INTS).add("piece_offsets", INTS)
+    return map_arrow(docs, run, schema)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -385,7 +379,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
     kept = [f for f in encoded.schema.fields if f.name not in ("decoded", ids)]
     schema = encoded.select(*[f"`{f.name}`" for f in kept]).schema.add("decoded", "binary")
-    return encoded.mapInArrow(run, schema)
+    return map_arrow(encoded, run, schema)
 
 
 def encoded_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -415,4 +409,4 @@ def encoded_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str =
                     schema.names,
                 )
 
-    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")), run, schema)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.llm import bpe
+from pyspark.sql import functions as F
+
+from tillsight.llm import bpe, host_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,3 +28,27 @@ def query(function):
 def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encoded_digests(table(spark, sf, "documents"), path)
+
+
+@query
+def op2_host_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return host_rules.judge(table(spark, sf, "documents")).select(
+        "doc_id",
+        *host_rules.COUNTS[:5],
+        "base_failed",
+        "kept",
+        "shrunk_rate",
+    )
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.trained(docs, table(spark, sf, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "sentences",
+    )

@@ -6,10 +6,12 @@ depend on how many rows Spark puts in a batch; one longer text is a block of its
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 BLOCK_BYTES = 4 << 20
 
@@ -44,6 +46,22 @@ def blocks(column, budget: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.nda
         lo = hi
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster where executors have no such folder the package is sent with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """mapInArrow with this package on the workers' path."""
+    importable(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def slices(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """An Arrow array of the byte strings that tile `data`."""
     kind = pa.binary() if offsets[-1] < 2**31 - 1 else pa.large_binary()
@@ -97,3 +115,11 @@ def total(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of `values` over each row's range."""
     running = np.concatenate([[0], np.cumsum(values)])
     return running[bounds[1:]] - running[bounds[:-1]]
+
+
+def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, … as many as counts[0], then those of the next."""
+    ends = np.cumsum(counts)
+    if len(ends) == 0:
+        return np.zeros(0, dtype=np.int64)
+    return np.arange(ends[-1]) + np.repeat(starts - (ends - counts), counts)
