@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tillsight.llm import bpe, host_rules, toxicity
+from tillsight.llm import bpe, host_rules, licenses, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +52,13 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
         "sentences",
     )
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf, "documents"))
+
+
+@query
+def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))
