@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tillsight.llm import bpe, host_rules, licenses, secret_scan, toxicity
+from tillsight.llm import (
+    bpe,
+    host_rules,
+    licenses,
+    rotated_codes,
+    secret_scan,
+    toxicity,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -62,3 +70,14 @@ def op4_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
+@query
+def op3_rotated_codes(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    return rotated_codes.search(vectors, vectors.where("vec_id % 100 = 0"))
