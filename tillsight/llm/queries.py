@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillsight.llm import (
     bpe,
     host_rules,
+    jaccard_join,
     licenses,
     rotated_codes,
     secret_scan,
@@ -81,3 +82,8 @@ def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
 def op3_rotated_codes(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
     return rotated_codes.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf, "documents"))
