@@ -14,6 +14,7 @@ from tillsight.llm import (
     host_rules,
     jaccard_join,
     licenses,
+    mixing,
     rotated_codes,
     secret_scan,
     toxicity,
@@ -87,3 +88,13 @@ def op3_rotated_codes(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf, "documents"))
+
+
+# Target shares of expected tokens by domain.
+SHARES = {"high": 0.97, "low": 0.03}
+
+
+@query
+def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    labels = mixing.quality_domains(table(spark, sf, "labels"))
+    return mixing.rates(table(spark, sf, "documents"), labels, SHARES)
