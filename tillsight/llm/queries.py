@@ -15,6 +15,7 @@ from tillsight.llm import (
     jaccard_join,
     licenses,
     mixing,
+    pii,
     rotated_codes,
     secret_scan,
     toxicity,
@@ -98,3 +99,13 @@ SHARES = {"high": 0.97, "low": 0.03}
 def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     labels = mixing.quality_domains(table(spark, sf, "labels"))
     return mixing.rates(table(spark, sf, "documents"), labels, SHARES)
+
+
+# Any string; a deployment takes its own from its secret store.
+SURROGATE_KEY = "surrogates-of-the-test-tables"
+
+
+@query
+def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return pii.replace(docs, SURROGATE_KEY, count="n_entities")
