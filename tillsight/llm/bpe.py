@@ -364,6 +364,36 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return map_arrow(docs, run, schema)
 
 
+def encoded_and_checked(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Each row with `ids`, `n_tokens` and `decoded_sha256`, the digest of the ids' bytes, in place of
+    its text."""
+    names = ("ids", "n_tokens", "decoded_sha256")
+
+    def run(batches):
+        vocab = vocabulary(path)
+        for batch in batches:
+            for lo, hi, buf, offsets in blocks(batch.column(text), BLOCK):
+                ids, bounds, _, _, _ = encode_block(vocab, buf, offsets)
+                raw, at = decode_block(vocab, ids, bounds)
+                columns = {
+                    "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
+                    "n_tokens": pa.array(np.diff(bounds)),
+                    "decoded_sha256": pa.array(_digests(raw, at), pa.string()),
+                }
+                yield _replaced(batch.slice(lo, hi - lo), columns, text)
+
+    kept = [f for f in docs.schema.fields if f.name not in (*names, text)]
+    schema = docs.select(*[f"`{f.name}`" for f in kept]).schema
+    schema = schema.add("ids", INTS).add("n_tokens", "long").add("decoded_sha256", "string")
+    return map_arrow(docs, run, schema)
+
+
+def _digests(data: np.ndarray, at: np.ndarray, less: int = 0) -> list[str]:
+    """SHA-256 of each row's bytes, without its last `less`."""
+    view, at = memoryview(np.ascontiguousarray(data)), at.tolist()
+    return [hashlib.sha256(view[a : max(a, b - less)]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Each row with the bytes of its ids as `decoded`, in place of the ids."""
 
@@ -395,17 +425,13 @@ def encoded_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str =
             for lo, hi, buf, offsets in blocks(batch.column(text), BLOCK):
                 ids, bounds, decimals, at, _ = encode_block(vocab, buf, offsets)
                 raw, raw_at = decode_block(vocab, ids, bounds)
-                view, back = memoryview(decimals), memoryview(raw)
-                of_ids = [
-                    hashlib.sha256(view[a : max(a, b - 1)]).hexdigest()
-                    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
-                ]
-                of_text = [
-                    hashlib.sha256(back[a:b]).hexdigest()
-                    for a, b in zip(raw_at[:-1].tolist(), raw_at[1:].tolist(), strict=True)
-                ]
                 yield pa.RecordBatch.from_arrays(
-                    [keys.slice(lo, hi - lo), pa.array(np.diff(bounds)), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
+                    [
+                        keys.slice(lo, hi - lo),
+                        pa.array(np.diff(bounds)),
+                        pa.array(_digests(decimals, at, 1), pa.string()),
+                        pa.array(_digests(raw, raw_at), pa.string()),
+                    ],
                     schema.names,
                 )
 

@@ -410,6 +410,56 @@ def classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", ws: Workspace | None = None
 ) -> DataFrame:
     """Per row the key, n_shingles, and component_id: the smallest key that links reach."""
+    found = classes_with_sets(docs, key, text, ws)
+    return found.select(F.col("key").alias(key), "n_shingles", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", ws: Workspace | None = None
+) -> DataFrame:
+    """The rows without those whose class has a smaller key, all columns as they are.
+
+    Rows that may have to go are told by a bitmap of hashed keys; only these are joined, so most
+    texts are not shuffled. Of rows equal in key and set one stays. Rows without a key stay, as
+    nothing tells which of them a class is named after."""
+    ws = ws or Workspace(docs.sparkSession)
+    found = ws.save(classes_with_sets(docs, key, text, ws).where("key is not null"), "classes")
+    name = F.xxhash64("key").alias("sid")
+    repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    doubtful = found.where("key != component_id").select(name).union(repeated.select(name))
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(doubtful))
+    hashed = docs.withColumn("__name", F.xxhash64(F.col(f"`{key}`")))
+
+    def part(wanted: bool):
+        def run(batches):
+            table = bits.value
+            for batch in batches:
+                at = batch.column("__name").to_numpy(zero_copy_only=False) & ((1 << BITMAP) - 1)
+                hit = (table[at >> 6] >> (at & 63)) & 1 == 1
+                hit &= batch.column(key).is_valid().to_numpy(zero_copy_only=False)
+                rows = batch.filter(pa.array(hit == wanted))
+                if not wanted:
+                    yield rows.select([c for c in rows.schema.names if c != "__name"])
+                    continue
+                for lo, hi, buf, offsets in blocks(rows.column(text)):
+                    ids = [set_id(s) if len(s) else 0 for s in shingle_sets(buf, offsets)]
+                    some = rows.slice(lo, hi - lo)
+                    yield pa.RecordBatch.from_arrays([*some.columns, pa.array(ids, pa.int64())], [*some.schema.names, "__sid"])
+
+        return run
+
+    sure = map_arrow(hashed, part(False), docs.schema)
+    unsure = map_arrow(hashed, part(True), hashed.select("*", F.lit(0).cast("long").alias("__sid")).schema)
+    kept = found.where("key = component_id").select(
+        F.col("key").alias("__key"), F.coalesce("sid", F.lit(0)).alias("__sid")
+    )
+    same = (unsure[key] == kept["__key"]) & (unsure["__sid"] == kept["__sid"])
+    stays = unsure.join(kept, same, "left_semi").dropDuplicates([key, "__sid"])
+    return sure.unionByName(stays.drop("__name", "__sid"))
+
+
+def classes_with_sets(docs: DataFrame, key: str, text: str, ws: Workspace | None) -> DataFrame:
+    """Per row `key`, `sid`, n_shingles and component_id."""
     ws = ws or Workspace(docs.sparkSession)
     docs = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -446,7 +496,7 @@ def classes(
     late = ws.save(_verified(across, sets), "late")
     if late.limit(1).count():
         roots = components(late.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), ws)
-    return _named(rows, roots).withColumnRenamed("key", key)
+    return _named(rows, roots)
 
 
 def _named(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -457,4 +507,4 @@ def _named(rows: DataFrame, roots: DataFrame) -> DataFrame:
     named = sids.join(names, "root").select("sid", "component_id")
     joined = rows.join(named, "sid", "left")
     own = F.when(F.col("sid").isNull(), F.col("key")).otherwise(F.col("component_id"))
-    return joined.select("key", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+    return joined.select("key", "sid", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))

@@ -15,6 +15,7 @@ document without evidence.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,36 +106,34 @@ def fit(rows: pa.Table, bounds: TrainingBounds, steps: int = 150) -> Model:
     label = rows.column("label").to_numpy(zero_copy_only=False).astype(np.int64)
     if len(label) == 0 or label.min() == label.max():
         return Model({}, -9.0)
-    doc_of, sentence_doc, entry_word, entry_sentence, names = 0, [], [], [], {}
-    for batch in rows.to_batches():
-        for lo, hi, buf, offsets in blocks(batch.column(rows.schema.get_field_index("text"))):
-            code, dictionary, sentence, row, _, _ = sentences(buf, offsets)
-            pair = np.unique(sentence * (len(dictionary) + 1) + code)
-            own = [features(w) for w in dictionary.to_pylist()]
-            size = np.array([len(f) for f in own], np.int64)
-            known = np.array([names.setdefault(f, len(names)) for fs in own for f in fs], np.int64)
-            at = np.concatenate([[0], np.cumsum(size)])
-            word = pair % (len(dictionary) + 1)
-            entry_sentence.append(
-                np.repeat(pair // (len(dictionary) + 1), size[word]) + sum(map(len, sentence_doc))
-            )
-            entry_word.append(known[ragged(at[word], size[word])])
-            sentence_doc.append(row + doc_of)
-            doc_of += hi - lo
-    sentence_doc, entry_word, entry_sentence = map(np.concatenate, (sentence_doc, entry_word, entry_sentence))
-    # Keep the words whose documents differ most from the labels' share, by their squared deviation.
-    in_doc = np.unique(sentence_doc[entry_sentence] * len(names) + entry_word)
-    doc, word = in_doc // len(names), in_doc % len(names)
-    docs_with = np.bincount(word, minlength=len(names))
-    toxic_with = np.bincount(word, weights=label[doc], minlength=len(names))
+    text = rows.schema.get_field_index("text")
+    docs_with, toxic_with = _document_counts(rows, text, label)
+    # Keep the features whose documents differ most from the labels' share, by squared deviation.
     share = label.mean()
-    deviation = (toxic_with - docs_with * share) ** 2 / np.maximum(docs_with * share * (1 - share), 1e-9)
-    deviation[docs_with < bounds.min_docs] = 0
-    chosen = np.argsort(-deviation, kind="stable")[: bounds.words]
-    place = np.full(len(names), -1)
-    place[chosen] = np.arange(len(chosen))
-    used = place[entry_word] >= 0
-    pair = np.unique(entry_sentence[used] * len(chosen) + place[entry_word[used]])
+    spread = max(share * (1 - share), 1e-9)
+    ranked = sorted(
+        (-((toxic_with.get(f, 0) - n * share) ** 2) / (n * spread), f) for f, n in docs_with.items() if n >= bounds.min_docs
+    )
+    chosen = [f for _, f in ranked[: bounds.words]]
+    place = {f: k for k, f in enumerate(chosen)}
+    doc_of, sentences_before = 0, 0
+    sentence_docs, pairs = [], []
+    for lo, hi, buf, offsets in _training_blocks(rows, text):
+        code, dictionary, sentence, row, _, _ = sentences(buf, offsets)
+        own = [[place[f] for f in features(w) if f in place] for w in dictionary.to_pylist()]
+        size = np.array([len(f) for f in own], np.int64)
+        flat = np.array([k for f in own for k in f], np.int64)
+        at = np.concatenate([[0], np.cumsum(size)])
+        used = np.flatnonzero(size[code] > 0) if len(code) else np.zeros(0, np.int64)
+        where, word = sentence[used], code[used]
+        entry = np.repeat(where + sentences_before, size[word]) * len(chosen) + flat[ragged(at[word], size[word])]
+        pairs.append(np.unique(entry))
+        sentence_docs.append(row + doc_of)
+        doc_of += hi - lo
+        sentences_before += len(row)
+    pair, sentence_doc = np.concatenate(pairs), np.concatenate(sentence_docs)
+    if not len(pair):
+        return Model({}, -9.0)
     word, sentence = pair % len(chosen), pair // len(chosen)
     # Sentences without a chosen word all have the bias alone: they are counted, not listed.
     active, sentence = np.unique(sentence, return_inverse=True)
@@ -168,8 +167,27 @@ def fit(rows: pa.Table, bounds: TrainingBounds, steps: int = 150) -> Model:
     theta = descend(np.append(np.zeros(len(chosen)), -6.0), everything, PENALTY)
     theta[:-1] *= theta[:-1] > 0.5
     theta = descend(theta, np.append(theta[:-1] > 0, True), 0.0)
-    by_place = list(names)
-    return Model({by_place[c]: float(w) for c, w in zip(chosen, theta) if abs(w) > 1e-3}, float(theta[-1]))
+    return Model({f: float(w) for f, w in zip(chosen, theta) if w > 1e-3}, float(theta[-1]))
+
+
+def _training_blocks(rows: pa.Table, text: int):
+    for batch in rows.to_batches():
+        yield from blocks(batch.column(text), 1 << 20)
+
+
+def _document_counts(rows: pa.Table, text: int, label: np.ndarray) -> tuple[Counter, Counter]:
+    """In how many documents, and in how many toxic ones, each feature occurs."""
+    docs_with, toxic_with, doc_of = Counter(), Counter(), 0
+    for lo, hi, buf, offsets in _training_blocks(rows, text):
+        code, dictionary, _, _, bounds, _ = sentences(buf, offsets)
+        own = [features(w) for w in dictionary.to_pylist()]
+        for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            found = {f for c in np.unique(code[a:b]).tolist() for f in own[c]}
+            docs_with.update(found)
+            if label[doc_of + k]:
+                toxic_with.update(found)
+        doc_of += hi - lo
+    return docs_with, toxic_with
 
 
 def score_block(model: Model, buf: np.ndarray, offsets: np.ndarray):
