@@ -291,18 +291,26 @@ class Archive:
         return self.size
 
     def records(self, start: int, end: int):
-        """Records that start in the range, and the gaps that begin there."""
-        at = start if start == 0 else self.next_valid(start)
+        """Records that start in the range, and the gaps that begin at 0 or after one of these.
+
+        What lies before the first record of a later range belongs to an earlier one."""
+        at, after_record = (0, False) if start == 0 else (self.next_valid(start), False)
         while at < min(end, self.size):
             try:
                 data, used = self.member(at)
                 head, block, _ = split_record(data)
                 yield {"offset": at, "length": used, "kind": "record", **parsed(head, block)}
-                at += used
+                at, after_record = at + used, True
+            except Broken as why:
+                after = self.next_valid(at + 1)
+                yield {"offset": at, "length": after - at, "kind": "gap", "reason": str(why)}
+                at, after_record = after, False
+        if after_record and at < self.size:
+            try:
+                split_record(self.member(at)[0])
             except Broken as why:
                 after = self.next_valid(at + 1)
                 yield {"offset": at, "length": after - at, "kind": "gap", "reason": str(why)}
-                at = after
 
 
 def read_archives(archives: DataFrame, limits: Limits = Limits(), payload: bool = False) -> DataFrame:
