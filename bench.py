@@ -21,7 +21,9 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 SCALE = os.path.basename(SF_DIR)
-LIMITS = q.LINEITEM_LIMITS.get(SCALE, q.LINEITEM_LIMITS["sf0.1"])
+if SCALE not in q.LINEITEM_LIMITS:
+    raise SystemExit(f"no thresholds are known for {SCALE}")
+LIMITS = q.LINEITEM_LIMITS[SCALE]
 
 
 def rule(*patterns):

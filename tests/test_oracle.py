@@ -8,7 +8,8 @@ from compare import connect, spark_rows, sql_rows
 import __spark_entry__ as contract
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+# The corpus operators have tests of their own.
+QUERIES, SQL = contract.QUERIES, contract.ORACLE
 
 
 @pytest.fixture(scope="module")

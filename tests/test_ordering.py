@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillsight.operators.batches import in_files, write_files
-from tillsight.operators.chunks import assign_chunks, land_in_order, stream_progress, write_chunks
+from tillsight.operators.chunks import assign_chunks, stream_progress, write_chunks
+from tillsight.verify.landing import land
 from tillsight.operators.ordering import global_sequence, running_sums
 from tillsight.schemas import DETECTION_COLUMNS
 
@@ -112,7 +113,7 @@ def test_chunk_files(spark, ws):
         assert len(names) == 1
         with open(f"{folder}/{names[0]}") as f:
             assert len(f.read().splitlines()) == size + 1
-    assert land_in_order(df, ws.path("landing")) == 3
+    assert land(df, ws.path("landing")) == 3
     names = [n for n in os.listdir(ws.path("landing")) if n.endswith(".csv")]
     assert len(names) == 3
 

@@ -110,7 +110,7 @@ def test_ist_text_in_any_session_zone(spark):
             assert abs(dt.datetime.fromisoformat(shown) - now.replace(tzinfo=None)) < dt.timedelta(seconds=30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    assert len(read_clock(spark)) == 19
+    assert len(read_clock()) == 19
 
 
 def test_workspace_is_below_the_shared_folder(spark):

@@ -8,13 +8,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tillsight import Clock, Options, Thresholds, Workspace, detect
-from tillsight.operators.chunks import land_in_order
 from tillsight.operators.pairs import pair_state
 from tillsight.plans.cumulative import cumulative
 from tillsight.schemas import DETECTION_COLUMNS, DETECTION_KEYS
 from tillsight.settings import PATTERNS
 from tillsight.sources.tables import stream_transactions
 from tillsight.streaming.live import LiveConfig, LiveDetector
+from tillsight.verify.landing import land
 
 SF = "/root/testdata/sf0.001"
 OPTS = Options(amount_scale=2)
@@ -79,7 +79,7 @@ def file_sizes(live):
 def test_straight_run(spark, ws, feed):
     chunks, weights, first = feed
     assert len(first) > 20 and len(set(first.values())) > 2
-    land_in_order(chunks, ws.path("landing"))
+    land(chunks, ws.path("landing"))
     live = detector(spark, weights, ws)
     live.start(stream(spark, ws), availableNow=True).awaitTermination()
     assert emitted(live) == first
@@ -111,7 +111,7 @@ def test_straight_run(spark, ws, feed):
 
 def test_restart_and_part_file(spark, ws, feed):
     chunks, weights, first = feed
-    land_in_order(chunks.filter("chunk_id < 2"), ws.path("landing"))
+    land(chunks.filter("chunk_id < 2"), ws.path("landing"))
     early = {k: c for k, c in first.items() if c < 2}
     live = detector(spark, weights, ws)
     live.run(stream(spark, ws))
@@ -129,7 +129,7 @@ def test_restart_and_part_file(spark, ws, feed):
 
 def test_failure_resumes(spark, ws, feed):
     chunks, weights, first = feed
-    land_in_order(chunks, ws.path("landing"))
+    land(chunks, ws.path("landing"))
 
     def failing(batch_id):
         if batch_id == 2:
@@ -147,7 +147,7 @@ def test_failure_resumes(spark, ws, feed):
 
 def test_child_at_the_end(spark, ws, feed):
     chunks, weights, first = feed
-    land_in_order(chunks, ws.path("landing"))
+    land(chunks, ws.path("landing"))
     live = detector(spark, weights, ws, patterns=("upgrade", "gender_skew"), at_end=("child",))
     live.run(stream(spark, ws))
     live.finish()  # closing twice changes nothing
@@ -162,7 +162,7 @@ def test_child_at_the_end(spark, ws, feed):
 
 def test_chunk_scope(spark, ws, feed):
     chunks, weights, _ = feed
-    land_in_order(chunks, ws.path("landing"))
+    land(chunks, ws.path("landing"))
     lim = Thresholds(30, max_avg_amount=40, min_pair_txns=2, min_female=1)
     config = LiveConfig(
         lim, OPTS, scope="chunk", patterns=PATTERNS, at_end=(), emit_once=False, file_rows=7
@@ -212,7 +212,7 @@ def test_repeated_batch_and_returning_detection(spark, ws):
 
 def test_polling_trigger(spark, ws, feed):
     chunks, weights, first = feed
-    land_in_order(chunks.filter("chunk_id < 1"), ws.path("landing"))
+    land(chunks.filter("chunk_id < 1"), ws.path("landing"))
     live = detector(spark, weights, ws)
     query = live.start(stream(spark, ws), processingTime="0.5 seconds")
     try:
@@ -233,3 +233,30 @@ def test_configurations_are_checked():
         LiveConfig(LIMITS, scope="chunk")
     with pytest.raises(ValueError):
         LiveConfig(LIMITS, patterns=("other",))
+
+
+def test_chunks_are_taken_in_order_of_their_numbers(spark, ws, feed):
+    chunks, weights, first = feed
+    for k in (3, 1):  # early chunks wait
+        land(chunks.filter(F.col("chunk_id") == k), ws.path("landing"))
+    live = detector(spark, weights, ws)
+    live.start(stream(spark, ws), availableNow=True).awaitTermination()
+    assert emitted(live) == {} and live.waiting() == [1, 3]
+    land(chunks.filter("chunk_id = 0"), ws.path("landing"))
+    live = detector(spark, weights, ws)
+    live.start(stream(spark, ws), availableNow=True).awaitTermination()
+    assert emitted(live) == {k: c for k, c in first.items() if c < 2} and live.waiting() == [3]
+    land(chunks.filter("chunk_id = 1"), ws.path("landing"))  # came before
+    land(chunks.filter("chunk_id = 2"), ws.path("landing"))
+    live.run(stream(spark, ws))
+    assert emitted(live) == first and live.waiting() == []
+    assert live.progress().agg(F.max("total_rows")).first()[0] == chunks.count()
+
+
+def test_rules_only_at_the_end(spark, ws, feed):
+    chunks, weights, _ = feed
+    land(chunks, ws.path("landing"))
+    live = detector(spark, weights, ws, patterns=(), at_end=("child",))
+    live.run(stream(spark, ws))
+    found = {r["patternId"] for r in live.emitted().collect()}
+    assert found == {"PatId2"}

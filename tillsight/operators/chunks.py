@@ -31,26 +31,13 @@ def stream_progress(txns: DataFrame, detections: DataFrame, ws: Workspace) -> Da
     return summed.select("chunk_id", *values, *totals)
 
 
-def write_chunks(chunked: DataFrame, path: str) -> None:
-    """Every chunk as one CSV file below `chunk_id=<k>`, all in one job."""
+def write_chunks(chunked: DataFrame, path: str, order: str = "seq") -> None:
+    """Every chunk as one CSV file below `chunk_id=<k>`, rows in order, all in one job."""
     (
         chunked.repartition("chunk_id")
+        .sortWithinPartitions("chunk_id", order)
         .write.partitionBy("chunk_id")
         .option("header", True)
         .option("emptyValue", "")
         .csv(path)
     )
-
-
-def land_in_order(chunked: DataFrame, path: str) -> int:
-    """Append the chunks to a landing folder one after another, as a producer would.
-
-    Each file is younger than the one before, which is the order a file stream reads in. One
-    chunk is one file; it holds a fixed number of rows, so one task can write it.
-    """
-    last = chunked.agg(F.max("chunk_id")).first()[0]
-    chunks = 0 if last is None else last + 1
-    for k in range(chunks):
-        one = chunked.filter(F.col("chunk_id") == k).coalesce(1)
-        one.write.mode("append").option("header", True).option("emptyValue", "").csv(path)
-    return chunks

@@ -21,22 +21,49 @@ from tillsight.workspace import Workspace
 PAIR = ("merchantId", "customerId")
 
 
+def _uneven(odd: str = "odd", amount: str = "amount", n: str = "n_amount") -> Column:
+    """Amounts that the exact sum does not hold; a sum lost to overflow counts as one."""
+    lost = F.col(amount).isNull() & (F.col(n) > F.col(odd))
+    return F.col(odd) + lost.cast("long")
+
+
 # How each column of the state merges.
-MERGE = {"n": F.sum, "n_amount": F.sum, "amount": F.sum, "code_lo": F.min, "code_hi": F.max}
+MERGE = {
+    "n": lambda c: F.sum(c),
+    "n_amount": lambda c: F.sum(c),
+    "odd": lambda c: F.sum(_uneven()),
+    "total": lambda c: F.sum(c),
+    "amount": lambda c: F.try_sum(c),
+    "code_lo": lambda c: F.min(c),
+    "code_hi": lambda c: F.max(c),
+}
+# Amounts of more units than this are not summed exactly.
+LARGEST_UNITS = 2.0**53
 
 
 def pair_aggregates(opts: Options, patterns: tuple[str, ...] = PATTERNS) -> list[Column]:
     """What the patterns need of normalised transactions; all incremental, also on streams.
 
-    Exact amounts are summed as whole numbers of the smallest unit, which costs no more than
-    doubles; a sum that does not fit a long is an error.
+    With an amount scale, amounts that are whole numbers of the smallest unit are summed as such.
+    `odd` counts the others (finer, very large, infinite or NaN); a pair that has any, or whose exact
+    sum overflows, is judged by `total`, the sum of doubles over all its amounts.
     """
     found = [F.count(F.lit(1)).alias("n")]
     if "child" in patterns:
         amount = F.col("amount")
-        if opts.amount_scale is not None:
-            amount = F.rint(amount * F.lit(float(10**opts.amount_scale))).cast("long")
-        found += [F.count("amount").alias("n_amount"), F.sum(amount).alias("amount")]
+        found.append(F.count(amount).alias("n_amount"))
+        if opts.amount_scale is None:
+            found.append(F.sum(amount).alias("amount"))
+        else:
+            unit = F.lit(float(10**opts.amount_scale))
+            units = F.rint(amount * unit)
+            # NaN compares as larger than any bound, so it is not whole either.
+            whole = (F.abs(units) <= LARGEST_UNITS) & (units / unit == amount)
+            found += [
+                F.try_sum(F.when(whole, units).cast("long")).alias("amount"),
+                F.count_if(~whole).alias("odd"),
+                F.sum(amount).alias("total"),
+            ]
     if "gender_skew" in patterns:
         code = letter_code(F.col("gender"))
         found += [F.min(code).alias("code_lo"), F.max(code).alias("code_hi")]
@@ -60,7 +87,7 @@ def pair_state(
 def merge_pairs(pairs: DataFrame, keys: list[Column]) -> DataFrame:
     """Merge pair rows that share new keys."""
     return pairs.groupBy(*keys).agg(
-        *[merge(c).alias(c) for c, merge in MERGE.items() if c in pairs.columns]
+        *[merge(F.col(c)).alias(c) for c, merge in MERGE.items() if c in pairs.columns]
     )
 
 
@@ -112,16 +139,25 @@ def by_stripped_ids(pairs: PairTable, opts: Options) -> DataFrame:
     return merge_pairs(stripped, [F.col(c) for c in (*pairs.scope, *PAIR)])
 
 
+def _exact() -> Column:
+    return _uneven() == 0
+
+
 def average_amount(opts: Options) -> Column:
-    average = F.try_divide(F.col("amount").cast("double"), F.col("n_amount"))
-    return average if opts.amount_scale is None else average / F.lit(float(10**opts.amount_scale))
+    if opts.amount_scale is None:
+        return F.try_divide(F.col("amount"), F.col("n_amount"))
+    units = F.try_divide(F.col("amount").cast("double"), F.col("n_amount"))
+    plain = F.try_divide(F.col("total"), F.col("n_amount"))
+    return F.when(_exact(), units / F.lit(float(10**opts.amount_scale))).otherwise(plain)
 
 
 def average_below(limit: float, opts: Options) -> Column:
-    """`average amount < limit`, without rounding when amounts are exact."""
+    """`average amount < limit`, without rounding where the sum is exact."""
     if opts.amount_scale is None:
         return average_amount(opts) < F.lit(float(limit))
     units = Decimal(str(limit)).scaleb(opts.amount_scale)
     units = F.lit(int(units)) if units == int(units) else F.lit(units)
     # Multiplied up, so that nothing is divided; without amounts the sum is null and never below.
-    return F.col("amount") < units * F.col("n_amount")
+    exact = F.col("amount") < units * F.col("n_amount")
+    plain = F.try_divide(F.col("total"), F.col("n_amount")) < F.lit(float(limit))
+    return F.when(_exact(), exact).otherwise(plain)

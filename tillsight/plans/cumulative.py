@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.rows import to_detections
 from tillsight.operators.lookup import lookup_join
 from tillsight.operators.pairs import (
+    MERGE,
     PAIR,
     PairTable,
     by_stripped_ids,
@@ -56,16 +57,8 @@ def pair_versions(per_chunk: DataFrame) -> DataFrame:
     The window sees one row per chunk that touches the pair, never the pair's raw rows.
     """
     ordered = Window.partitionBy(*PAIR).orderBy("chunk_id")
-    totals = running(
-        {
-            "n": F.sum("n"),
-            "n_amount": F.sum("n_amount"),
-            "amount": F.sum("amount"),
-            "code_lo": F.min("code_lo"),
-            "code_hi": F.max("code_hi"),
-        },
-        PAIR,
-    )
+    state = {c: merge(F.col(c)) for c, merge in MERGE.items() if c in per_chunk.columns}
+    totals = running(state, PAIR)
     return per_chunk.select(
         "chunk_id",
         *PAIR,

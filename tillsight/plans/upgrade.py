@@ -75,9 +75,16 @@ def top_customers(pairs: PairTable, cuts: Cuts, opts: Options) -> DataFrame:
 def weighted_top_customers(
     pairs: PairTable, weights: DataFrame, limits: Thresholds, opts: Options, ws: Workspace
 ) -> tuple[DataFrame, Cuts]:
-    """Top customers that have importance rows, with their average weight."""
+    """Top customers that have importance rows, with their average weight.
+
+    Few cuts are few merchants: then importance is cut down to these before it is averaged, as the
+    optimizer moves the semi-join below the aggregate and its shuffle.
+    """
     keys = [*pairs.scope, "merchantId"]
     cuts = pair_cuts(pairs, keys, limits, opts, ws)
+    if cuts.rows <= opts.broadcast_rows:
+        merchants = F.broadcast(cuts.df.select("merchantId").distinct())
+        weights = weights.join(merchants, "merchantId", "left_semi")
     return top_customers(pairs, cuts, opts).join(weights, list(PAIR)), cuts
 
 

@@ -37,6 +37,7 @@ def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("amount"),
         F.concat(F.lit("'"), gender, F.lit("'")).alias("gender"),
         F.col("l_quantity").alias("qty"),
+        F.col("l_discount").alias("discount"),
     )
 
 

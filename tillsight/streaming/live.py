@@ -1,14 +1,18 @@
 """Detection on a stream of chunks with Structured Streaming.
 
-Cumulative scope: a streaming aggregate keeps the pair state; each micro-batch writes it as a
-snapshot and evaluates the rules on that. Chunk scope: each micro-batch is aggregated by itself.
+A stream with a `chunk_id` is evaluated chunk by chunk in the order of these numbers, whatever order
+its files come in: each micro-batch stores the pair state of the chunks it brings, and then every
+chunk that is next in line is merged into the running state and evaluated. Early chunks wait; a chunk
+that came before is ignored. A chunk is one file. A stream without numbers goes by micro-batches,
+with a streaming aggregate as its running state. In chunk scope each chunk is evaluated alone.
 
 Everything a micro-batch writes is keyed by its id and overwritten if the batch is repeated, and it
 reads only what earlier batches wrote. So results are the same after any restart.
 
+    arrived/batch=<b>       pair state of the chunks of a micro-batch
     state/slot=<0|1>        the newest snapshot and the one before
-    emitted/step=<s>        detections in order; s = 2 * batch id, odd steps hold what is
-                            added when a run is closed
+    emitted/step=<s>        detections in order; s = 2 * chunk id (or batch id), odd steps hold what
+                            is added when a run is closed
     weights                 average importance per pair, from the static table
     progress/step=<s>       rows and detections so far; makes the step's detections visible
     files/file_id=<i>       CSV files of exactly 50 detections
@@ -32,6 +36,7 @@ from tillsight.operators.pairs import (
     PAIR,
     PairTable,
     known_pairs,
+    merge_pairs,
     pair_aggregates,
     pair_facts,
     pair_state,
@@ -109,6 +114,7 @@ class LiveDetector:
         self.clock = clock
         self._last: tuple[int, Totals] | None = None
         self._weights: DataFrame | None = None
+        self._waiting: dict[int, int] | None = None  # chunk: micro-batch it came in
         self._write(self._empty(EMITTED), "emitted", -1)
         self._write(self._empty(PROGRESS), "progress", -1)
 
@@ -167,7 +173,9 @@ class LiveDetector:
     def _detect(
         self, pairs: PairTable, batch_id: int, start: str, patterns: tuple[str, ...], ws: Workspace
     ) -> DataFrame:
-        clock = self.clock(batch_id) if self.clock else Clock(start, read_clock(self.spark))
+        clock = self.clock(batch_id) if self.clock else Clock(start, read_clock())
+        if not patterns:
+            return self._empty(DETECTIONS)
         limits, opts = self.config.limits, self.config.opts
         weights = self._pair_weights() if "upgrade" in patterns else None
         return detect_on_pairs(pairs, weights, limits, clock, opts, ws, patterns)
@@ -182,7 +190,7 @@ class LiveDetector:
         return self._weights
 
     def _start_time(self) -> str:
-        return "" if self.clock else read_clock(self.spark)
+        return "" if self.clock else read_clock()
 
     def _totals(self, step: int) -> Totals:
         """Totals over earlier steps, and whether this step was completed before.
@@ -203,6 +211,16 @@ class LiveDetector:
         )
         return Totals(row["rows"] or 0, row["detections"] or 0, row["last"] is not None and row["last"] >= step)
 
+    def _drop_files(self, first: int) -> None:
+        """Empty the files from a number on, which a withdrawn close had filled."""
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.files())
+        store = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        number = first
+        while store.exists(jvm.org.apache.hadoop.fs.Path(folder, f"file_id={number}")):
+            store.delete(jvm.org.apache.hadoop.fs.Path(folder, f"file_id={number}"), True)
+            number += 1
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """foreachBatch body; safe to repeat for the same batch id."""
         start = self._start_time()
@@ -212,12 +230,73 @@ class LiveDetector:
             # Withdraw what closing the run may have added after this batch.
             self._write(self._empty(EMITTED), "emitted", step + 1)
             self._write(self._empty(PROGRESS), "progress", step + 1)
+            self._drop_files(totals.detections // self.config.file_rows)
         ws = self._workspace(step)
         pairs = self._snapshot(batch, batch_id, ws)
         found = self._detect(pairs, batch_id, start, self.config.patterns, ws)
         rows = pairs.txns + (totals.rows if self.config.scope == "chunk" else 0)
         self._emit(found, step, totals, rows)
 
+    # Chunks in order
+
+    def _arrived(self, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.out}/arrived/batch={batch_id}")
+
+    def _done(self) -> int:
+        """The last chunk evaluated, -1 before the first."""
+        if self._last:
+            return self._last[0] // 2
+        return max(self.progress().agg(F.max("step")).first()[0] or -1, -1) // 2
+
+    def waiting(self) -> list[int]:
+        """Chunks that have come but wait for one before them."""
+        return sorted(self._waiting or {})
+
+    def process_chunks(self, batch: DataFrame, batch_id: int) -> None:
+        """foreachBatch body for a stream with chunk numbers; safe to repeat for a batch id."""
+        start = self._start_time()
+        done = self._done()
+        path = f"{self.out}/arrived/batch={batch_id}"
+        if self._waiting is None:
+            self._waiting = {}
+            if batch_id > 0:
+                known = self.spark.read.parquet(f"{self.out}/arrived").filter(F.col("batch") < batch_id)
+                self._note(known.groupBy("chunk_id").agg(F.min("batch").alias("batch")), done)
+        seen = Observation()
+        pairs = pair_state(batch, self.config.opts, ("chunk_id",))
+        pairs.observe(seen, F.count_if(F.col("chunk_id").isNull()).alias("stray")).write.mode(
+            "overwrite"
+        ).parquet(path)
+        if seen.get.get("stray"):
+            raise ValueError(f"micro-batch {batch_id} has rows without a chunk number")
+        chunks = self._arrived(batch_id).select("chunk_id").distinct()
+        self._note(chunks.withColumn("batch", F.lit(batch_id)), done)
+        while done + 1 in self._waiting:
+            done += 1
+            self._evaluate(done, self._waiting.pop(done), start)
+            start = self._start_time()
+
+    def _note(self, chunks: DataFrame, done: int) -> None:
+        """Keep the chunks still to come; of a repeated chunk the first counts."""
+        for row in chunks.filter(F.col("chunk_id") > done).collect():  # few numbers per micro-batch
+            self._waiting.setdefault(row["chunk_id"], row["batch"])
+
+    def _evaluate(self, chunk: int, batch_id: int, start: str) -> None:
+        step = 2 * chunk
+        totals = self._totals(step)
+        ws = self._workspace(step)
+        new = self._arrived(batch_id).filter(F.col("chunk_id") == chunk).drop("chunk_id")
+        if self.config.scope == "chunk":
+            pairs = save_pairs(new, ws)
+        else:
+            if chunk:
+                before = self.spark.read.schema(new.schema).parquet(self._state_path(chunk - 1))
+                new = merge_pairs(before.unionByName(new), [F.col(c) for c in PAIR])
+            pairs = self._snapshot(new, chunk, ws)
+        found = self._detect(pairs, chunk, start, self.config.patterns, ws)
+        rows = pairs.txns + (totals.rows if self.config.scope == "chunk" else 0)
+        self._emit(found, step, totals, rows)
+
     def _emit(
         self,
         found: DataFrame,
@@ -259,13 +338,15 @@ class LiveDetector:
     def start(self, stream: DataFrame, **trigger) -> StreamingQuery:
         """Start on a stream of transactions; `trigger` as for DataStreamWriter.trigger."""
         opts = self.config.opts
-        mode = "append"
-        if self.config.scope == "cumulative":
+        mode, process = "append", self.process
+        if "chunk_id" in stream.columns:
+            process = self.process_chunks
+        elif self.config.scope == "cumulative":
             stream = normalize_transactions(stream, opts).groupBy(*PAIR).agg(*pair_aggregates(opts))
             mode = "complete"
         return (
             stream.writeStream.outputMode(mode)
-            .foreachBatch(self.process)
+            .foreachBatch(process)
             .option("checkpointLocation", f"{self.out}/checkpoint")
             .trigger(**(trigger or {"availableNow": True}))
             .start()

@@ -21,7 +21,7 @@ LINE_TXN = """
                            WHEN o_custkey % 10 = 9 THEN 'E'
                            WHEN o_custkey % 10 = 4 THEN 'U'
                            WHEN o_custkey % 10 IN (0, 3, 5, 8) THEN 'F' ELSE 'M' END, '''') AS gender,
-         l_quantity AS qty
+         l_quantity AS qty, l_discount AS discount
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey"""
 
 LINE_IMP = """
@@ -222,6 +222,14 @@ ORACLE: dict[str, str] = {
         "round(avg(amount), 6) AS avg_amount, count(*) AS txn_count FROM txn GROUP BY ALL"
     ),
     "child": with_lines(child(LINES)),
+    "child_fine_amounts": with_lines(child(LINES)).replace(
+        "l_extendedprice AS amount", "l_extendedprice * (1 - l_discount) AS amount"
+    ),
+    "csv_transactions": with_lines("SELECT customer, merchant, category, amount, gender FROM txn"),
+    "csv_importance": with_lines(
+        'SELECT customerId AS "Source", merchantId AS "Target", weight AS "Weight", '
+        'transactionType AS "typeTrans" FROM imp'
+    ),
     "clear_gender_pairs": with_lines(f"SELECT merchantId, customerId FROM ({triples()})"),
     "unique_gender_triples": with_lines(triples()),
     "gender_counts": with_lines(letters()),
@@ -240,6 +248,11 @@ ORACLE: dict[str, str] = {
         f"{CHUNK_ROWS}) AS BIGINT) AS chunk_id FROM (SELECT event_id, "
         "row_number() OVER (ORDER BY ts, event_id) AS seq FROM events)"
     ),
+    "chunk_files": (
+        "SELECT event_id, seq, CAST(floor((seq - 1) / "
+        f"{CHUNK_ROWS}) AS BIGINT) AS chunk_id, CAST((seq - 1) % {CHUNK_ROWS} + 1 AS BIGINT) AS place "
+        "FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS seq FROM events)"
+    ),
     "chunk_child": with_events(child(EVENT_CHUNK, CHUNK)),
     "chunk_detections": with_events(everything(EVENT_CHUNK, CHUNK)),
     "cumulative_upgrade": with_events(upgrade(EVENTS, CHUNK), True),
@@ -255,6 +268,10 @@ ORACLE: dict[str, str] = {
            WINDOW w AS (ORDER BY chunk_id)"""
     ),
     "first_detection": fired("SELECT * FROM firsts"),
+    "first_detection_rows": fired(
+        f"SELECT chunk_id, '{CLOCK.start}' AS YStartTime, '{CLOCK.detected}' AS detectionTime, {KEYS} "
+        "FROM firsts"
+    ),
     "emit_once": fired("SELECT * FROM firsts"),
     "occurs_once": fired(
         f"SELECT min(chunk_id) AS chunk_id, {KEYS} FROM fired GROUP BY {KEYS} HAVING count(*) = 1"
@@ -266,5 +283,10 @@ ORACLE: dict[str, str] = {
     "stream_cumulative": with_events(everything(EVENTS)),
     "stream_child_final": with_events(child(EVENTS)),
     "stream_emit_once": fired("SELECT * FROM firsts", STREAM_CHUNK_ROWS),
+    "stream_any_order": fired("SELECT * FROM firsts", STREAM_CHUNK_ROWS),
+    "stream_restart": fired("SELECT * FROM firsts", STREAM_CHUNK_ROWS),
+    "stream_chunk_detections": with_events(
+        everything(EVENT_CHUNK, CHUNK), chunk_rows=STREAM_CHUNK_ROWS
+    ),
     "stream_files": fired(STREAMED, STREAM_CHUNK_ROWS, BUSY),
 }

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.ids import gender_letter, letter_of, strip_ends
 from tillsight.functions.times import ist_text
 from tillsight.operators.batches import in_files
-from tillsight.operators.chunks import assign_chunks, land_in_order, stream_progress
+from tillsight.operators.chunks import assign_chunks, stream_progress, write_chunks
 from tillsight.operators.dedup import emit_once, keep_first, occurs_once
 from tillsight.operators.pairs import average_amount, pair_state, save_pairs
 from tillsight.plans import cumulative as cum
@@ -29,8 +29,11 @@ from tillsight.sources.samples import (
 from tillsight.sources.tables import (
     normalize_importance,
     normalize_transactions,
+    read_importance,
+    read_transactions,
     stream_transactions,
 )
+from tillsight.verify.landing import land
 from tillsight.streaming.live import LiveConfig, LiveDetector
 from tillsight.workspace import Workspace
 
@@ -149,6 +152,31 @@ def child_rows(spark, sf):
     return lineitem_detections(spark, sf, ("child",))
 
 
+def child_fine_amounts(spark, sf):
+    """Amounts with more decimals than the scale, so that averages are those of doubles."""
+    txns = lines(spark, sf).withColumn("amount", F.col("amount") * (1 - F.col("discount")))
+    weights = lineitem_importance(spark, sf)
+    return detect(txns, weights, LINES, CLOCK, OPTS, patterns=("child",))
+
+
+# Sources
+
+
+def as_csv(df: DataFrame, name: str) -> str:
+    path = Workspace(df.sparkSession).path(name)
+    df.write.option("header", True).option("emptyValue", "").csv(path)
+    return path
+
+
+def csv_transactions(spark, sf):
+    columns = ["customer", "merchant", "category", "amount", "gender"]
+    return read_transactions(spark, as_csv(lines(spark, sf).select(*columns), "transactions"))
+
+
+def csv_importance(spark, sf):
+    return read_importance(spark, as_csv(lineitem_importance(spark, sf), "importance"))
+
+
 # DEI-NEEDED and its stages
 
 
@@ -202,6 +230,19 @@ def chunk_assign(spark, sf):
     return numbered.select("event_id", "seq", "chunk_id")
 
 
+def chunk_files(spark, sf):
+    """Chunks written as files and read back, with each row's place in its chunk's file."""
+    ws = Workspace(spark)
+    numbered = assign_chunks(event_transactions(spark, sf), ["ts", "event_id"], ws, CHUNK_ROWS)
+    path = ws.path("chunks")
+    write_chunks(numbered.select("event_id", "seq", "chunk_id"), path)
+    rows = spark.read.option("header", True).schema("event_id long, seq long").csv(path)
+    rows = rows.withColumn("read", F.monotonically_increasing_id())
+    # A chunk has a fixed number of rows, so its window is bounded.
+    place = F.row_number().over(Window.partitionBy("chunk_id").orderBy("read")).cast("long")
+    return rows.select("event_id", "seq", F.col("chunk_id").cast("long"), place.alias("place"))
+
+
 def chunk_detections(spark, sf, patterns=PATTERNS):
     ws = Workspace(spark)
     txns = chunked_events(spark, sf, ws)
@@ -236,6 +277,11 @@ def first_detection(spark, sf):
     return keep_first(fired_keys(spark, sf, Workspace(spark)))
 
 
+def first_detection_rows(spark, sf):
+    ws = Workspace(spark)
+    return keep_first(ws.save(cumulative(spark, sf, ws=ws), "rows"))
+
+
 def emitted_once(spark, sf):
     return emit_once(fired_keys(spark, sf, Workspace(spark)))
 
@@ -260,20 +306,51 @@ def live_run(
     at_end=(),
     limits: Thresholds = EVENTS,
     chunk_rows: int = STREAM_CHUNK_ROWS,
+    reverse: bool = False,
+    stop: bool = False,
+    **config,
 ) -> LiveDetector:
-    """Land the events chunk by chunk and run the detector over them to the end."""
+    """Land the events as chunk files and run the detector over them to the end.
+
+    With `stop` the detector ends after half of the chunks, and a new one goes on."""
     ws = Workspace(spark)
     chunks = ws.save(chunked_events(spark, sf, ws, chunk_rows), "chunks")
     landing = ws.path("landing")
-    land_in_order(chunks, landing)
-    config = LiveConfig(limits, OPTS, patterns=patterns, at_end=at_end)
-    live = LiveDetector(
-        spark, event_importance(spark, sf), ws.path("live"), config, lambda batch_id: CLOCK
-    )
-    live.run(stream_transactions(spark, landing, CHUNK_COLUMNS))
+    settings = LiveConfig(limits, OPTS, patterns=patterns, at_end=at_end, **config)
+
+    def detector() -> LiveDetector:
+        weights = event_importance(spark, sf)
+        return LiveDetector(spark, weights, ws.path("live"), settings, lambda chunk: CLOCK)
+
+    parts = [chunks]
+    if stop:
+        half = chunks.agg(F.max("chunk_id")).first()[0] // 2
+        parts = [chunks.filter(F.col("chunk_id") <= half), chunks.filter(F.col("chunk_id") > half)]
+    for part in parts:
+        land(part, landing, reverse)
+        live = detector()
+        live.run(stream_transactions(spark, landing, CHUNK_COLUMNS))
     return live
 
 
+def by_chunk(live: LiveDetector, columns: list[str]) -> DataFrame:
+    return live.emitted().select(F.floor(F.col("step") / 2).alias("chunk_id"), *columns)
+
+
+def stream_any_order(spark, sf):
+    """All files landed by one job, under names that do not follow the chunks."""
+    return by_chunk(live_run(spark, sf, PATTERNS, reverse=True), DETECTION_KEYS)
+
+
+def stream_restart(spark, sf):
+    return by_chunk(live_run(spark, sf, PATTERNS, stop=True), DETECTION_KEYS)
+
+
+def stream_chunk_detections(spark, sf):
+    live = live_run(spark, sf, PATTERNS, limits=EVENT_CHUNK, scope="chunk", emit_once=False)
+    return by_chunk(live, DETECTION_COLUMNS)
+
+
 def stream_cumulative(spark, sf):
     live = live_run(spark, sf, ("gender_skew",))
     ws = Workspace(spark)
@@ -288,8 +365,7 @@ def stream_child_final(spark, sf):
 
 
 def stream_emit_once(spark, sf):
-    found = live_run(spark, sf, PATTERNS).emitted()
-    return found.select(F.floor(F.col("step") / 2).alias("chunk_id"), *DETECTION_KEYS)
+    return by_chunk(live_run(spark, sf, PATTERNS), DETECTION_KEYS)
 
 
 def stream_files(spark, sf):
@@ -300,9 +376,9 @@ def stream_files(spark, sf):
     )
 
 
-def flagship(spark: SparkSession, sf: str, name: str = "sf0.001") -> DataFrame:
-    """All rules over lineitem, at the thresholds for that scale."""
-    return lineitem_detections(spark, sf, limits=LINEITEM_LIMITS[name])
+def flagship(spark: SparkSession, sf: str, limits: Thresholds) -> DataFrame:
+    """All rules over lineitem."""
+    return lineitem_detections(spark, sf, limits=limits)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -319,6 +395,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upgrade": upgrade,
     "pair_amount_stats": pair_amount_stats,
     "child": child_rows,
+    "child_fine_amounts": child_fine_amounts,
+    "csv_transactions": csv_transactions,
+    "csv_importance": csv_importance,
     "clear_gender_pairs": clear_gender_pairs,
     "unique_gender_triples": unique_gender_triples,
     "gender_counts": gender_counts,
@@ -328,6 +407,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detections_without_child": detections_without_child,
     "detections_by_pattern": by_pattern,
     "chunk_assign": chunk_assign,
+    "chunk_files": chunk_files,
     "chunk_child": chunk_child,
     "chunk_detections": chunk_detections,
     "cumulative_upgrade": lambda s, d: cumulative(s, d, ("upgrade",)),
@@ -335,6 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cumulative_gender_skew": lambda s, d: cumulative(s, d, ("gender_skew",)),
     "stream_progress": progress,
     "first_detection": first_detection,
+    "first_detection_rows": first_detection_rows,
     "emit_once": emitted_once,
     "occurs_once": once_only,
     "emit_batches": batches,
@@ -342,5 +423,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_cumulative": stream_cumulative,
     "stream_child_final": stream_child_final,
     "stream_emit_once": stream_emit_once,
+    "stream_any_order": stream_any_order,
+    "stream_restart": stream_restart,
+    "stream_chunk_detections": stream_chunk_detections,
     "stream_files": stream_files,
 }
