@@ -8,11 +8,14 @@ frequency, rare first, so shared passages seldom stand in a prefix.
    frequent ones, `FREQUENT` at most, order the rest of the work; any order is right.
 2. A second pass emits prefixes. Texts of equal prefix and size are one group: they are one entry in
    the lists of groups by shingle, and their members are kept apart.
-3. Group pairs of close size are read off the lists. To find classes not every pair is needed: first
-   each group is compared with its list's first and with its neighbour. Links found make classes.
-   Then, for every list whose groups are still in several classes, all pairs across classes follow,
-   cut into cells of bounded size, so no link between classes is lost and no list is one task's.
-4. Pairs of groups are expanded to members, and each is verified on its whole sets.
+3. Group pairs of close size are read off short lists. To find classes not every pair of a long list
+   is needed: first each group is compared with its neighbour in the list, and each set with the one
+   of its list that is in most lists: an original, as its copies have shingles of their own in their
+   prefixes. Links found make classes. Then, for every long list whose groups are still in several classes, all pairs
+   across classes follow, cut into cells of bounded size, so no link between classes is lost and no
+   list is one task's.
+4. Pairs of groups are expanded to members. Pairs whose parity sketches differ in more bits than
+   similar sets can differ in shingles are dropped; the rest are verified on their whole sets.
 
 Equal sets are one node throughout, so copies never become pairs. Sets are told apart by 64-bit
 digests and sizes.
@@ -38,8 +41,11 @@ SHINGLE = 5
 PERCENT = 80
 FREQUENT = 1 << 20
 CHUNK_BYTES = 4 << 20
-FLUSH = 2 << 20
+FLUSH = 1 << 20
+COUNT_BITS = 24  # shingles are counted by places of so many bits within a chunk; the order may err
 CELL = 256
+SMALL = 8  # lists of so many groups are read off pair by pair
+SKETCH_WORDS = 8  # 64-bit words of a set's parity sketch
 BITMAP = 24  # bits of an address in the candidates' bitmap
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -81,10 +87,17 @@ def set_id(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes(), seed=len(shingles)) - (1 << 63)
 
 
-def _address(h: np.ndarray, chunks: int) -> np.ndarray:
-    """Chunk and place within it, as one number that sorts by both."""
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingles by hashed place. Two sketches differ in no more bits than their sets
+    in shingles."""
+    bits = np.bincount((shingles >> np.uint64(17)).astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS)
+    return np.packbits((bits & 1).astype(np.uint8))
+
+
+def _address(h: np.ndarray, chunks: int, bits: int = 32) -> np.ndarray:
+    """Chunk and a place of so many bits within it, as one number that sorts by both."""
     chunk = ((h >> np.uint64(32)) * np.uint64(chunks)) >> np.uint64(32)
-    return chunk << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
+    return chunk << np.uint64(bits) | h & np.uint64((1 << bits) - 1)
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -97,9 +110,9 @@ def _from_planes(data: bytes, n: int, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, n).T).view(kind).ravel()
 
 
-def _by_chunk(address: np.ndarray):
+def _by_chunk(address: np.ndarray, bits: int = 32):
     """(chunk, first, end) of each run of sorted addresses."""
-    chunk = (address >> np.uint64(32)).astype(np.int64)
+    chunk = (address >> np.uint64(bits)).astype(np.int64)
     cuts = np.flatnonzero(np.diff(chunk)) + 1
     for lo, hi in zip(np.append(0, cuts).tolist(), np.append(cuts, len(chunk)).tolist(), strict=True):
         if hi > lo:
@@ -110,8 +123,8 @@ def _steps(low: np.ndarray) -> np.ndarray:
     return np.diff(low, prepend=np.uint32(0)).astype(np.uint32)
 
 
-def _low(address: np.ndarray) -> np.ndarray:
-    return (address & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def _low(address: np.ndarray, bits: int = 32) -> np.ndarray:
+    return (address & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
 def _sizes_and_counts(docs: DataFrame, chunks: int) -> DataFrame:
@@ -121,8 +134,8 @@ def _sizes_and_counts(docs: DataFrame, chunks: int) -> DataFrame:
     names = schema.names
 
     def packed(held: list[np.ndarray], kind) -> pa.RecordBatch:
-        address = np.sort(_address(np.concatenate(held), chunks))
-        low, rows = _low(address), list(_by_chunk(address))
+        address = np.sort(_address(np.concatenate(held), chunks, COUNT_BITS))
+        low, rows = _low(address, COUNT_BITS), list(_by_chunk(address, COUNT_BITS))
         blobs = [_planes(_steps(low[lo:hi])) for _, lo, hi in rows]
         none = len(rows)
         return pa.RecordBatch.from_arrays(
@@ -161,7 +174,7 @@ def _frequent(counts: DataFrame) -> DataFrame:
         low = [np.cumsum(_from_planes(b, len(b) // 4, np.uint32), dtype=np.uint32) for b in parts]
         found, n = np.unique(np.concatenate(low), return_counts=True)
         often = n >= 8
-        address = np.uint64(chunk) << np.uint64(32) | found[often].astype(np.uint64)
+        address = np.uint64(chunk) << np.uint64(COUNT_BITS) | found[often].astype(np.uint64)
         return pa.table({"address": address.astype(np.int64), "n": n[often].astype(np.int64)})
 
     return counts.groupBy("chunk").applyInArrow(run, "address long, n long")
@@ -192,7 +205,7 @@ def prefix_length(n: int) -> int:
 
 
 def _prefixes(docs: DataFrame, chunks: int, order) -> DataFrame:
-    """Packed (shingle, group, size) of prefixes, and packed (group, set, size) of members."""
+    """Packed (shingle, group, size) of prefixes, and packed (group, set, size, sketch) of members."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def packed(kind: int, key: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
@@ -207,15 +220,16 @@ def _prefixes(docs: DataFrame, chunks: int, order) -> DataFrame:
         )
 
     def flush(held):
-        sizes = np.array([len(p) for _, _, _, p in held])
-        group = np.array([g for g, _, _, _ in held], np.uint64)
-        sid = np.array([s for _, s, _, _ in held], np.int64)
-        n = np.array([n for _, _, n, _ in held], np.uint32)
+        sizes = np.array([len(h[3]) for h in held])
+        group = np.array([h[0] for h in held], np.uint64)
+        sid = np.array([h[1] for h in held], np.int64)
+        n = np.array([h[2] for h in held], np.uint32)
+        bits = np.concatenate([h[4] for h in held]).view(np.uint64).reshape(len(held), SKETCH_WORDS)
         # Texts of equal prefix and size are one entry of the lists.
         _, first = np.unique(group, return_index=True)
         tokens = np.concatenate([held[k][3] for k in first])
         yield packed(0, tokens, np.repeat(group[first], sizes[first]), np.repeat(n[first], sizes[first]))
-        yield packed(1, group, group, sid, n)
+        yield packed(1, group, group, sid, n, bits)
 
     def run(batches):
         address, often = shared.value
@@ -236,14 +250,14 @@ def _prefixes(docs: DataFrame, chunks: int, order) -> DataFrame:
                     hot = np.flatnonzero(maybe[(shingles & np.uint64((1 << 22) - 1)).astype(np.int64)])
                     if len(hot):
                         count = np.zeros(n, np.int64)
-                        sought = _address(shingles[hot], chunks)
+                        sought = _address(shingles[hot], chunks, COUNT_BITS)
                         at = np.minimum(np.searchsorted(address, sought), len(address) - 1)
                         count[hot] = np.where(address[at] == sought, often[at], 0)
                         prefix = shingles[np.argsort(count, kind="stable")[:p]]
                     else:
-                        prefix = shingles[:p]
+                        prefix = shingles[:p].copy()  # a view would keep the whole set
                     group = xxhash.xxh3_64_intdigest(np.sort(prefix).tobytes(), seed=n)
-                    held.append((group, sid, n, prefix))
+                    held.append((group, sid, n, prefix, sketch(shingles)))
                     size += p
                 if size > FLUSH // 2:
                     yield from flush(held)
@@ -259,13 +273,13 @@ PAIR, LIST, MEMBER = 0, 1, 2
 
 def _lists(packed: DataFrame) -> DataFrame:
     """Of each chunk: near group pairs (PAIR a b), lists of several groups (LIST list group size),
-    and members (MEMBER group set size)."""
+    and members (MEMBER group set size sketch)."""
 
     def run(table: pa.Table) -> pa.Table:
         out = []
         postings, members = [], []
         for kind, blob in zip(table.column("kind").to_pylist(), table.column("blob").to_pylist(), strict=True):
-            width = 16 if kind == 0 else 24
+            width = 16 if kind == 0 else 24 + 8 * SKETCH_WORDS
             n = len(blob) // width
             if kind == 0:
                 low = np.cumsum(_from_planes(blob[: 4 * n], n, np.uint32), dtype=np.uint32)
@@ -274,7 +288,9 @@ def _lists(packed: DataFrame) -> DataFrame:
             else:
                 group = _from_planes(blob[4 * n : 12 * n], n, np.uint64)
                 sid = _from_planes(blob[12 * n : 20 * n], n, np.int64)
-                members.append((group, sid, _from_planes(blob[20 * n :], n, np.uint32)))
+                size = _from_planes(blob[20 * n : 24 * n], n, np.uint32)
+                bits = np.frombuffer(blob[24 * n :], np.uint8).reshape(8 * SKETCH_WORDS, n).T
+                members.append((group, sid, size, np.ascontiguousarray(bits)))
         if postings:
             low, group, size = (np.concatenate(c) for c in zip(*postings, strict=True))
             order = np.lexsort((group, size, low))
@@ -296,23 +312,36 @@ def _lists(packed: DataFrame) -> DataFrame:
                 name, at = np.unique(mark, return_index=True)
                 start, length = start[at], length[at]
                 place = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(length.sum())
-                head = np.repeat(start, length)
                 group_of, size_of = group[place], size[place]
-                out.append((np.full(len(place), LIST), np.repeat(name, length), group_of, size_of))
-                for other in (head, np.maximum(place - 1, head)):
-                    near = (place != other) & (100 * np.minimum(size[other], size_of) >= PERCENT * np.maximum(size[other], size_of))
-                    pair = np.unique(np.stack([group[other][near], group_of[near]], axis=1), axis=0)
-                    out.append((np.full(len(pair), PAIR), pair[:, 0], pair[:, 1], np.zeros(len(pair), np.int64)))
+                head = np.repeat(np.cumsum(length) - length, length)
+                at = np.arange(len(place))
+                long = np.repeat(length > SMALL, length)
+                out.append((np.full(int(long.sum()), LIST), np.repeat(name, length)[long], group_of[long], size_of[long]))
+                pairs = []
+                for step in range(1, SMALL):
+                    near = at - step >= head
+                    near &= ~long if step > 1 else True
+                    pairs.append((at[near] - step, at[near]))
+                one, two = (np.concatenate(c) for c in zip(*pairs, strict=True))
+                near = (one != two) & (100 * np.minimum(size_of[one], size_of[two]) >= PERCENT * np.maximum(size_of[one], size_of[two]))
+                pair = np.unique(np.stack([group_of[one[near]], group_of[two[near]]], axis=1), axis=0)
+                out.append((np.full(len(pair), PAIR), pair[:, 0], pair[:, 1], np.zeros(len(pair), np.int64)))
+        sketches = [None] * sum(len(o[0]) for o in out)
         if members:
-            group, sid, size = (np.concatenate(c) for c in zip(*members, strict=True))
+            group, sid, size, bits = (np.concatenate(c) for c in zip(*members, strict=True))
             _, at = np.unique(np.stack([group.view(np.int64), sid], axis=1), axis=0, return_index=True)
             out.append((np.full(len(at), MEMBER), group[at], sid[at].view(np.uint64), size[at].astype(np.int64)))
+            words = bits[at].view(np.int64)
+            sketches += words.tolist()
         kind, a, b, n = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 4
         return pa.table(
-            {"kind": kind.astype(np.int32), "a": a.astype(np.uint64).view(np.int64), "b": b.astype(np.uint64).view(np.int64), "n": n.astype(np.int32)}
-        )
+            {
+                "kind": kind.astype(np.int32), "a": a.astype(np.uint64).view(np.int64), "b": b.astype(np.uint64).view(np.int64),
+                "n": n.astype(np.int32), "bits": pa.array(sketches, pa.list_(pa.int64())),
+            }
+        )
 
-    return packed.groupBy("chunk").applyInArrow(run, "kind int, a long, b long, n int")
+    return packed.groupBy("chunk").applyInArrow(run, "kind int, a long, b long, n int, bits array<long>")
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -327,8 +356,10 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return bits
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(sid, shingles) of the sets wanted, from another pass over the texts."""
+def _sets_of(docs: DataFrame, pairs: DataFrame, ws: Workspace) -> DataFrame:
+    """(sid, shingles) of the sets in pairs, from another pass over the texts."""
+    ids = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
+    ids = ws.save(ids, "wanted")
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
 
     def run(batches):
@@ -350,6 +381,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 )
 
     sets = map_arrow(docs.select("text"), run, "sid long, shingles binary")
+    # Not written: both joins of the verification read this one shuffle.
     return sets.join(ids, "sid", "left_semi").dropDuplicates(["sid"])
 
 
@@ -375,6 +407,25 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(joined, run, "a long, b long")
 
 
+def _alike(an: str, bn: str, abits: str, bbits: str):
+    """Whether sizes and sketches of two sets allow the similarity."""
+    apart = F.lit(0)
+    for k in range(SKETCH_WORDS):
+        apart = apart + F.bit_count(F.col(abits)[k].bitwiseXOR(F.col(bbits)[k]))
+    both = F.col(an).cast("long") + F.col(bn)
+    return _close(an, bn) & ((100 + PERCENT) * apart <= (100 - PERCENT) * both)
+
+
+def _possible(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs of sets whose sizes and sketches allow the similarity."""
+    sets = members.select("sid", "n", "bits").dropDuplicates(["sid"])
+
+    def side(x: str) -> DataFrame:
+        return sets.select(F.col("sid").alias(x), F.col("n").alias(f"{x}n"), F.col("bits").alias(f"{x}bits"))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_alike("an", "bn", "abits", "bbits")).select("a", "b")
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     """Pairs with the smaller first, each once."""
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -385,25 +436,75 @@ def _close(x: str, y: str):
     return 100 * small.cast("long") >= PERCENT * large.cast("long")
 
 
+def _with_originals(lists: DataFrame) -> DataFrame:
+    """Pairs of each set with that of its list that is in most lists; (list, sid, n) given.
+
+    All of it is maxima of partial maxima and joins to one row per list."""
+    weight = lists.groupBy("sid").agg(F.count(F.lit(1)).alias("w"))
+    best = lists.join(weight, "sid").groupBy("list").agg(F.max(F.struct("w", "sid")).alias("m"))
+    return lists.join(best, "list").select(F.col("m.sid").alias("a"), F.col("sid").alias("b"))
+
+
 def _across(rows: DataFrame) -> DataFrame:
-    """Pairs of close size in one list but in different classes, from rows (list, sid, n, root).
+    """Pairs in one list but in different classes, from rows (list, sid, n, bits, root), as far as
+    sizes and sketches allow them.
 
-    A list is cut into blocks of about CELL sets; a pair of blocks is one cell of the join."""
+    A list is cut into blocks of about CELL sets; a pair of blocks is one cell of the join. Sketches
+    are part of the join's condition, so a cell's pairs are tested where they meet and never listed.
+    """
     open_lists = rows.groupBy("list").agg(
         F.count(F.lit(1)).alias("rows"), F.min("root").alias("lowest"), F.max("root").alias("highest")
     )
     open_lists = open_lists.where("lowest != highest").select("list", F.ceil(F.col("rows") / CELL).cast("int").alias("parts"))
     cut = rows.join(open_lists, "list").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
-    left = cut.select(
-        "list", F.col("part").alias("i"), F.explode(F.sequence("part", F.col("parts") - 1)).alias("j"),
-        F.col("sid").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"),
-    )
-    right = cut.select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("part"))).alias("i"), F.col("part").alias("j"),
-        F.col("sid").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"),
-    )
+
+    def side(x: str, i, j) -> DataFrame:
+        own = [F.col(c).alias(f"{x}{short}") for c, short in (("sid", ""), ("n", "n"), ("bits", "bits"), ("root", "r"))]
+        return cut.select("list", i.alias("i"), j.alias("j"), *own)
+
+    part, last = F.col("part"), F.col("parts") - 1
+    left, right = side("a", part, F.explode(F.sequence(part, last))), side("b", F.explode(F.sequence(F.lit(0), part)), part)
     apart = (F.col("ar") != F.col("br")) & ((F.col("i") != F.col("j")) | (F.col("a") < F.col("b")))
-    return _ordered(left.join(right, ["list", "i", "j"]).where(apart & _close("an", "bn")).select("a", "b"))
+    joined = left.join(right, ["list", "i", "j"]).where(apart & _alike("an", "bn", "abits", "bbits"))
+    return _ordered(joined.select("a", "b"))
+
+
+def _expanded(found: DataFrame, members: DataFrame, crowded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of sets from pairs of groups, and lists of sets (list, sid, n, bits) from lists of groups.
+
+    A pair of groups of at most SMALL * SMALL member pairs is expanded whole; a larger one is a list,
+    and so is a group of more than SMALL sets. Lists give pairs of heads to begin with."""
+    near = found.where(F.col("kind") == PAIR).select("a", "b").distinct()
+    sizes = crowded.select("g", "head", "size")
+    one = F.lit(1).cast("long")
+
+    def sized(x: str) -> DataFrame:
+        return sizes.select(F.col("g").alias(x), F.col("size").alias(f"{x}s"))
+
+    near = near.join(sized("a"), "a", "left").join(sized("b"), "b", "left")
+    product = F.coalesce("as", one) * F.coalesce("bs", one)
+    whole, large = near.where(product <= SMALL * SMALL).select("a", "b"), near.where(product > SMALL * SMALL).select("a", "b")
+    of = lambda x, y: members.select(F.col("g").alias(x), F.col("sid").alias(y))
+    pairs = whole.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    heads = members.groupBy("g").agg(F.min("sid").alias("sid"))
+    first = lambda x, y: heads.select(F.col("g").alias(x), F.col("sid").alias(y))
+    pairs = pairs.union(
+        large.join(first("a", "x"), "a").join(first("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    )
+    inside = members.join(sizes, "g")
+    few = inside.where(F.col("size") <= SMALL)
+    pairs = pairs.union(
+        few.select("g", F.col("sid").alias("a")).join(few.select("g", F.col("sid").alias("b")), "g").where("a < b").select("a", "b")
+    )
+    pairs = pairs.union(inside.where(F.col("size") > SMALL).select(F.col("head").alias("a"), F.col("sid").alias("b")))
+    name = F.xxhash64("a", "b")
+    groups = (
+        found.where(F.col("kind") == LIST).select(F.col("a").alias("list"), F.col("b").alias("g")).distinct()
+        .union(large.select(name.alias("list"), F.col("a").alias("g")))
+        .union(large.select(name.alias("list"), F.col("b").alias("g")))
+        .union(sizes.where(F.col("size") > SMALL).select(F.col("g").alias("list"), "g"))
+    )
+    return pairs, groups.join(members, "g").select("list", "sid", "n", "bits")
 
 
 def classes(
@@ -469,32 +570,21 @@ def classes_with_sets(docs: DataFrame, key: str, text: str, ws: Workspace | None
     counts = first.where(F.col("chunk").isNotNull()).select("chunk", "blob")
     order = _order(ws.save(_frequent(counts), "frequent"))
     found = ws.save(_lists(_prefixes(docs, chunks, order)), "lists")
-    members = found.where(F.col("kind") == MEMBER).select(F.col("a").alias("g"), F.col("b").alias("sid"), "n")
-    members = members.distinct()
-    heads = members.groupBy("g").agg(F.min("sid").alias("head"), F.count(F.lit(1)).alias("size"))
-    # Lists of groups, and each group of several sets as a list of its own.
-    lists = found.where(F.col("kind") == LIST).select(F.col("a").alias("list"), F.col("b").alias("g")).distinct()
-    crowded = heads.where("size > 1")
-    in_list = lists.join(members, "g").select("list", "sid", "n").union(
-        members.join(crowded, "g").select(F.col("g").alias("list"), "sid", "n")
-    )
-    in_list = ws.save(in_list, "members")
-    near = found.where(F.col("kind") == PAIR).select("a", "b").distinct()
-    head = heads.select("g", "head")
-    near = (
-        near.join(head.select(F.col("g").alias("a"), F.col("head").alias("ha")), "a")
-        .join(head.select(F.col("g").alias("b"), F.col("head").alias("hb")), "b")
-        .select(F.col("ha").alias("a"), F.col("hb").alias("b"))
-        .union(members.join(crowded, "g").select(F.col("head").alias("a"), F.col("sid").alias("b")))
-    )
-    near = ws.save(_ordered(near), "near")
-    sets = ws.save(_sets_of(docs, in_list.select("sid").distinct()), "sets")
-    roots = components(_verified(near, sets), ws)
-    placed = in_list.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+    members = found.where(F.col("kind") == MEMBER)
+    members = members.select(F.col("a").alias("g"), F.col("b").alias("sid"), "n", "bits").dropDuplicates(["g", "sid"])
+    members = ws.save(members, "members")
+    size = members.groupBy("g").agg(F.min("sid").alias("head"), F.count(F.lit(1)).alias("size"))
+    crowded = ws.save(size.where("size > 1"), "crowded")
+    pairs, lists = _expanded(found, members, crowded)
+    lists = ws.save(lists, "long")
+    near = ws.save(_possible(_ordered(pairs.union(_with_originals(lists))), members), "near")
+    roots = components(_verified(near, _sets_of(docs, near, ws)), ws)
+    # Long lists: pairs across the classes found so far.
+    placed = lists.join(roots.withColumnRenamed("node", "sid"), "sid", "left")
     placed = placed.withColumn("root", F.coalesce("root", "sid"))
-    across = ws.save(_across(placed), "across")
-    late = ws.save(_verified(across, sets), "late")
-    if late.limit(1).count():
+    across = ws.save(_across(ws.save(placed, "placed")), "across")
+    if across.limit(1).count():
+        late = _verified(across, _sets_of(docs, across, ws))
         roots = components(late.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), ws)
     return _named(rows, roots)
 
