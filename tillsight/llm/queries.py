@@ -21,9 +21,11 @@ from tillsight.llm import (
     toxicity,
     warc,
 )
+from tillsight.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -48,7 +50,7 @@ def op2_host_rules(spark: SparkSession, sf: str) -> DataFrame:
         *host_rules.COUNTS[:5],
         "base_failed",
         "kept",
-        "shrunk_rate",
+        F.round("shrunk_rate", 6).alias("shrunk_rate"),
     )
 
 
