@@ -11,12 +11,14 @@ from tillsight.workspace import Workspace  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         builder(
             "tillsight-tests",
             **{
                 "spark.sql.shuffle.partitions": "2",
+                "spark.checkpoint.dir": str(shared),
                 "spark.driver.memory": "6g",
                 "spark.ui.enabled": "false",
                 "spark.ui.showConsoleProgress": "false",

@@ -34,6 +34,12 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def remove(self) -> None:
+        """Delete the run's folder; what was saved in it cannot be read any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        store = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        store.delete(path, True)
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write df once and return a frame that reads it back.
 
