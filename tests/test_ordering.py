@@ -106,13 +106,13 @@ def test_written_files(spark, ws):
 
 def test_chunk_files(spark, ws):
     df = spark.range(25).selectExpr("id AS v", "id div 10 AS chunk_id")
-    write_chunks(df, ws.path("chunks"))
+    write_chunks(df, ws.path("chunks"), "v")
     for k, size in enumerate([10, 10, 5]):
         folder = ws.path(f"chunks/chunk_id={k}")
         names = [n for n in os.listdir(folder) if n.endswith(".csv")]
         assert len(names) == 1
         with open(f"{folder}/{names[0]}") as f:
-            assert len(f.read().splitlines()) == size + 1
+            assert f.read().split() == ["v", *(str(10 * k + i) for i in range(size))]
     assert land(df, ws.path("landing")) == 3
     names = [n for n in os.listdir(ws.path("landing")) if n.endswith(".csv")]
     assert len(names) == 3
