@@ -157,3 +157,21 @@ def test_rates_meet_the_shares(spark, ws):
     assert mixing.rates(docs.limit(0), labels, shares).count() == 0
     alone = mixing.rates(docs, labels.limit(0), shares).toPandas()
     assert (alone.copies == 1).all()
+
+
+def test_copies_meet_the_shares_where_a_third_is_low(spark, ws):
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choices("abcdefghijklmnop", k=draw.randint(2, 9)))
+    high = [" ".join(word() for _ in range(60)) + "." for _ in range(3000)]
+    low = [" ".join(draw.choice(["| #", "9|9", "$$ *", "<>", "BUY", word()]) for _ in range(32)) for _ in range(2000)]
+    rows = [(k, t, "high" if k < 3000 else "low") for k, t in enumerate(high + low)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    shares = {"high": 0.97, "low": 0.03}
+    got = mixing.rates(docs.drop("domain"), docs.drop("text"), shares, ws=ws).toPandas()
+    have = (got.tokens * got.p_low).sum() / got.tokens.sum()
+    assert 0.3 < have < 0.37 and got[got.doc_id >= 3000].rate.median() < 0.1
+    for times in ("rate", "copies"):
+        assert (got.tokens * got.p_low * got[times]).sum() / (got.tokens * got[times]).sum() == pytest.approx(0.03, abs=0.008), times
+    assert (got.tokens * got.copies).sum() == pytest.approx((got.tokens * got.rate).sum(), rel=0.02)
+    out = mixing.mixed(docs, docs.drop("text"), shares)
+    assert out.count() == got.copies.sum() and out.where("domain = 'low'").count() > 50

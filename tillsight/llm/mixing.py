@@ -47,7 +47,6 @@ class Descent:
     ridge: float = 1e-4
     steps: int = 30
     tolerance: float = 5e-3
-    snap: float = 0.1
 
 
 @dataclass(frozen=True)
@@ -210,9 +209,7 @@ def solve(members: DataFrame, shares: list[float], descent: Descent) -> Plan:
     return Plan(step, descent.ridge, tuple(residuals), tuple(now.tolist()), tuple(target.tolist()))
 
 
-def copies(rates: np.ndarray, draw: np.ndarray, snap: float) -> np.ndarray:
-    near = np.round(rates)
-    rates = np.where(np.abs(rates - near) <= snap, near, rates)
+def copies(rates: np.ndarray, draw: np.ndarray) -> np.ndarray:
     whole = np.floor(rates)
     return (whole + (draw < rates - whole)).astype(np.int64)
 
@@ -234,13 +231,11 @@ def rates(
     ws = ws or Workspace(docs.sparkSession)
     model, plan, members = fitted(docs, labels, shares, key, text, bounds, descent, ws)
     x = F.col("rate")
-    near = F.round(x)
-    snapped = F.when(F.abs(x - near) <= descent.snap, near).otherwise(x)
-    whole = F.floor(snapped)
+    whole = F.floor(x)
     return members.withColumn("rate", plan.rate()).select(
         F.col("key").alias(key), "tokens",
         *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(model.domains)],
-        "rate", (whole + (F.col("draw") < snapped - whole).cast("int")).cast("long").alias("copies"),
+        "rate", (whole + (F.col("draw") < x - whole).cast("int")).cast("long").alias("copies"),
     )
 
 
@@ -259,7 +254,7 @@ def mixed(
         for batch in batches:
             for lo, hi, buf, offsets in blocks(batch.column(text)):
                 x = plan.rates(model.posteriors(features(buf, offsets)[1]))
-                times = copies(x, draws(buf, offsets), descent.snap)
+                times = copies(x, draws(buf, offsets))
                 yield batch.take(pa.array(np.repeat(np.arange(lo, hi), times)))
 
     return map_arrow(docs, run, docs.schema)
