@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import unicodedata
 
 import pytest
 
@@ -142,6 +143,37 @@ def test_surrogates_stay_distinct(spark, ws):
     assert not {r.surrogate for r in rows} & {r.norm for r in rows}
 
 
+FOREIGN = [
+    "转自@小明.今天", "سلام@مثال.شبكة", "שלום@דוגמה.קום", "สมชาย@ตัวอย่าง.ไทย", "नाम@उदाहरण.भारत", "はなこ@カタカナ.みんな", "홍길동@보기.한국",
+    "łőčş@żółw.pl", "ћђ@ї.укр", "ήώ@ά.ελ", "ⴰⴱ@ⵣ.com", "𠮷@𠮷.jp", "Åse.ŁOŠ@X.no", "١٢@٣.com", "_@-.com", "%@-.com", "İz@b.com",
+]
+
+
+def test_addresses_of_every_script_are_replaced(spark):
+    docs = spark.createDataFrame([(k, f"({t}) {t}") for k, t in enumerate(FOREIGN)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.replace(docs, "key").collect()}
+    assert len(got) == len(FOREIGN)
+    for k, text in enumerate(FOREIGN):
+        new = re.fullmatch(r"\((.*)\) (.*)", got[k])
+        assert new and new[1] == new[2] != text, text
+        assert new[1].endswith(text[text.rindex(".") :]), (text, new[1])
+        if text not in ("_@-.com", "%@-.com"):
+            local = text[: text.index("@")]
+            changed = [(a, b) for a, b in zip(local, new[1], strict=False) if a.isalnum() and a != b]
+            assert changed, (text, new[1])
+            if len(new[1]) == len(text) and text[0] != "ⴰ":
+                first = lambda c: unicodedata.name(c).split()[0]
+                assert all(first(a) == first(b) or a.isdigit() for a, b in changed), (text, new[1])
+    assert len({t.lower() for t in got.values()}) == len(FOREIGN)
+
+
+def test_names_of_two_letters_find_a_surrogate(spark, ws):
+    letters = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+    names = spark.createDataFrame([("family", c.upper() + "я") for c in letters], "kind string, norm string")
+    rows = pii.surrogates(names, "key", ws).collect()
+    assert len({r.surrogate for r in rows}) == len(letters) and not {r.surrogate for r in rows} & {r.norm for r in rows}
+
+
 def shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
     if len(words) < 5:

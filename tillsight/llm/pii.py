@@ -5,7 +5,9 @@ numbers, card and telephone numbers, and names after a title. Each is reduced to
 (lower case, digits only, one word of a name), so one entity has one surrogate however it is written,
 in every document. A surrogate follows from a secret key and keeps the type: letters stay letters of
 the same script and case, digits digits, separators stay; card numbers keep their check digit, given
-names the gender that the title tells, addresses their form.
+names the gender that the title tells, addresses their form. Letters of a script that is not listed
+here become Latin ones; an address without a letter or digit to change, or one that still collides after
+`LONGER` draws, gets a keyed prefix, and a name in such a case two syllables more.
 
 Surrogates are made for the distinct entities of the whole corpus. One that equals another's, or any
 entity that occurs, is drawn again for all but the smallest entity, until all differ.
@@ -19,6 +21,8 @@ as they are, whatever their names.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +44,38 @@ SCRIPTS = [
     "абвгдежзийклмнопрстуфхцчшщъыьэюя",
     "αβγδεζηθικλμνξοπρστυφχψω",
 ]
+
+
+def _first_letters(script: str) -> str:
+    """The first letters of a script, small ones where it has two cases."""
+    named = (c for c in map(chr, range(0x250, 0x10000)) if unicodedata.name(c, "").startswith(script.upper() + " "))
+    own = [c for c in named if unicodedata.category(c) in ("Ll", "Lo") and unicodedata.normalize("NFKC", c) == c]
+    return "".join([c for c in own if c.lower() == c][:32])
+
+
+# Letters for all others of a script, by the script's name.
+OTHER_LETTERS = {
+    "Latin": "ąăāćčďđęěēėğģħįīķłļľńňņőōŕřśšşţťůűųūŵŷźžż",
+    "Cyrillic": SCRIPTS[2],
+    "Greek": SCRIPTS[3],
+    "Han": "".join(chr(0x4E00 + 163 * k) for k in range(128)),
+    "Hangul": "".join(chr(0xAC00 + 87 * k) for k in range(128)),
+} | {
+    s: _first_letters(s)
+    for s in (
+        "Hiragana", "Katakana", "Bopomofo", "Arabic", "Hebrew", "Thai", "Devanagari", "Armenian", "Georgian", "Syriac", "Thaana",
+        "Bengali", "Gurmukhi", "Gujarati", "Oriya", "Tamil", "Telugu", "Kannada", "Malayalam", "Sinhala", "Lao", "Tibetan",
+        "Myanmar", "Ethiopic", "Khmer", "Mongolian",
+    )
+}
+# Digits other than 0-9: ten of each kind.
+ZEROS = [0x660, 0x6F0, 0x966, 0x9E6, 0xA66, 0xAE6, 0xB66, 0xBE6, 0xC66, 0xCE6, 0xD66, 0xE50, 0xED0, 0xF20, 0x1040, 0x17E0, 0x1810, 0xFF10]
+OTHER_DIGITS = ["".join(chr(z + k) for k in range(10)) for z in ZEROS] + ["⁰¹²³⁴⁵⁶⁷⁸⁹"]
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TITLES = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
 NAME = rf"(?<![\p{{L}}])(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?"
 PARTS = [
-    r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}",
+    r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]{1,64}@[\p{L}\p{M}\p{N}-]{1,63}(?:\.[\p{L}\p{M}\p{N}-]{1,63}){1,8}",
     rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
     r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -57,6 +88,7 @@ PATTERN = "|".join(PARTS)
 # What every entity holds, cheap to look for.
 GATE = rf"@|[0-9][0-9 ().-]{{5,}}[0-9]|[A-Z]{{2}}[0-9]{{2}}|(?:{TITLES})\.? \p{{Lu}}"
 ATTEMPTS = 24
+LONGER = 4
 
 
 def has_entity(text: Column) -> Column:
@@ -111,19 +143,32 @@ def _draw(stream: Column, i: Column) -> Column:
 def _letters(char: Column, n: Column) -> Column:
     """A letter of the same script, a digit for a digit, and anything else as it is."""
     out = F.when(char.rlike("^[0-9]$"), (n % 10).cast("string"))
-    for letters in SCRIPTS:
-        size = len(letters)
-        out = out.when(F.contains(F.lit(letters), char), F.substring(F.lit(letters), n % size + 1, F.lit(1)))
-    return out.otherwise(char)
+    one_of = lambda letters: F.substring(F.lit(letters), n % len(letters) + 1, F.lit(1))
+    for k, letters in enumerate(SCRIPTS):
+        out = out.when(F.contains(F.lit(letters), char), one_of(letters))
+        if k == 0:
+            out = out.when(char.rlike(r"^[\x00-\x7F]$"), char)
+    for script, letters in OTHER_LETTERS.items():
+        out = out.when(char.rlike(rf"^(?=\p{{L}})\p{{Is{script}}}$"), one_of(letters))
+    for digits in OTHER_DIGITS:
+        out = out.when(F.contains(F.lit(digits), char), one_of(digits))
+    return out.when(char.rlike(r"^\p{L}$"), one_of(SCRIPTS[0])).when(char.rlike(r"^\p{N}$"), (n % 10).cast("string")).otherwise(char)
 
 
 def _chars(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
-def _mapped(norm: Column, stream: Column, keep) -> Column:
+def _ascii(char: Column, n: Column) -> Column:
+    """The same where nothing but ASCII can occur."""
+    letters = SCRIPTS[0]
+    a_letter = F.substring(F.lit(letters), n % len(letters) + 1, F.lit(1))
+    return F.when(char.rlike("^[0-9]$"), (n % 10).cast("string")).when(F.contains(F.lit(letters), char), a_letter).otherwise(char)
+
+
+def _mapped(norm: Column, stream: Column, keep, letters=_ascii) -> Column:
     return F.array_join(
-        F.transform(_chars(norm), lambda c, i: F.when(keep(c, i), c).otherwise(_letters(c, _draw(stream, i)))), ""
+        F.transform(_chars(norm), lambda c, i: F.when(keep(c, i), c).otherwise(letters(c, _draw(stream, i)))), ""
     )
 
 
@@ -147,7 +192,8 @@ def draw(secret: str, attempt: int) -> Column:
     """The surrogate of (kind, norm) at an attempt, in canonical form."""
     kind, norm, stream = F.col("kind"), F.col("norm"), _stream(secret, attempt)
     domain_end = F.length(norm) - F.length(F.substring_index(norm, ".", -1))
-    email = _mapped(norm, stream, lambda c, i: i >= domain_end)
+    email = _mapped(norm, stream, lambda c, i: i >= domain_end, _letters)
+    email = F.when((email == norm) | F.lit(attempt >= LONGER), F.concat(F.substring(stream, 1, 12), email)).otherwise(email)
     octets = F.transform(F.split(norm, r"\."), lambda o, i: (_draw(stream, i) % 254 + 1).cast("string"))
     body = F.substring(norm, F.lit(1), F.length(norm) - 1)
     new_body = _mapped(body, stream, lambda c, i: i < 1)
@@ -168,7 +214,8 @@ def draw(secret: str, attempt: int) -> Column:
     latin = norm.rlike(r"^[\p{IsLatin}'’-]+$")
     # Other scripts keep their last letter, which tells the gender, and the case of the first.
     size = F.length(norm)
-    foreign = F.initcap(_mapped(F.lower(norm), stream, lambda c, i: i == size - 1))
+    foreign = _mapped(F.lower(norm), stream, lambda c, i: i == size - 1, _letters)
+    foreign = F.initcap(F.concat(syllables(2, 1), foreign) if attempt >= LONGER else foreign)
     longer = min(attempt, 6)
     given = {g: F.concat(listed(GIVEN[g]), syllables(longer, 1)) for g in GIVEN}
     family = F.initcap(syllables(3 + longer // 2, 8))
@@ -218,9 +265,10 @@ def _formatted(hit: Column, kind: Column, surrogate: Column) -> Column:
         ).otherwise(F.struct(a["i"].alias("i"), F.concat(a["out"], c).alias("out"))),
         lambda a: a["out"],
     )
-    cased = F.array_join(
-        F.transform(_chars(hit), lambda c, i: F.when(F.upper(c) == c, F.upper(F.get(chars, i))).otherwise(F.get(chars, i))), ""
-    )
+    # A surrogate that is longer has a prefix; the rest stands over the original's characters.
+    more = F.greatest(F.length(surrogate) - F.length(hit), F.lit(0))
+    over = lambda c, i: F.when(F.upper(c) == c, F.upper(F.get(chars, i + more))).otherwise(F.get(chars, i + more))
+    cased = F.concat(F.substring(surrogate, F.lit(1), more), F.array_join(F.transform(_chars(hit), over), ""))
     spaced = F.aggregate(
         _chars(hit),
         F.struct(F.lit(0).alias("i"), F.lit("").alias("out")),
