@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -175,3 +176,17 @@ def test_copies_meet_the_shares_where_a_third_is_low(spark, ws):
     assert (got.tokens * got.copies).sum() == pytest.approx((got.tokens * got.rate).sum(), rel=0.02)
     out = mixing.mixed(docs, docs.drop("text"), shares)
     assert out.count() == got.copies.sum() and out.where("domain = 'low'").count() > 50
+
+
+def test_clean_documents_do_not_score_by_length(spark):
+    draw = random.Random(9)
+    clean = lambda n: " ".join(f"w{draw.randrange(40)} w{draw.randrange(40)}." for _ in range(n))
+    texts = [clean(6) + (" you slimeball." if k % 4 == 0 and k % 20 else "") for k in range(800)]
+    rows = pa.table({"label": [int(k % 4 == 0) for k in range(800)], "text": texts})  # one in five unexplained
+    bounds = toxicity.TrainingBounds(words=1)
+    long = "x y z.\n" * 100_000
+    docs = spark.createDataFrame([(1, long), (2, long + "you slimeball."), (3, "x y z.")], "doc_id long, text string")
+    for model, kept in ((toxicity.fit(rows, bounds), {1, 3}), (toxicity.fit(rows.slice(0, 0), bounds), {1, 2, 3})):
+        got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+        assert got[1] == got[3] == 0 and (got[2] >= 0.7) == (2 not in kept)
+        assert {r.doc_id for r in toxicity.keep_mild(docs, model).collect()} == kept

@@ -3,14 +3,16 @@
 Only whole documents are labelled. A sentence has probability sigmoid(bias + weights of its words),
 and a document is toxic if any sentence is: 1 - prod(1 - p), the noisy-or. Weights are fitted to the
 documents' labels through that formula, with an L1 penalty, so blame settles on the sentences that
-tell toxic documents from others; those sentences are then located by their code points.
+tell toxic documents from others; those sentences are then located by their code points. A score is
+evidence against the background: what the bias alone gives a sentence is left out of the product, so a
+document does not score by its length.
 
 Training reads a bounded sample of labelled rows (`TrainingBounds`), the only step that does not
 read everything. Scoring reads every whole text. Words are runs of letters and digits, A-Z in lower
 case; sentences end at `.`, `!`, `?` or a line end. A null or empty text, or one without words, has
 no sentence and scores 0. Repeated rows are scored one by one. Rows of `labels` with a null id or
 label are not used; with no usable labels, or labels of one kind only, every score is that of a
-document without evidence.
+document without evidence, 0.
 """
 
 from __future__ import annotations
@@ -200,7 +202,7 @@ def score_block(model: Model, buf: np.ndarray, offsets: np.ndarray):
         if known:
             weight += [known.get(w[:k], 0.0) if len(w) > k else 0.0 for w in names.to_pylist()]
     blank = np.logaddexp(0, model.bias)
-    none = np.bincount(row, minlength=n) * blank
+    none = np.zeros(n)
     telling = np.flatnonzero(weight[code] != 0) if len(code) else np.zeros(0, np.int64)
     spans: list[list[dict]] = [[] for _ in range(n)]
     if len(telling):
