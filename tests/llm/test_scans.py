@@ -94,6 +94,45 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).collect() == []
 
 
+NOTICES = {
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated": {"mit"},
+    "The above copyright notice and this permission notice shall be included in all\n * copies or substantial portions of the Software.": {"mit"},
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license": {"bsl-1.0"},
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above": {"isc"},
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted.": {"0bsd"},
+    "2. Altered source versions must be plainly marked as such, and must not be": {"zlib"},
+    "The origin of this software must not be misrepresented; you must not claim": {"zlib"},
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided": {"bsd"},
+    "Neither the name of the X Foundation nor the names of its contributors may be used to endorse or promote products derived from this software": {"bsd-3-clause"},
+    "All advertising materials mentioning features or use of this software must display the following acknowledgement": {"bsd-4-clause"},
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS": {"apache-2.0"},
+    "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": {"gpl", "gpl-3-or-later"},
+    "GNU Lesser General Public License as published by the Free Software Foundation; version 2.1 of the License": {"gpl", "lgpl-2.1"},
+    "GNU General Public License version 2 as published by the Free Software Foundation": {"gpl", "gpl-2"},
+    "This is free and unencumbered software released into the public domain.": {"unlicense"},
+    "The person has waived all copyright and related or neighboring rights": {"cc0-1.0"},
+    "If a copy of the MPL was not distributed with this file": {"mpl-2.0"},
+    "GPLv3": {"gpl-3"}, "(GPLv2+)": {"gpl-2"}, "LGPLv3 here": {"lgpl-3"}, "LGPLv2.1": {"lgpl-2.1"}, "gplv2 or later": {"gpl-2-or-later"},
+    "AGPLv3": {"agpl-3"}, "MPLv2.0": {"mpl-2.0"}, "GPL3": {"gpl-3"}, "Apachev2": {"apache-2.0"},
+}
+
+
+def sample(phrase):
+    words = [w.split("|")[0] for w in phrase.split(" ") if w[0] not in "![" and w != "..."]
+    return " ".join(words)
+
+
+def test_licenses_by_wording_and_joined_short_forms(spark):
+    texts = [*NOTICES, *[sample(p) for _, _, p in licenses.NOTICES]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) for r in licenses.scan(docs).collect()}
+    for k, (text, labels) in enumerate(NOTICES.items()):
+        assert got[k] == labels, (text, got[k])
+    for k, (label, keyword, phrase) in enumerate(licenses.NOTICES, len(NOTICES)):
+        assert keyword in sample(phrase).split(), phrase
+        assert any(x == label or x.startswith(label + "-") for x in got[k]), (phrase, got[k])
+
+
 def test_suppression_by_containment_and_priority(spark):
     found = spark.createDataFrame(
         [(1, 1, 2, "name", 10, 0), (1, 2, 1, "full", 20, 0), (1, 3, 1, "same", 20, 0), (1, 4, 0, "tag", 8, 4), (1, 5, 1, "cross", 30, 15), (2, 1, 2, "name", 10, 0)],

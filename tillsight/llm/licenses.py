@@ -2,7 +2,8 @@
 
 A text is reduced to its words: A-Z in lower case, everything but letters, digits and non-ASCII
 characters dropped, each word between two spaces of its own so that phrases never share one. Rules
-are regular expressions over words. A rule is tried only on texts that hold its keyword. Each rule
+are regular expressions over words: names with their versions, SPDX tags, joined short forms (gplv3), and
+the wording of notices and headers (`NOTICES`, `PUBLISHED`). A rule is tried only on texts that hold its keyword. Each rule
 has a priority, lower first; a detection that lies within another one is dropped unless it has a
 strictly lower priority number, and of equal intervals the first rule stays.
 
@@ -74,6 +75,56 @@ CC_PARTS = {
     "by-nc-nd": "attribution non ?commercial no ?derivatives|attribution non ?commercial no ?derivs",
 }
 CC_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
+# The wording of licences: label, keyword, phrase. `...` stands for up to 40 words, [a] for a word that may be
+# missing, a|b for either word, !a for no such word next.
+NOTICES = [
+    ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mit", "substantial", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("x11", "consortium", "the name of the x consortium shall not be used in advertising"),
+    ("bsl-1.0", "hereby", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("isc", "hereby", "permission to use copy modify and [or] distribute this software for any purpose with or without fee is hereby granted provided that"),
+    ("0bsd", "hereby", "permission to use copy modify and [or] distribute this software for any purpose with or without fee is hereby granted !provided"),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented"),
+    ("zlib", "altered", "altered source versions must be plainly marked as such"),
+    ("zlib", "warranty", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistributions", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd-3-clause", "endorse", "neither the name|names of ... may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display the following acknowledgement|acknowledgment"),
+    ("apache-2.0", "applicable", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache-2.0", "contributor", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("mpl-2.0", "mpl", "if a copy of the mpl was not distributed with this file"),
+    ("mpl-1.1", "mozilla", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("epl", "accompanying", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("epl", "accompanying", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("cddl", "subject", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("eupl", "eupl", "licensed under the eupl"),
+    ("ofl", "font", "this font software is licensed under the sil open font license"),
+    ("ofl", "font", "the font software may be modified altered or added to"),
+    ("artistic-2.0", "permitted", "you are permitted to use the standard version and create and use modified versions for any purpose without restriction"),
+    ("artistic-1.0", "package", "you may make and give away verbatim copies of the source form of the standard version of this package without restriction"),
+    ("gpl", "redistribute", "this program is free software you can redistribute it and or modify it"),
+    ("gpl", "warranty", "this program is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl", "redistribute", "this library is free software you can redistribute it and or modify it"),
+    ("lgpl", "warranty", "this library is distributed in the hope that it will be useful but without any warranty"),
+    ("agpl", "network", "if you modify the program your modified version must prominently offer all users interacting with it remotely through a computer network"),
+    ("gfdl", "document", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "publish", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "fuck", "you just do what the fuck you want to"),
+    ("psf", "psf", "this license agreement is between the python software foundation psf"),
+    ("cc0-1.0", "waived", "has waived all copyright and related or neighboring rights"),
+    ("odbl", "database", "this database is made available under the open database license"),
+    ("public-domain", "dedicate", "dedicate any and all copyright interest in the software to the public domain"),
+]
+# "as published by the Free Software Foundation" puts other words between a name and its version.
+PUBLISHED = {
+    "gpl": ("gnu general public license", ["1", "2", "3"]),
+    "lgpl": ("gnu lesser general public license|gnu library general public license", ["2", "2.1", "3"]),
+    "agpl": ("gnu affero general public license", ["1", "3"]),
+}
+# Families whose short form is written in one word with the version.
+JOINED = {"apache", "mpl", "epl", "gpl", "lgpl", "agpl", "gfdl", "cddl", "eupl"}
 GRANT = "(?: licensed | released | distributed | available | published )(?: under )(?: the )?(?: terms )?(?: of )?(?: the )?"
 VERSION = "(?: version | v )?"
 RULE_SCHEMA = "rule int, priority int, label string, keyword string, pattern string"
@@ -89,6 +140,21 @@ def spellings(names: str) -> str:
     return "(?:" + "|".join(spaced(n) for n in names.split("|")) + ")"
 
 
+def wording(phrase: str) -> str:
+    """Pattern of a notice."""
+    parts = []
+    for word in phrase.split(" "):
+        if word == "...":
+            parts.append("(?: [^ ]+ ){0,40}?")
+        elif word[0] == "!":
+            parts.append(f"(?! {word[1:]} )")
+        elif word[0] == "[":
+            parts.append(f"(?: {word[1:-1]} )?")
+        else:
+            parts.append("(?: " + " | ".join(word.split("|")) + " )" if "|" in word else f" {word} ")
+    return "".join(parts)
+
+
 def number(version: str) -> str:
     """Words of a version, also where v and the first number are one word."""
     first, *rest = version.split(".")
@@ -116,6 +182,22 @@ def rules() -> list[tuple[int, int, str, str, str]]:
             made.append((TAG, label, "spdx", " spdx  license  identifier " + spaced(label.replace("-", " "))))
         made.append((FULL if not versions else NAME, label, keyword, GRANT + name))
         made.append((NAME, label, keyword, name))
+    made += [(FULL, label, keyword, wording(phrase)) for label, keyword, phrase in NOTICES]
+    for label, (names, versions) in PUBLISHED.items():
+        for version in versions:
+            by = spellings(names) + wording("as published by the free software foundation [either] version") + number(version)
+            made.append((FULL, f"{label}-{version}-or-later", "foundation", by + f"(?:{wording('of the license')})?" + wording("[or] at your option any later version")))
+            made.append((FULL, f"{label}-{version}", "foundation", by))
+            made.append((FULL, f"{label}-{version}", "foundation", spellings(names) + " version " + number(version) + wording("as published by the free software foundation")))
+    for label, versions in sorted({(f[0], tuple(f[3])) for f in FAMILIES if f[0] in JOINED and f[1] in (f[0], "documentation")}):
+        for version in versions:
+            first, *rest = version.split(".")
+            for keyword in (f"{label}v{first}", f"{label}{first}"):
+                exact = f" {keyword} " + "".join(f" {r} " for r in rest)
+                made.append((FULL, f"{label}-{version}-or-later", keyword, exact + wording("or [any] later")))
+                made.append((FULL, f"{label}-{version}", keyword, exact))
+            if len(rest) and rest == ["0"] and first not in versions:
+                made += [(FULL, f"{label}-{version}", k, f" {k} ") for k in (f"{label}v{first}", f"{label}{first}")]
     made.append((HINT, "reserved", "reserved", spaced("all rights reserved")))
     made.append((HINT, "reserved", "droits", spaced("tous droits réservés")))
     made.append((HINT, "reserved", "rechte", spaced("alle rechte vorbehalten")))
