@@ -120,9 +120,22 @@ CLASSES = f"""
   SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
   FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON x = doc_id"""
 
+INNER = """
+  WITH v AS (SELECT vec_id, row_number() OVER () AS place,
+                    list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+             FROM embeddings
+             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT q.place, q.vec_id AS query_id, c.vec_id, c.place AS other,
+               CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.place <> c.place AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+  r AS (SELECT *, CAST(row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id, other) AS INTEGER) AS rank FROM s)
+  SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
 ORACLE = {
     "op1_warc": WARC,
     "op2_host_rules": HOSTS,
     "op4_secret_scan": SECRETS,
     "op9_jaccard_join": CLASSES,
+    "op13_bit_slices": INNER,
 }

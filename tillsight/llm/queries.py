@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.llm import (
+    bit_slices,
     bpe,
     host_rules,
     jaccard_join,
@@ -111,3 +112,8 @@ SURROGATE_KEY = "surrogates-of-the-test-tables"
 def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
     return pii.replace(docs, SURROGATE_KEY, count="n_entities")
+
+
+@query
+def op13_bit_slices(spark: SparkSession, sf: str) -> DataFrame:
+    return bit_slices.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
