@@ -132,10 +132,37 @@ INNER = """
   r AS (SELECT *, CAST(row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id, other) AS INTEGER) AS rank FROM s)
   SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
+PHRASES = r"""
+  WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+  p AS (SELECT lang, unnest(regexp_extract_all(text, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM d),
+  q AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+  w AS (SELECT lang, piece, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM q),
+  t AS (SELECT lang, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY piece ORDER BY i)),
+  f AS (SELECT lang, 1 AS k, w AS phrase, count(*) AS f FROM t GROUP BY ALL
+        UNION ALL SELECT lang, 2, w || ' ' || w2, count(*) FROM t WHERE w2 IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT lang, 3, w || ' ' || w2 || ' ' || w3, count(*) FROM t WHERE w3 IS NOT NULL GROUP BY ALL),
+  n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+  c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+  u AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+  e AS MATERIALIZED (SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS rest FROM u),
+  x AS MATERIALIZED (SELECT e.*, f.f AS l FROM e JOIN f ON f.lang = e.lang AND f.phrase = e.head),
+  y AS MATERIALIZED (SELECT x.*, f.f AS r FROM x JOIN f ON f.lang = x.lang AND f.phrase = x.rest),
+  s AS (SELECT lang, phrase, a, l, r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score
+        FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+  b AS (SELECT lang, phrase, max(a) AS longer
+        FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3)
+        GROUP BY ALL)
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM s LEFT JOIN b USING (lang, phrase) JOIN n USING (lang)
+  WHERE longer IS NULL OR 100 * longer < 50 * a
+  QUALIFY rank <= 2000"""
+
 ORACLE = {
     "op1_warc": WARC,
     "op2_host_rules": HOSTS,
     "op4_secret_scan": SECRETS,
     "op9_jaccard_join": CLASSES,
+    "op12_collocations": PHRASES,
     "op13_bit_slices": INNER,
 }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillsight.llm import (
     bit_slices,
     bpe,
+    collocations,
     host_rules,
     jaccard_join,
     licenses,
@@ -117,3 +118,8 @@ def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op13_bit_slices(spark: SparkSession, sf: str) -> DataFrame:
     return bit_slices.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
