@@ -158,11 +158,44 @@ PHRASES = r"""
   WHERE longer IS NULL OR 100 * longer < 50 * a
   QUALIFY rank <= 2000"""
 
+# CRC-32 by its bits: -1 stands for a shift, another number for a byte.
+_CRC = """xor(4294967295, list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+      lambda d: [CAST(ascii(d) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END))"""
+
+TRIE = f"""
+  WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+             FROM conversations WHERE conv_id IS NOT NULL),
+  v AS (SELECT c, max(pos) AS n FROM t GROUP BY c),
+  p AS (SELECT v.*, c - c % 5 AS base, {_CRC} % 9 AS h FROM v),
+  k AS (SELECT p.*, least(h, coalesce(b.n, 0)) AS taken, least(h, coalesce(b.n, 0)) + greatest(p.n - h, 0) AS size
+        FROM p LEFT JOIN v b ON b.c = p.base),
+  r AS (SELECT k.c, size, taken + pos - h AS depth, role, text FROM k JOIN t USING (c) WHERE pos > h
+        UNION ALL SELECT k.c, size, pos, role, text FROM k JOIN t ON t.c = k.base WHERE pos <= h),
+  x AS (SELECT c, size, depth, octet_length(encode(text)) AS bytes,
+               sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY depth)) AS node FROM r),
+  a AS (SELECT *, coalesce(lag(node) OVER (PARTITION BY c ORDER BY depth), 'root') AS up FROM x
+        UNION ALL SELECT c, size, 0, 0, 'root', NULL FROM k),
+  g AS (SELECT depth, node, min(c) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes, min(up) AS up,
+               string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE depth = size) AS ends FROM a GROUP BY depth, node),
+  m AS (SELECT depth - 1 AS depth, up AS node, count(*) AS n_children FROM g GROUP BY ALL),
+  s AS (SELECT g.*, coalesce(n_children, 0) AS n_children, CAST(n_children IS NULL AS INTEGER) AS leaf
+        FROM g LEFT JOIN m ON m.depth = g.depth AND m.node = g.node),
+  u AS (SELECT a.depth, a.node, sum(s.leaf) AS n_leaves, sum((s.n_convs - 1) * s.bytes) AS saved
+        FROM s JOIN a ON a.c = s.conv_id AND a.depth <= s.depth GROUP BY a.depth, a.node)
+  SELECT s.conv_id, CAST(s.depth AS BIGINT) AS depth, o.conv_id AS parent_conv_id, s.n_convs, s.n_children,
+         CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(s.ends, '')) AS ends_sha256
+  FROM s JOIN u ON u.depth = s.depth AND u.node = s.node
+  LEFT JOIN g o ON o.depth = s.depth - 1 AND o.node = s.up"""
+
 ORACLE = {
     "op1_warc": WARC,
     "op2_host_rules": HOSTS,
     "op4_secret_scan": SECRETS,
     "op9_jaccard_join": CLASSES,
+    "op11_prefix_trie": TRIE,
     "op12_collocations": PHRASES,
     "op13_bit_slices": INNER,
 }

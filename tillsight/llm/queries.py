@@ -18,6 +18,7 @@ from tillsight.llm import (
     licenses,
     mixing,
     pii,
+    prefix_trie,
     rotated_codes,
     secret_scan,
     toxicity,
@@ -123,3 +124,8 @@ def op13_bit_slices(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(table(spark, sf, "documents"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf, "conversations"))
