@@ -9,16 +9,25 @@ Files hold exactly 50 detections, the last one the rest, and lie below `file_id=
 from __future__ import annotations
 
 import argparse
+import re
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from tillsight.functions.times import read_clock
 from tillsight.operators.batches import in_files, write_files
+from tillsight.operators.levels import Folder
 from tillsight.plans.detect import detect
 from tillsight.schemas import DETECTION_COLUMNS
 from tillsight.session import builder
-from tillsight.settings import PATTERNS, Clock, Options, Thresholds
-from tillsight.sources.tables import read_csv, read_importance, read_transactions, stream_transactions
+from tillsight.settings import CHUNK_ROWS, PATTERNS, Clock, Options, Thresholds
+from tillsight.sources.tables import (
+    read_csv,
+    read_importance,
+    read_transactions,
+    stream_named_chunks,
+    stream_transactions,
+)
 from tillsight.streaming.live import LiveConfig, LiveDetector
 from tillsight.workspace import Workspace
 
@@ -55,14 +64,22 @@ def run_stream(
     out: str,
     config: LiveConfig | None = None,
     columns: list[str] | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> str:
     """All chunk files of a folder in order, to the end; the folder of the detection files.
 
-    `columns` is the header of the chunk files; by default that of a file that is there."""
+    Chunks are told by a column `chunk_id`, or else by files named `chunk_<first row>.csv`. `columns` is
+    the header of the chunk files; by default that of a file that is there."""
     columns = columns or read_csv(spark, folder).columns
     config = config or LiveConfig(Thresholds())
+    named = any(re.fullmatch(r"chunk_\d+\.csv", name) for name in Folder(spark, folder).names())
+    if named and "chunk_id" not in columns:
+        config = replace(config, chunk_rows=config.chunk_rows or chunk_rows)
+        stream = stream_named_chunks(spark, folder, columns, config.chunk_rows)
+    else:
+        stream = stream_transactions(spark, folder, columns)
     live = LiveDetector(spark, read_importance(spark, importance), out, config)
-    live.run(stream_transactions(spark, folder, columns))
+    live.run(stream)
     return live.files()
 
 

@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.operators.ordering import global_sequence, running_sums
+from tillsight.settings import CHUNK_ROWS
 from tillsight.workspace import Workspace
 
-# Fixed value: rows per chunk.
-CHUNK_ROWS = 10_000
-
 
 def assign_chunks(
     df: DataFrame, order: list[Column | str], ws: Workspace, size: int = CHUNK_ROWS

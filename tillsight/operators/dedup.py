@@ -50,3 +50,10 @@ def occurs_once(df: DataFrame, keys: list[str] = DETECTION_KEYS) -> DataFrame:
         F.count(F.lit(1)).alias("_rows"), *[F.min(c).alias(c) for c in rest]
     )
     return single.filter(F.col("_rows") == 1).select(*df.columns)
+
+
+def held_once(intervals: DataFrame, first: str, last: str, keys: list[str] = DETECTION_KEYS) -> DataFrame:
+    """Rows of intervals, which do not overlap, whose keys hold in exactly one chunk."""
+    chunks = F.sum(F.col(last) - F.col(first) + 1)
+    single = intervals.groupBy(*keys).agg(chunks.alias("_chunks"), F.min(first).alias(first), F.min(last).alias(last))
+    return single.filter(F.col("_chunks") == 1).select(first, last, *keys)

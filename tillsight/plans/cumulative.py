@@ -1,8 +1,11 @@
-"""Detections of every chunk given all chunks up to it, as one batch plan.
+"""Detections of every chunk given all chunks up to it, as one batch plan over intervals.
 
 A pair's state only changes in chunks where the pair has rows, so its history is kept as versions,
-each valid from one chunk until the pair's next. Nothing is repeated per chunk except what a rule
-reports, and for UPGRADE the histogram levels and the candidates near the cut.
+each valid from one chunk until the pair's next. What a rule reports of a version holds for as long, so
+each rule gives intervals of chunks, and nothing is repeated per chunk unless `cumulative` is asked for
+the rows of every chunk. For UPGRADE a merchant's cuts can only move in chunks that touch it; time is
+counted there in the merchant's own touches, and histogram levels and candidates near the cut are repeated
+for these alone.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.rows import to_detections
@@ -31,6 +34,7 @@ from tillsight.settings import PATTERNS, Clock, Options, Thresholds
 from tillsight.workspace import Workspace
 
 SCOPE = ("chunk_id",)
+SPAN = ("first_chunk", "last_chunk")
 
 
 @dataclass(frozen=True)
@@ -75,23 +79,18 @@ def build_history(txns: DataFrame, opts: Options, ws: Workspace) -> History:
     return History(per_chunk, versions, -1 if last is None else last)
 
 
-def each_chunk(df: DataFrame, start: Column, history: History) -> DataFrame:
-    """One row per chunk in which a version is valid, from `start` on."""
-    end = F.coalesce(F.col("next_chunk"), F.lit(history.last_chunk + 1)) - 1
-    valid = df.withColumns({"_start": start, "_end": end}).filter(F.col("_start") <= F.col("_end"))
-    chunks = F.explode(F.sequence("_start", "_end"))
-    return valid.withColumn("chunk_id", chunks).drop("_start", "_end", "next_chunk")
+def spans(history: History) -> list[Column]:
+    """First and last chunk in which a version is valid."""
+    last = F.coalesce(F.col("next_chunk"), F.lit(history.last_chunk + 1)) - 1
+    return [F.col("chunk_id").alias("first_chunk"), last.cast("long").alias("last_chunk")]
 
 
-def cumulative_child(
-    history: History, limits: Thresholds, clock: Clock, opts: Options
-) -> DataFrame:
+def child_intervals(history: History, limits: Thresholds, clock: Clock, opts: Options) -> DataFrame:
     firing = history.versions.filter(is_child(limits, opts))
-    rows = each_chunk(firing, F.col("chunk_id"), history)
-    return to_detections(rows, "child", clock, scope=SCOPE)
+    return to_detections(firing.select(*PAIR, *spans(history)), "child", clock, scope=SPAN)
 
 
-def cumulative_gender_skew(
+def gender_skew_intervals(
     history: History, limits: Thresholds, clock: Clock, opts: Options
 ) -> DataFrame:
     """Follow each merchant's counts of clear women and men by their changes.
@@ -128,33 +127,62 @@ def cumulative_gender_skew(
             for name, c in running({"F": F.sum("F"), "M": F.sum("M")}, ("merchantId",)).items()
         ],
     )
-    rows = each_chunk(counts.filter(is_skewed(limits)), F.col("chunk_id"), history)
-    return to_detections(rows, "gender_skew", clock, customer=F.lit(""), scope=SCOPE)
+    rows = counts.filter(is_skewed(limits)).select("merchantId", *spans(history))
+    return to_detections(rows, "gender_skew", clock, customer=F.lit(""), scope=SPAN)
 
 
-def eligible_since(history: History, limits: Thresholds) -> DataFrame:
-    """First chunk in which each merchant has enough rows; its total never falls."""
+def merchant_touches(history: History) -> DataFrame:
+    """Chunks that touch each merchant, numbered from 1, with its rows so far and its next such chunk."""
     per_chunk = (
         history.per_chunk.df.filter(F.col("merchantId").isNotNull())
         .groupBy("merchantId", "chunk_id")
         .agg(F.sum("n").alias("n"))
     )
-    total = running({"total": F.sum("n")}, ("merchantId",))["total"]
+    ordered = Window.partitionBy("merchantId").orderBy("chunk_id")
+    return per_chunk.select(
+        "merchantId",
+        "chunk_id",
+        F.row_number().over(ordered).cast("long").alias("touch"),
+        F.lead("chunk_id").over(ordered).alias("next_chunk"),
+        running({"total": F.sum("n")}, ("merchantId",))["total"].alias("total"),
+    )
+
+
+def eligible_merchants_over_time(touches: DataFrame, limits: Thresholds) -> DataFrame:
+    """First touch at which each merchant has enough rows, as its total never falls, and its last one."""
+    enough = F.col("total") >= limits.min_merchant_txns
     return (
-        per_chunk.withColumn("total", total)
-        .filter(F.col("total") >= limits.min_merchant_txns)
-        .groupBy("merchantId")
-        .agg(F.min("chunk_id").alias("since"))
+        touches.groupBy("merchantId")
+        .agg(F.min(F.when(enough, F.col("touch"))).alias("since"), F.max("touch").alias("until"))
+        .filter(F.col("since").isNotNull())
     )
 
 
-def level_history(history: History, since: DataFrame, since_rows: int, opts: Options) -> DataFrame:
-    """Each eligible merchant's histogram in each chunk, built from changes of its levels."""
+def in_touches(versions: DataFrame, touches: DataFrame, rows: int, opts: Options) -> DataFrame:
+    """Versions with the touches at which they begin and end in place of chunks."""
+    small = touches.select("merchantId", "chunk_id", "touch")
+    begun = lookup_join(versions, small, ["merchantId", "chunk_id"], "n", rows, opts)
+    after = small.select("merchantId", F.col("chunk_id").alias("next_chunk"), F.col("touch").alias("next_touch"))
+    return lookup_join(begun, after, ["merchantId", "next_chunk"], "n", rows, opts, "left").drop("chunk_id", "next_chunk")
+
+
+def each_touch(df: DataFrame) -> DataFrame:
+    """A row per touch at which a version is valid and its merchant eligible."""
+    start = F.greatest("touch", "since")
+    end = F.coalesce(F.col("next_touch") - 1, F.col("until"))
+    valid = df.withColumns({"_start": start, "_end": end}).filter(F.col("_start") <= F.col("_end"))
+    touches = F.explode(F.sequence("_start", "_end"))
+    return valid.withColumn("touch", touches).drop("_start", "_end", "next_touch", "since", "until")
+
+
+def level_history(
+    history: History, touches: DataFrame, rows: int, eligible: DataFrame, merchants: int, opts: Options
+) -> DataFrame:
+    """Each eligible merchant's histogram at each of its touches, built from changes of its levels."""
     moves = (
         history.versions.filter(F.col("merchantId").isNotNull())
         .select(
             "merchantId",
-            "customerId",
             "chunk_id",
             F.explode(
                 F.array(
@@ -165,10 +193,9 @@ def level_history(history: History, since: DataFrame, since_rows: int, opts: Opt
         )
         .select("merchantId", "chunk_id", "_move.*")
         .filter(F.col("n") > 0)
-        .groupBy("merchantId", "n", "chunk_id")
-        .agg(F.sum("change").alias("change"))
-        .filter(F.col("change") != 0)
     )
+    moves = lookup_join(moves, eligible.select("merchantId"), ["merchantId"], "n", merchants, opts, "left_semi")
+    moves = moves.groupBy("merchantId", "n", "chunk_id").agg(F.sum("change").alias("change")).filter(F.col("change") != 0)
     keys = ("merchantId", "n")
     level = moves.select(
         *keys,
@@ -176,11 +203,11 @@ def level_history(history: History, since: DataFrame, since_rows: int, opts: Opt
         running({"customers": F.sum("change")}, keys)["customers"].alias("customers"),
         F.lead("chunk_id").over(Window.partitionBy(*keys).orderBy("chunk_id")).alias("next_chunk"),
     ).filter(F.col("customers") > 0)
-    known = lookup_join(level, since, ["merchantId"], "n", since_rows, opts)
-    return each_chunk(known, F.greatest("chunk_id", "since"), history).drop("since")
+    known = lookup_join(in_touches(level, touches, rows, opts), eligible, ["merchantId"], "n", merchants, opts)
+    return each_touch(known)
 
 
-def cumulative_upgrade(
+def upgrade_intervals(
     history: History,
     importance: DataFrame,
     limits: Thresholds,
@@ -188,37 +215,55 @@ def cumulative_upgrade(
     opts: Options,
     ws: Workspace,
 ) -> DataFrame:
-    """Only customers that reach their merchant's lowest cut ever are followed per chunk."""
-    keys = ["chunk_id", "merchantId"]
-    since = ws.save(eligible_since(history, limits), "since")
-    levels = level_history(history, since, since.count(), opts)
+    """Only customers that reach their merchant's lowest cut ever are followed from touch to touch."""
+    keys = ["touch", "merchantId"]
+    all_touches = merchant_touches(history)
+    eligible = ws.save(eligible_merchants_over_time(all_touches, limits), "eligible")
+    merchants = eligible.count()
+    seen = Observation()
+    touches = lookup_join(all_touches, eligible.select("merchantId"), ["merchantId"], "chunk_id", merchants, opts, "left_semi")
+    touches = ws.save(touches.observe(seen, F.count(F.lit(1)).alias("rows")), "touches")
+    rows = seen.get.get("rows") or 0
+    levels = level_history(history, touches, rows, eligible, merchants, opts)
     cuts = save_cuts(top_levels(levels, keys, limits), keys, ws)
-    floors = ws.save(
-        cuts.df.groupBy("merchantId")
-        .agg(F.min("cut").alias("floor"), F.min("chunk_id").alias("since")),
-        "floors",
-    )
+    floors = ws.save(cuts.df.groupBy("merchantId").agg(F.min("cut").alias("floor")), "floors")
     reach = lookup_join(
         history.versions.filter(F.col("customerId").isNotNull()),
         floors,
         ["merchantId"],
         "customerId",
-        floors.count(),
+        merchants,
         opts,
     ).filter(F.col("n") >= F.col("floor"))
     weights = pair_weights(importance, opts)
-    known = reach.select("chunk_id", "next_chunk", "since", "n", *PAIR).join(weights, list(PAIR))
-    spread = each_chunk(known, F.greatest("chunk_id", "since"), history).drop("since")
-    top = lookup_join(spread, cuts.df, keys, "customerId", cuts.rows, opts).filter(
+    known = reach.select("chunk_id", "next_chunk", "n", *PAIR).join(weights, list(PAIR))
+    known = lookup_join(in_touches(known, touches, rows, opts), eligible, ["merchantId"], "customerId", merchants, opts)
+    top = lookup_join(each_touch(known), cuts.df, keys, "customerId", cuts.rows, opts).filter(
         F.col("n") >= F.col("cut")
     )
     low = lowest_weights(
         top.select(*keys, "customerId", "avg_weight"), keys, cuts.largest, limits, opts, ws
     )
-    return to_detections(low, "upgrade", clock, scope=SCOPE)
+    times = touches.select(*keys, "chunk_id", "next_chunk")
+    placed = lookup_join(low, times, keys, "customerId", rows, opts)
+    return to_detections(placed.select(*PAIR, *spans(history)), "upgrade", clock, scope=SPAN)
 
 
-def cumulative(
+def coalesced(intervals: DataFrame) -> DataFrame:
+    """Intervals of equal rows that follow each other without a gap as one; none may overlap."""
+    keys = [c for c in intervals.columns if c not in SPAN]
+    ordered = Window.partitionBy(*keys).orderBy("first_chunk")
+    apart = F.coalesce(F.col("first_chunk") > F.lag("last_chunk").over(ordered) + 1, F.lit(False)).cast("int")
+    return (
+        intervals.withColumn("_apart", apart)
+        .withColumn("_island", F.sum("_apart").over(ordered))
+        .groupBy(*keys, "_island")
+        .agg(F.min("first_chunk").alias("first_chunk"), F.max("last_chunk").alias("last_chunk"))
+        .select(*SPAN, *keys)
+    )
+
+
+def cumulative_intervals(
     txns: DataFrame,
     importance: DataFrame | None,
     limits: Thresholds,
@@ -227,14 +272,42 @@ def cumulative(
     ws: Workspace | None = None,
     patterns: tuple[str, ...] = PATTERNS,
 ) -> DataFrame:
-    """All chosen rules for all chunks; `txns` carries chunk_id."""
+    """All chosen rules for all chunks, each detection with the chunks from `first_chunk` to `last_chunk`
+    in which it holds, as long as it does; `txns` carries chunk_id."""
+    return coalesced(version_intervals(txns, importance, limits, clock, opts, ws, patterns))
+
+
+def version_intervals(
+    txns: DataFrame,
+    importance: DataFrame | None,
+    limits: Thresholds,
+    clock: Clock,
+    opts: Options = Options(),
+    ws: Workspace | None = None,
+    patterns: tuple[str, ...] = PATTERNS,
+) -> DataFrame:
+    """The same with an interval for each version that fires; intervals of one key do not overlap."""
     ws = ws or Workspace(txns.sparkSession)
     history = build_history(txns, opts, ws)
     found = []
     if "upgrade" in patterns:
-        found.append(cumulative_upgrade(history, importance, limits, clock, opts, ws))
+        found.append(upgrade_intervals(history, importance, limits, clock, opts, ws))
     if "child" in patterns:
-        found.append(cumulative_child(history, limits, clock, opts))
+        found.append(child_intervals(history, limits, clock, opts))
     if "gender_skew" in patterns:
-        found.append(cumulative_gender_skew(history, limits, clock, opts))
+        found.append(gender_skew_intervals(history, limits, clock, opts))
     return reduce(DataFrame.unionByName, found)
+
+
+def cumulative(
+    txns: DataFrame,
+    importance: DataFrame | None,
+    limits: Thresholds,
+    clock: Clock,
+    opts: Options = Options(),
+    ws: Workspace | None = None,
+    patterns: tuple[str, ...] = PATTERNS,
+) -> DataFrame:
+    """The same with a row for every chunk."""
+    found = version_intervals(txns, importance, limits, clock, opts, ws, patterns)
+    return found.select(F.explode(F.sequence(*SPAN)).alias("chunk_id"), *[c for c in found.columns if c not in SPAN])

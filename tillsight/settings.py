@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 PATTERNS = ("upgrade", "child", "gender_skew")
+# Fixed value: rows per chunk.
+CHUNK_ROWS = 10_000
 
 
 @dataclass(frozen=True)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsight.functions.ids import gender_letter, unquote
 from tillsight.schemas import IMPORTANCE, TRANSACTIONS
-from tillsight.settings import Options
+from tillsight.settings import CHUNK_ROWS, Options
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -45,17 +45,51 @@ def stream_transactions(
 ) -> DataFrame:
     """Chunk files of a folder as a stream, oldest first, `files_per_batch` to a micro-batch.
 
-    `columns` is the header of the chunk files, in file order.
+    `columns` is the header of the chunk files, in file order. A `chunk_id` among them orders the
+    stream; then each row also tells the file it came in.
     """
+    stream = _file_stream(spark, folder, columns, files_per_batch)
+    if "chunk_id" in columns:
+        source = F.col("_metadata.file_name").alias("source_file")
+        stream = stream.select("*", source).withColumn("chunk_id", F.col("chunk_id").cast("long"))
+    return typed(stream, TRANSACTIONS)
+
+
+def _file_stream(
+    spark: SparkSession, folder: str, columns: list[str], files_per_batch: int, names: str = "*"
+) -> DataFrame:
     raw = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    stream = (
+    return (
         spark.readStream.schema(raw)
         .option("header", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("pathGlobFilter", names)
         .csv(folder)
     )
-    if "chunk_id" in columns:
-        stream = stream.withColumn("chunk_id", F.col("chunk_id").cast("long"))
+
+
+def row_offset(file_name: Column) -> Column:
+    """The number of the first row in the name of a chunk file, `chunk_<row>.csv`; null for other names."""
+    digits = F.regexp_extract(file_name, r"^chunk_(\d+)\.csv$", 1)
+    return F.when(digits != "", digits.try_cast("long"))
+
+
+def stream_named_chunks(
+    spark: SparkSession, folder: str, columns: list[str], chunk_rows: int = CHUNK_ROWS, files_per_batch: int = 1
+) -> DataFrame:
+    """Files `chunk_<row>.csv` of a folder as a stream ordered by the row numbers in their names.
+
+    A file holds rows of one chunk, from the row in its name on; a chunk may come in several files. Files
+    of other names are not read.
+    """
+    name = F.col("_metadata.file_name")
+    place = row_offset(name)
+    stream = _file_stream(spark, folder, columns, files_per_batch, "chunk_*.csv").select(
+        "*",
+        F.floor(place / chunk_rows).cast("long").alias("chunk_id"),
+        place.alias("row_offset"),
+        name.alias("source_file"),
+    )
     return typed(stream, TRANSACTIONS)
 
 

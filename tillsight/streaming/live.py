@@ -1,20 +1,26 @@
 """Detection on a stream of chunks with Structured Streaming.
 
-A stream with a `chunk_id` is evaluated chunk by chunk in the order of these numbers, whatever order
-its files come in: each micro-batch stores the pair state of the chunks it brings, and then every
-chunk that is next in line is merged into the running state and evaluated. Early chunks wait; a chunk
-that came before is ignored. A chunk is one file. A stream without numbers goes by micro-batches,
-with a streaming aggregate as its running state. In chunk scope each chunk is evaluated alone.
-
-Everything a micro-batch writes is keyed by its id and overwritten if the batch is repeated, and it
-reads only what earlier batches wrote. So results are the same after any restart.
-
-    arrived/batch=<b>       pair state of the chunks of a micro-batch
-    state/slot=<0|1>        the newest snapshot and the one before
-    emitted/step=<s>        detections in order; s = 2 * chunk id (or batch id), odd steps hold what
-                            is added when a run is closed
+A stream with chunk numbers is evaluated chunk by chunk in the order of these numbers, whatever order
+its files come in: each micro-batch stores the pair state of the files it brings and notes them
+(`arrivals`), and then every chunk that is next in line and whole is evaluated. A stream without numbers
+goes by micro-batches, with a streaming aggregate as its running state. In chunk scope each chunk is
+evaluated alone.
+
+The running state of a numbered stream is a table in levels (`operators.levels`), bucketed by merchant. A
+chunk adds what it changes; then only the buckets it touched are read and evaluated, as no rule fires
+anew for a merchant without new rows. What was emitted is kept in the same way, by the same buckets.
+
+Everything a micro-batch writes is keyed by its id or its chunk and overwritten if it is repeated, and it
+reads only what earlier ones wrote. So results are the same after any restart.
+
+    arrived/batch=<b>       pair state of the files of a micro-batch
+    arrivals                a line per file: chunk, source, rows
+    pairs                   running pair state of a numbered stream
+    state/slot=<0|1>        without numbers: the newest snapshot and the one before
+    emitted                 detections with their step; step = 2 * chunk id (or batch id), odd steps hold
+                            what is added when a run is closed
+    progress                rows and detections so far by step; makes the step's detections visible
     weights                 average importance per pair, from the static table
-    progress/step=<s>       rows and detections so far; makes the step's detections visible
     files/file_id=<i>       CSV files of exactly 50 detections
 """
 
@@ -23,14 +29,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tillsight.functions.ids import strip_ends
 from tillsight.functions.times import read_clock
 from tillsight.operators.batches import FILE_ROWS, file_of, write_files
 from tillsight.operators.dedup import not_seen
+from tillsight.operators.levels import BUCKET, Journal, LevelStore
 from tillsight.operators.ordering import number_placed, place_in_order
 from tillsight.operators.pairs import (
     PAIR,
@@ -44,20 +52,26 @@ from tillsight.operators.pairs import (
 )
 from tillsight.plans.detect import detect_on_pairs
 from tillsight.plans.upgrade import pair_weights
-from tillsight.schemas import DETECTION_COLUMNS, DETECTIONS
+from tillsight.schemas import DETECTION_COLUMNS, DETECTIONS, TRANSACTIONS
 from tillsight.settings import PATTERNS, Clock, Options, Thresholds
 from tillsight.sources.tables import normalize_transactions
+from tillsight.streaming.arrivals import CHUNK, PLACE, SOURCE, Arrival, Arrivals, notes_of
 from tillsight.workspace import Workspace
 
-EMITTED = T.StructType([*DETECTIONS.fields, T.StructField("_at", T.LongType())])
+STEP = T.StructField("step", T.LongType())
+BUCKETED = T.StructField(BUCKET, T.IntegerType())
+EMITTED = T.StructType([*DETECTIONS.fields, T.StructField("_at", T.LongType()), STEP, BUCKETED])
 PROGRESS = T.StructType(
     [
         T.StructField("total_rows", T.LongType()),
         T.StructField("detections", T.LongType()),
         T.StructField("total_detections", T.LongType()),
+        STEP,
+        T.StructField("batch", T.LongType()),
     ]
 )
-STEP = T.StructField("step", T.LongType())
+# Buckets told by the bits of one long.
+MASK_BITS = 62
 # Within a micro-batch any total order will do; this one is reproducible.
 ORDER = ["patternId", "merchantId", "customerName"]
 
@@ -70,6 +84,8 @@ class LiveConfig:
     patterns      rules evaluated in every micro-batch.
     at_end        rules evaluated once, on everything, when the run is closed.
     emit_once     drop detections whose key was emitted before.
+    chunk_rows    rows of a whole chunk; unknown, a chunk is whole with the first file that comes for it.
+    buckets       parts of the running state and of what was emitted, by merchant.
     """
 
     limits: Thresholds
@@ -79,6 +95,8 @@ class LiveConfig:
     at_end: tuple[str, ...] = ("child",)
     emit_once: bool = True
     file_rows: int = FILE_ROWS
+    chunk_rows: int | None = None
+    buckets: int = 16
 
     def __post_init__(self):
         if self.scope not in ("cumulative", "chunk"):
@@ -114,19 +132,14 @@ class LiveDetector:
         self.clock = clock
         self._last: tuple[int, Totals] | None = None
         self._weights: DataFrame | None = None
-        self._waiting: dict[int, int] | None = None  # chunk: micro-batch it came in
-        self._write(self._empty(EMITTED), "emitted", -1)
-        self._write(self._empty(PROGRESS), "progress", -1)
+        self._emitted = LevelStore(spark, f"{self.out}/emitted", EMITTED, buckets=True, spread=False)
+        self._progress = Journal(spark, f"{self.out}/progress", PROGRESS)
+        self._arrived_schema: T.StructType | None = None
+        self._pairs: LevelStore | None = None
+        self.arrived = Arrivals(spark, f"{self.out}/arrivals", config.chunk_rows)
 
     # Tables of the output folder
 
-    def _write(self, df: DataFrame, name: str, step: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.out}/{name}/step={step}")
-
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        full = T.StructType([*schema.fields, STEP])
-        return self.spark.read.schema(full).parquet(f"{self.out}/{name}")
-
     def _empty(self, schema: T.StructType) -> DataFrame:
         return self.spark.createDataFrame([], schema).coalesce(1)
 
@@ -134,7 +147,7 @@ class LiveDetector:
         """Detections with a sequence number above `after`, with sequence, file and step."""
         known = self.progress().filter(F.col("total_detections") > after)
         known = known.select("step", (F.col("total_detections") - F.col("detections")).alias("_base"))
-        placed = self._read("emitted", EMITTED).join(known, "step")
+        placed = self._emitted.read().drop(BUCKET).join(known, "step")
         seq = F.col("seq") + F.col("_base")
         return (
             number_placed(placed, ["step"])
@@ -145,7 +158,7 @@ class LiveDetector:
         )
 
     def progress(self) -> DataFrame:
-        return self._read("progress", PROGRESS)
+        return self._progress.read()
 
     def files(self) -> str:
         return f"{self.out}/files"
@@ -199,17 +212,11 @@ class LiveDetector:
         """
         if self._last and self._last[0] == step - 2:
             return self._last[1]
-        earlier = F.col("step") < step
-        row = (
-            self.progress()
-            .agg(
-                F.max(F.when(earlier, F.col("total_rows"))).alias("rows"),
-                F.max(F.when(earlier, F.col("total_detections"))).alias("detections"),
-                F.max("step").alias("last"),
-            )
-            .first()
+        row = self._progress.last(step)
+        last = self._progress.last_step()
+        return Totals(
+            row["total_rows"] if row else 0, row["total_detections"] if row else 0, last is not None and last >= step
         )
-        return Totals(row["rows"] or 0, row["detections"] or 0, row["last"] is not None and row["last"] >= step)
 
     def _drop_files(self, first: int) -> None:
         """Empty the files from a number on, which a withdrawn close had filled."""
@@ -227,75 +234,138 @@ class LiveDetector:
         step = 2 * batch_id
         totals = self._totals(step)
         if totals.repeated:
-            # Withdraw what closing the run may have added after this batch.
-            self._write(self._empty(EMITTED), "emitted", step + 1)
-            self._write(self._empty(PROGRESS), "progress", step + 1)
+            # What closing the run may have added after this batch is withdrawn by adding this step anew.
             self._drop_files(totals.detections // self.config.file_rows)
         ws = self._workspace(step)
         pairs = self._snapshot(batch, batch_id, ws)
         found = self._detect(pairs, batch_id, start, self.config.patterns, ws)
         rows = pairs.txns + (totals.rows if self.config.scope == "chunk" else 0)
-        self._emit(found, step, totals, rows)
+        self._emit(found, step, totals, rows, batch_id)
 
     # Chunks in order
 
-    def _arrived(self, batch_id: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.out}/arrived/batch={batch_id}")
-
     def _done(self) -> int:
         """The last chunk evaluated, -1 before the first."""
-        if self._last:
-            return self._last[0] // 2
-        return max(self.progress().agg(F.max("step")).first()[0] or -1, -1) // 2
+        last = self._last[0] if self._last else self._progress.last_step()
+        return -1 if last is None else last // 2
+
+    def _last_batch(self) -> int:
+        row = self._progress.last()
+        return row["batch"] if row else -1
 
     def waiting(self) -> list[int]:
-        """Chunks that have come but wait for one before them."""
-        return sorted(self._waiting or {})
+        """Chunks that have come, in part or whole, and wait."""
+        return sorted(self.arrived.waiting)
+
+    def gaps(self) -> list[tuple[int, int | None]]:
+        """Chunks that keep later ones waiting, with the rows they lack, as far as that is known."""
+        return self.arrived.gaps(self._done())
+
+    def arrivals(self) -> DataFrame:
+        """Every file that came: chunk, source, rows, micro-batch, and what became of it."""
+        return self.arrived.table(self.progress(), self._done())
 
     def process_chunks(self, batch: DataFrame, batch_id: int) -> None:
         """foreachBatch body for a stream with chunk numbers; safe to repeat for a batch id."""
         start = self._start_time()
         done = self._done()
+        self.arrived.load(batch_id, self._last_batch(), done)
         path = f"{self.out}/arrived/batch={batch_id}"
-        if self._waiting is None:
-            self._waiting = {}
-            if batch_id > 0:
-                known = self.spark.read.parquet(f"{self.out}/arrived").filter(F.col("batch") < batch_id)
-                self._note(known.groupBy("chunk_id").agg(F.min("batch").alias("batch")), done)
+        scope = tuple(c for c in (CHUNK, SOURCE, PLACE) if c in batch.columns)
         seen = Observation()
-        pairs = pair_state(batch, self.config.opts, ("chunk_id",))
-        pairs.observe(seen, F.count_if(F.col("chunk_id").isNull()).alias("stray")).write.mode(
-            "overwrite"
-        ).parquet(path)
+        pairs = pair_state(batch, self.config.opts, scope)
+        stray = F.count_if(F.col(CHUNK).isNull()).alias("stray")
+        pairs.observe(seen, stray).write.mode("overwrite").parquet(path)
         if seen.get.get("stray"):
             raise ValueError(f"micro-batch {batch_id} has rows without a chunk number")
-        chunks = self._arrived(batch_id).select("chunk_id").distinct()
-        self._note(chunks.withColumn("batch", F.lit(batch_id)), done)
-        while done + 1 in self._waiting:
+        self._arrived_schema = pairs.schema
+        notes = notes_of(self.spark.read.schema(pairs.schema).parquet(path), batch_id)
+        self.arrived.add(notes, batch_id, done)
+        while self.arrived.whole(done + 1):
             done += 1
-            self._evaluate(done, self._waiting.pop(done), start)
+            self._evaluate(done, 2 * done, batch_id, start, self.config.patterns)
             start = self._start_time()
 
-    def _note(self, chunks: DataFrame, done: int) -> None:
-        """Keep the chunks still to come; of a repeated chunk the first counts."""
-        for row in chunks.filter(F.col("chunk_id") > done).collect():  # few numbers per micro-batch
-            self._waiting.setdefault(row["chunk_id"], row["batch"])
-
-    def _evaluate(self, chunk: int, batch_id: int, start: str) -> None:
-        step = 2 * chunk
+    def _rows_of(self, files: list[Arrival]) -> DataFrame | None:
+        """Pair state of some files, a row per file and pair."""
+        found = None
+        for batch in sorted({f.batch for f in files}):
+            reader = self.spark.read if self._arrived_schema is None else self.spark.read.schema(self._arrived_schema)
+            part = reader.parquet(f"{self.out}/arrived/batch={batch}")
+            mine = [f for f in files if f.batch == batch]
+            picked = F.lit(False)
+            for file in mine:
+                one = F.col(CHUNK) == file.chunk
+                picked = picked | (one & F.col(SOURCE).eqNullSafe(F.lit(file.source)) if SOURCE in part.columns else one)
+            part = part.filter(picked).drop(CHUNK, SOURCE, PLACE)
+            found = part if found is None else found.unionByName(part)
+        return found
+
+    def _bucket(self, merchant: Column) -> Column:
+        """Merchants that a rule may take for one, by their stripped names, are in one bucket."""
+        return F.pmod(F.xxhash64(merchant), F.lit(self.config.buckets)).cast("int").alias(BUCKET)
+
+    def _state_bucket(self) -> Column:
+        clean = self.config.opts.id_style == "clean"
+        return self._bucket(F.col("merchantId") if clean else strip_ends("merchantId"))
+
+    def _found_bucket(self) -> Column:
+        stripped = (F.col("patternId") == "PatId3") | F.lit(self.config.opts.id_style == "clean")
+        return self._bucket(F.when(stripped, F.col("merchantId")).otherwise(strip_ends("merchantId")))
+
+    def _pair_store(self, schema: T.StructType | None = None) -> LevelStore:
+        if self._pairs is None:
+            if schema is None:
+                schema = pair_state(self._empty(TRANSACTIONS), self.config.opts).schema
+            merged = [F.col(c) for c in (*PAIR, BUCKET)]
+            self._pairs = LevelStore(
+                self.spark,
+                f"{self.out}/pairs",
+                T.StructType([*schema.fields, BUCKETED]),
+                lambda df: merge_pairs(df, merged),
+                buckets=True,
+            )
+        return self._pairs
+
+    def _add_pairs(self, new: DataFrame, step: int) -> list[int]:
+        """Add what has changed to the running state; the buckets it touches."""
+        store = self._pair_store(new.schema)
+        masks = [
+            F.bit_or(
+                F.when(
+                    (F.col(BUCKET) >= low) & (F.col(BUCKET) < low + MASK_BITS),
+                    F.expr(f"shiftleft(1L, {BUCKET} - {low})"),
+                ).otherwise(0)
+            ).alias(f"mask_{low}")
+            for low in range(0, self.config.buckets, MASK_BITS)
+        ]
+        seen = store.append(new.withColumn(BUCKET, self._state_bucket()), step, masks)
+        bits = [(low, seen.get(f"mask_{low}") or 0) for low in range(0, self.config.buckets, MASK_BITS)]
+        return [low + k for low, mask in bits for k in range(MASK_BITS) if mask >> k & 1]
+
+    def _evaluate(self, chunk: int | None, step: int, batch_id: int, start: str, patterns: tuple[str, ...]) -> None:
+        """Add a chunk and what was late to the state, and evaluate what they touch.
+
+        Without a chunk only late rows are added, and all that rules of the end may report is evaluated."""
         totals = self._totals(step)
         ws = self._workspace(step)
-        new = self._arrived(batch_id).filter(F.col("chunk_id") == chunk).drop("chunk_id")
+        files, late = self.arrived.take(chunk)
+        rows = totals.rows + sum(f.rows for f in files + late)
+        buckets = None
         if self.config.scope == "chunk":
-            pairs = save_pairs(new, ws)
+            new = self._rows_of(files)
+            pairs = save_pairs(merge_pairs(new, [F.col(c) for c in PAIR]) if len(files) > 1 else new, ws) if files else None
         else:
-            if chunk:
-                before = self.spark.read.schema(new.schema).parquet(self._state_path(chunk - 1))
-                new = merge_pairs(before.unionByName(new), [F.col(c) for c in PAIR])
-            pairs = self._snapshot(new, chunk, ws)
-        found = self._detect(pairs, chunk, start, self.config.patterns, ws)
-        rows = pairs.txns + (totals.rows if self.config.scope == "chunk" else 0)
-        self._emit(found, step, totals, rows)
+            if files or late:
+                new = self._rows_of(files + late)
+                if len(files) + len(late) > 1:
+                    new = merge_pairs(new, [F.col(c) for c in PAIR])
+                buckets = self._add_pairs(new, step)
+            everything = chunk is None or not self.config.emit_once
+            state = self._pair_store().read(buckets=None if everything else buckets)
+            pairs = save_pairs(state.drop(BUCKET), ws)
+        found = self._empty(DETECTIONS) if pairs is None else self._detect(pairs, step // 2, start, patterns, ws)
+        self._emit(found, step, totals, rows, batch_id, flush=chunk is None, buckets=None if chunk is None else buckets)
 
     def _emit(
         self,
@@ -303,26 +373,22 @@ class LiveDetector:
         step: int,
         totals: Totals,
         rows: int,
+        batch_id: int,
         flush: bool = False,
+        buckets: list[int] | None = None,
     ) -> None:
         """Store new detections in order, tell their number, write the files they fill.
 
-        Spark repeats the whole batch if any part of this fails.
+        Detections can only repeat earlier ones of the same buckets. Spark repeats the whole batch if any
+        part of this fails.
         """
         if self.config.emit_once:
-            earlier = self._read("emitted", EMITTED).filter(F.col("step") < step)
-            found = not_seen(found, earlier)
-        seen = Observation()
-        placed = place_in_order(found.select(*DETECTION_COLUMNS), ORDER)
-        self._write(placed.observe(seen, F.count(F.lit(1)).alias("rows")), "emitted", step)
-        new = seen.get.get("rows") or 0
+            found = not_seen(found, self._emitted.read(step, buckets))
+        placed = place_in_order(found.select(*DETECTION_COLUMNS), ORDER).withColumn("step", F.lit(step).cast("long"))
+        placed = placed.withColumn(BUCKET, self._found_bucket())
+        new = self._emitted.append(placed, step, [F.count(F.lit(1)).alias("rows")]).get("rows") or 0
         total = totals.detections + new
-        counts = self.spark.range(0, 1, 1, 1).select(
-            F.lit(rows).cast("long").alias("total_rows"),
-            F.lit(new).cast("long").alias("detections"),
-            F.lit(total).cast("long").alias("total_detections"),
-        )
-        self._write(counts, "progress", step)
+        self._progress.append([dict(zip(PROGRESS.fieldNames(), (rows, new, total, step, batch_id)))], step)
         size = self.config.file_rows
         first_open = totals.detections // size
         end = total // size + (1 if flush and total % size else 0)
@@ -358,11 +424,28 @@ class LiveDetector:
         Call it when the query has ended. A later run on the same folder goes on after it and
         completes the part-filled file.
         """
-        last = self.progress().agg(F.max("step")).first()[0]
-        if last is None or last < 0:
+        numbered = self.arrived.store.last_step()
+        if numbered is not None:
+            self.arrived.load(numbered + 1, self._last_batch(), self._done())
+            nxt = self._done() + 1
+            if self.arrived.short_last(nxt):
+                self._evaluate(nxt, 2 * nxt, numbered, self._start_time(), self.config.patterns)
+        last = self._progress.last_step()
+        if last is None:
             return
         batch_id = last // 2
         step = 2 * batch_id + 1
+        if numbered is not None:
+            again = self.arrived.late and self.config.scope != "chunk"
+            patterns = tuple(p for p in PATTERNS if p in self.config.at_end or (again and p in self.config.patterns))
+            if self.config.scope != "chunk" and patterns:
+                self._evaluate(None, step, numbered, self._start_time(), patterns)
+            else:
+                late = self.arrived.take(None)[1]
+                totals = self._totals(step)
+                rows = totals.rows + sum(f.rows for f in late)
+                self._emit(self._empty(DETECTIONS), step, totals, rows, numbered, flush=True)
+            return
         totals = self._totals(step)
         ws = self._workspace(step)
         found = self._empty(DETECTIONS)
@@ -370,7 +453,7 @@ class LiveDetector:
             start = self._start_time()
             state = self._state(batch_id)
             found = self._detect(state, batch_id, start, self.config.at_end, ws)
-        self._emit(found, step, totals, totals.rows, flush=True)
+        self._emit(found, step, totals, totals.rows, batch_id, flush=True)
 
     def run(self, stream: DataFrame) -> None:
         """Consume what is there, in order, and close."""
@@ -379,4 +462,7 @@ class LiveDetector:
 
     def final_state(self) -> PairTable:
         """Pair state after the last micro-batch."""
-        return self._state(self.progress().agg(F.max("step")).first()[0] // 2)
+        if self.arrived.store.last_step() is None:
+            return self._state(self._progress.last_step() // 2)
+        state = self._pair_store().read().drop(BUCKET)
+        return known_pairs(state, state.agg(*pair_facts()).first().asDict())

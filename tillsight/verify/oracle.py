@@ -284,6 +284,7 @@ ORACLE: dict[str, str] = {
     "stream_child_final": with_events(child(EVENTS)),
     "stream_emit_once": fired("SELECT * FROM firsts", STREAM_CHUNK_ROWS),
     "stream_any_order": fired("SELECT * FROM firsts", STREAM_CHUNK_ROWS),
+    "stream_named_files": fired("SELECT * FROM firsts", STREAM_CHUNK_ROWS),
     "stream_restart": fired("SELECT * FROM firsts", STREAM_CHUNK_ROWS),
     "stream_chunk_detections": with_events(
         everything(EVENT_CHUNK, CHUNK), chunk_rows=STREAM_CHUNK_ROWS

@@ -11,7 +11,7 @@ from tillsight.functions.ids import gender_letter, letter_of, strip_ends
 from tillsight.functions.times import ist_text
 from tillsight.operators.batches import in_files
 from tillsight.operators.chunks import assign_chunks, stream_progress, write_chunks
-from tillsight.operators.dedup import emit_once, keep_first, occurs_once
+from tillsight.operators.dedup import emit_once, held_once, keep_first
 from tillsight.operators.pairs import average_amount, pair_state, save_pairs
 from tillsight.plans import cumulative as cum
 from tillsight.plans import gender_skew as gs
@@ -31,9 +31,10 @@ from tillsight.sources.tables import (
     normalize_transactions,
     read_importance,
     read_transactions,
+    stream_named_chunks,
     stream_transactions,
 )
-from tillsight.verify.landing import land
+from tillsight.verify.landing import land, land_named
 from tillsight.streaming.live import LiveConfig, LiveDetector
 from tillsight.workspace import Workspace
 
@@ -261,39 +262,50 @@ def cumulative(spark, sf, patterns=PATTERNS, ws=None, txns=None):
     return cum.cumulative(txns, event_importance(spark, sf), EVENTS, CLOCK, OPTS, ws, patterns)
 
 
+def fired_intervals(spark, sf, ws, txns=None):
+    """Everything that fires, with the chunks it holds in."""
+    txns = txns or chunked_events(spark, sf, ws)
+    return cum.version_intervals(txns, event_importance(spark, sf), EVENTS, CLOCK, OPTS, ws)
+
+
 def fired_keys(spark, sf, ws, txns=None):
-    """(chunk, keys) of everything that fires, written once for its several readers."""
-    rows = cumulative(spark, sf, ws=ws, txns=txns).select("chunk_id", *DETECTION_KEYS)
-    return ws.save(rows, "fired")
+    """(chunk, keys) where anything begins to fire, written once for its several readers."""
+    rows = fired_intervals(spark, sf, ws, txns).withColumnRenamed("first_chunk", "chunk_id")
+    return ws.save(rows.select("chunk_id", "last_chunk", *DETECTION_KEYS), "fired")
 
 
 def progress(spark, sf):
     ws = Workspace(spark)
     txns = chunked_events(spark, sf, ws)
-    return stream_progress(txns, keep_first(fired_keys(spark, sf, ws, txns)), ws)
+    return stream_progress(txns, first_keys(spark, sf, ws, txns), ws)
+
+
+def first_keys(spark, sf, ws, txns=None):
+    return keep_first(fired_keys(spark, sf, ws, txns).drop("last_chunk"))
 
 
 def first_detection(spark, sf):
-    return keep_first(fired_keys(spark, sf, Workspace(spark)))
+    return first_keys(spark, sf, Workspace(spark))
 
 
 def first_detection_rows(spark, sf):
     ws = Workspace(spark)
-    return keep_first(ws.save(cumulative(spark, sf, ws=ws), "rows"))
+    rows = fired_intervals(spark, sf, ws).withColumnRenamed("first_chunk", "chunk_id").drop("last_chunk")
+    return keep_first(ws.save(rows, "rows"))
 
 
 def emitted_once(spark, sf):
-    return emit_once(fired_keys(spark, sf, Workspace(spark)))
+    return emit_once(fired_keys(spark, sf, Workspace(spark)).drop("last_chunk"))
 
 
 def once_only(spark, sf):
-    return occurs_once(fired_keys(spark, sf, Workspace(spark)))
+    return held_once(fired_keys(spark, sf, Workspace(spark)), "chunk_id", "last_chunk").drop("last_chunk")
 
 
 def batches(spark, sf, flush=False):
     ws = Workspace(spark)
     order = ["chunk_id", "patternId", "merchantId", "customerName"]
-    return in_files(keep_first(fired_keys(spark, sf, ws)), order, ws, flush)
+    return in_files(first_keys(spark, sf, ws), order, ws, flush)
 
 
 # Structured Streaming
@@ -342,6 +354,22 @@ def stream_any_order(spark, sf):
     return by_chunk(live_run(spark, sf, PATTERNS, reverse=True), DETECTION_KEYS)
 
 
+def stream_named_files(spark, sf):
+    """Files that tell their rows by name only, two to a chunk, with a stop half-way through a chunk."""
+    ws = Workspace(spark)
+    numbered = assign_chunks(event_transactions(spark, sf), ["ts", "event_id"], ws, STREAM_CHUNK_ROWS)
+    rows = ws.save(numbered.select("seq", *CHUNK_COLUMNS[1:]), "rows")
+    landing, half = ws.path("landing"), STREAM_CHUNK_ROWS // 2
+    settings = LiveConfig(EVENTS, OPTS, patterns=PATTERNS, at_end=(), chunk_rows=STREAM_CHUNK_ROWS)
+    for part in (rows.filter(F.col("seq") <= 3 * half), rows.filter(F.col("seq") > 3 * half)):
+        land_named(spark, part, landing, half)
+        live = LiveDetector(spark, event_importance(spark, sf), ws.path("live"), settings, lambda chunk: CLOCK)
+        stream = stream_named_chunks(spark, landing, CHUNK_COLUMNS[1:], STREAM_CHUNK_ROWS, files_per_batch=2)
+        live.start(stream, availableNow=True).awaitTermination()
+    live.finish()
+    return by_chunk(live, DETECTION_KEYS)
+
+
 def stream_restart(spark, sf):
     return by_chunk(live_run(spark, sf, PATTERNS, stop=True), DETECTION_KEYS)
 
@@ -424,6 +452,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_child_final": stream_child_final,
     "stream_emit_once": stream_emit_once,
     "stream_any_order": stream_any_order,
+    "stream_named_files": stream_named_files,
     "stream_restart": stream_restart,
     "stream_chunk_detections": stream_chunk_detections,
     "stream_files": stream_files,
