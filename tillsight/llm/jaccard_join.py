@@ -30,11 +30,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillsight.llm.components import components
-from tillsight.llm.text import LOWER, blocks, coded, map_arrow, words
+from tillsight.llm.text import LOWER, blocks, coded, free_names, map_arrow, words
 from tillsight.workspace import Workspace
 
 SHINGLE = 5
@@ -46,7 +46,7 @@ COUNT_BITS = 24  # shingles are counted by places of so many bits within a chunk
 CELL = 256
 SMALL = 8  # lists of so many groups are read off pair by pair
 SKETCH_WORDS = 8  # 64-bit words of a set's parity sketch
-BITMAP = 24  # bits of an address in the candidates' bitmap
+BITMAP = (20, 28)  # least and most bits of an address in the candidates' bitmap: 128 KB to 32 MB
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     dtype=np.uint64,
@@ -344,23 +344,26 @@ def _lists(packed: DataFrame) -> DataFrame:
     return packed.groupBy("chunk").applyInArrow(run, "kind int, a long, b long, n int, bits array<long>")
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """A bitmap of hashed ids: 2 MB, however many there are. It lets too many through, never too few."""
-    word = F.expr(f"cast((sid & {(1 << BITMAP) - 1}L) div 64 AS int)")
+def _bitmap(ids: DataFrame, count: int) -> np.ndarray:
+    """A bitmap of hashed ids, eight bits or more for each up to its largest size. It lets too many
+    through, never too few."""
+    bits = min(max((8 * count).bit_length(), BITMAP[0]), BITMAP[1])
+    word = F.expr(f"cast((sid & {(1 << bits) - 1}L) div 64 AS int)")
     rows = ids.groupBy(word.alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(sid & 63 AS int))")).alias("bits")
     )
     rows = rows.toArrow()
-    bits = np.zeros(1 << (BITMAP - 6), np.int64)
-    bits[rows.column("w").to_numpy()] = rows.column("bits").to_numpy()
-    return bits
+    found = np.zeros(1 << (bits - 6), np.int64)
+    found[rows.column("w").to_numpy()] = rows.column("bits").to_numpy()
+    return found
 
 
 def _sets_of(docs: DataFrame, pairs: DataFrame, ws: Workspace) -> DataFrame:
     """(sid, shingles) of the sets in pairs, from another pass over the texts."""
     ids = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    ids = ws.save(ids, "wanted")
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
+    seen = Observation()
+    ids = ws.save(ids.observe(seen, F.count(F.lit(1)).alias("rows")), "wanted")
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids, seen.get.get("rows") or 0))
 
     def run(batches):
         bits = shared.value
@@ -371,7 +374,7 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, ws: Workspace) -> DataFrame:
                 for shingles in shingle_sets(buf, offsets):
                     if len(shingles):
                         sid = set_id(shingles)
-                        at = sid & ((1 << BITMAP) - 1)
+                        at = sid & (64 * len(bits) - 1)
                         if sid not in seen and int(bits[at >> 6]) >> (at & 63) & 1:
                             seen.add(sid)
                             found.append((sid, shingles.tobytes()))
@@ -386,11 +389,12 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, ws: Workspace) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that reach the similarity."""
+    """The pairs (a, b) of sets that reach the similarity, with their other columns."""
+    names = pairs.columns
     joined = (
         pairs.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y")), "b")
-        .select("a", "b", "x", "y")
+        .select(*names, "x", "y")
     )
 
     def run(batches):
@@ -402,9 +406,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(long, short), len(long) - 1)
                 both = int((long[at] == short).sum())
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
 
-    return map_arrow(joined, run, "a long, b long")
+    return map_arrow(joined, run, pairs.schema)
 
 
 def _alike(an: str, bn: str, abits: str, bbits: str):
@@ -466,7 +470,9 @@ def _across(rows: DataFrame) -> DataFrame:
     left, right = side("a", part, F.explode(F.sequence(part, last))), side("b", F.explode(F.sequence(F.lit(0), part)), part)
     apart = (F.col("ar") != F.col("br")) & ((F.col("i") != F.col("j")) | (F.col("a") < F.col("b")))
     joined = left.join(right, ["list", "i", "j"]).where(apart & _alike("an", "bn", "abits", "bbits"))
-    return _ordered(joined.select("a", "b"))
+    swap = F.col("a") > F.col("b")
+    ends = [F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("ar", "br"), ("br", "ar"))]
+    return joined.select(*ends).distinct()
 
 
 def _expanded(found: DataFrame, members: DataFrame, crowded: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -528,35 +534,38 @@ def one_of_each(
     name = F.xxhash64("key").alias("sid")
     repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     doubtful = found.where("key != component_id").select(name).union(repeated.select(name))
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(doubtful))
-    hashed = docs.withColumn("__name", F.xxhash64(F.col(f"`{key}`")))
+    seen = Observation()
+    doubtful = ws.save(doubtful.observe(seen, F.count(F.lit(1)).alias("rows")), "doubtful")
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(doubtful, seen.get.get("rows") or 0))
+    tag, set_name, kept_key, kept_set = free_names(docs.columns, 4)
+    hashed = docs.withColumn(tag, F.xxhash64(F.col(f"`{key}`")))
 
     def part(wanted: bool):
         def run(batches):
             table = bits.value
             for batch in batches:
-                at = batch.column("__name").to_numpy(zero_copy_only=False) & ((1 << BITMAP) - 1)
+                at = batch.column(tag).to_numpy(zero_copy_only=False) & (64 * len(table) - 1)
                 hit = (table[at >> 6] >> (at & 63)) & 1 == 1
                 hit &= batch.column(key).is_valid().to_numpy(zero_copy_only=False)
                 rows = batch.filter(pa.array(hit == wanted))
                 if not wanted:
-                    yield rows.select([c for c in rows.schema.names if c != "__name"])
+                    yield rows.select([c for c in rows.schema.names if c != tag])
                     continue
                 for lo, hi, buf, offsets in blocks(rows.column(text)):
                     ids = [set_id(s) if len(s) else 0 for s in shingle_sets(buf, offsets)]
                     some = rows.slice(lo, hi - lo)
-                    yield pa.RecordBatch.from_arrays([*some.columns, pa.array(ids, pa.int64())], [*some.schema.names, "__sid"])
+                    yield pa.RecordBatch.from_arrays([*some.columns, pa.array(ids, pa.int64())], [*some.schema.names, set_name])
 
         return run
 
     sure = map_arrow(hashed, part(False), docs.schema)
-    unsure = map_arrow(hashed, part(True), hashed.select("*", F.lit(0).cast("long").alias("__sid")).schema)
+    unsure = map_arrow(hashed, part(True), hashed.select("*", F.lit(0).cast("long").alias(set_name)).schema)
     kept = found.where("key = component_id").select(
-        F.col("key").alias("__key"), F.coalesce("sid", F.lit(0)).alias("__sid")
+        F.col("key").alias(kept_key), F.coalesce("sid", F.lit(0)).alias(kept_set)
     )
-    same = (unsure[key] == kept["__key"]) & (unsure["__sid"] == kept["__sid"])
-    stays = unsure.join(kept, same, "left_semi").dropDuplicates([key, "__sid"])
-    return sure.unionByName(stays.drop("__name", "__sid"))
+    same = (unsure[f"`{key}`"] == kept[kept_key]) & (unsure[set_name] == kept[kept_set])
+    stays = unsure.join(kept, same, "left_semi").dropDuplicates([key, set_name])
+    return sure.unionByName(stays.drop(tag, set_name))
 
 
 def classes_with_sets(docs: DataFrame, key: str, text: str, ws: Workspace | None) -> DataFrame:
@@ -564,7 +573,7 @@ def classes_with_sets(docs: DataFrame, key: str, text: str, ws: Workspace | None
     ws = ws or Workspace(docs.sparkSession)
     docs = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    chunks = min(max(int(size) // CHUNK_BYTES, 256), 1 << 20)
+    chunks = max(int(size) // CHUNK_BYTES, 256)
     first = ws.save(_sizes_and_counts(docs, chunks), "sizes")
     rows = first.where(F.col("chunk").isNull()).select("key", "n", "sid")
     counts = first.where(F.col("chunk").isNotNull()).select("chunk", "blob")
@@ -584,11 +593,19 @@ def classes_with_sets(docs: DataFrame, key: str, text: str, ws: Workspace | None
     placed = placed.withColumn("root", F.coalesce("root", "sid"))
     across = ws.save(_across(ws.save(placed, "placed")), "across")
     if across.limit(1).count():
-        late = _verified(across, _sets_of(docs, across, ws))
-        roots = components(late.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), ws)
+        # Links between classes join these; what lies within them is left alone.
+        late = _verified(across, _sets_of(docs, across, ws)).select(F.col("ar").alias("a"), F.col("br").alias("b"))
+        roots = _joined(roots, components(late, ws))
     return _named(rows, roots)
 
 
+def _joined(roots: DataFrame, later: DataFrame) -> DataFrame:
+    """Roots of nodes after their classes were joined; a class of one may have had no root yet."""
+    moved = later.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    known = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return known.union(later.join(roots.select("node"), "node", "left_anti"))
+
+
 def _named(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Classes named by their smallest key. Equal sets meet in partial minima first."""
     sids = rows.where("sid is not null").groupBy("sid").agg(F.min("key").alias("least"))

@@ -62,6 +62,17 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def free_names(taken: list[str], count: int) -> list[str]:
+    """Names for columns of one's own, none of which is taken in any case of letters."""
+    known = {name.lower() for name in taken}
+    found, k = [], 0
+    while len(found) < count:
+        if f"own_{k}" not in known:
+            found.append(f"own_{k}")
+        k += 1
+    return found
+
+
 def slices(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """An Arrow array of the byte strings that tile `data`."""
     kind = pa.binary() if offsets[-1] < 2**31 - 1 else pa.large_binary()
