@@ -68,6 +68,29 @@ def test_reader_salvages_what_is_whole(spark, ws, compress):
         assert len(gaps) in (4, 5)
 
 
+def test_members_of_several_records(spark, ws):
+    """All records of a member are read, and what is broken among them is a gap."""
+    import gzip
+
+    url = "http://h/" + "x" * 100_000  # a header longer than the first guess
+    records = [warc.record_bytes(k, url if k == 2 else "u", f"payload {k}".encode() * 20, None) for k in range(6)]
+    broken = records[4].replace(b"payload 4", b"payload 9", 1)
+    for name, data in (
+        ("m.warc.gz", gzip.compress(b"".join(records[:3])) + gzip.compress(b"".join([records[3], broken, records[5]]))),
+        ("p.warc", b"".join([*records[:4], broken, records[5]])),
+    ):
+        path = ws.path(name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(data)
+        rows = warc.read_archives(spark.createDataFrame([(path, len(data))], "path string, size long"), payload=True).collect()
+        read = [r for r in rows if r.kind == "record"]
+        assert [r.record_id for r in read] == [f"<urn:page:{k}>" for k in (0, 1, 2, 3, 5)]
+        assert all(bytes(r.payload).decode() == f"payload {r.record_id[10:-1]}" * 20 for r in read)
+        assert [bool(r.reason) for r in rows if r.kind == "gap"] == [True]
+        assert sum(r.length for r in rows) == len(data)
+
+
 def test_empty_archive(spark):
     none = spark.createDataFrame([], "path string, size long")
     assert warc.read_archives(none).collect() == []
@@ -106,6 +129,20 @@ def test_neighbours_against_brute_force(spark):
     assert len(rotated_codes.search(few, few.where("vec_id = 0")).collect()) == 2
 
 
+def test_vectors_of_several_lengths_and_shared_ids(spark):
+    draw = np.random.default_rng(7)
+    rows = [(k, [float(x) for x in draw.standard_normal(2)]) for k in range(300)] + [(1000, [1.0, 2.0, 3.0]), (1001, [1.0, 2.0, 4.0])]
+    rows += [(100, [5.0, 5.0]), (200, rows[200][1]), (200, rows[200][1])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = rotated_codes.search(vectors, vectors.where("vec_id % 100 = 0"), k=5).collect()
+    expected = []
+    for at, (q, v) in enumerate(rows):
+        if q % 100 == 0:
+            near = sorted((math.dist(v, w), i) for n, (i, w) in enumerate(rows) if n != at and len(w) == len(v))[:5]
+            expected += [(q, rank, i, round(d, 9)) for rank, (d, i) in enumerate(near, 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got) == sorted(expected)
+
+
 def test_bounds_hold(spark):
     draw = np.random.default_rng(6)
     v = draw.standard_normal((2000, 64))

@@ -7,18 +7,20 @@ follows from the same scalar. Within a block of vectors the k best estimates are
 the rest only those whose lower bound does not exceed the k-th of these distances are.
 
 The centre is the mean of a bounded sample (`SAMPLE_ROWS`); every row is coded. Rows and queries are
-packed into blocks, and each pair of blocks is one row of work, so no task holds all of either. Each
-pair of blocks yields at most k rows per query; the rank over them has Spark's limit per group
-before its shuffle.
-
-Vectors that are null, zero, or hold null or non-finite components take no part, nor do vectors of
-another length than the longest; rows with a null id neither. An id that occurs in several rows is
-one query, by its smallest vector, and each other row is a candidate of its own. A query's own id is
-never its neighbour. Only the id and the vector are read.
+packed into blocks, and each pair of blocks is one row of work, so no task holds all of either. A task
+keeps k + 1 rows per query over the blocks it is given, and the rank over them has Spark's limit per
+group before its shuffle.
+
+Vectors that are null, zero, or hold null or non-finite components take no part; rows with a null id
+neither. Vectors are compared with those of their own length; each length has its own centre and
+rotation. Rows that share an id are rows of their own: each that is asked for is a query, answered under
+the same id, and finds the others. Of a query's own row and its exact copies under the same id one is
+left out, whichever it is. Only the id and the vector are read.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -33,6 +35,8 @@ SAMPLE_ROWS = 16_384
 BLOCK_ROWS = 2_048
 QUERY_ROWS = 256
 SEED = 20_240_101
+# Answers a task holds before it reduces them, and passes them on if that is not enough.
+HELD_ROWS = 1 << 20
 # Error bounds in standard deviations of the estimate.
 WIDTH = 2.5
 
@@ -46,21 +50,33 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     rows = rows.where(
         F.col("id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     )
-    size = rows.agg(F.max(F.size("v"))).first()[0] or 0
-    return rows.where(F.size("v") == size)
+    return rows
 
 
-def fit(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Centre and rotation: the mean of the rows whose hashed ids are smallest, and an orthogonal
-    matrix from a fixed seed."""
+def centres(rows: DataFrame) -> dict[int, np.ndarray]:
+    """For each length the mean of the rows whose hashed ids are smallest."""
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("v").toArrow()
-    if len(sample) == 0:
-        return np.zeros(0), np.zeros((0, 0))
-    flat = sample.column(0).combine_chunks().flatten().to_numpy()
-    centre = flat.reshape(len(sample), -1).mean(axis=0)
-    draw = np.random.default_rng(SEED).standard_normal((len(centre), len(centre)))
-    rotation, upper = np.linalg.qr(draw)
-    return centre, rotation * np.sign(np.diag(upper))
+    lists = sample.column(0).combine_chunks()
+    return {size: vectors.mean(axis=0) for size, _, vectors in by_length(lists)}
+
+
+def by_length(lists) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, rows and vectors of each length among lists of numbers."""
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    starts = np.cumsum(sizes) - sizes
+    found = []
+    for size in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == size)
+        found.append((size, rows, np.ascontiguousarray(flat[starts[rows][:, None] + np.arange(size)])))
+    return found
+
+
+@functools.lru_cache(maxsize=8)
+def rotation_of(size: int) -> np.ndarray:
+    """An orthogonal matrix from a fixed seed."""
+    rotation, upper = np.linalg.qr(np.random.default_rng(SEED).standard_normal((size, size)))
+    return rotation * np.sign(np.diag(upper))
 
 
 def encode(vectors: np.ndarray, centre: np.ndarray, rotation: np.ndarray):
@@ -90,7 +106,7 @@ def _flat(column, size: int) -> np.ndarray:
 
 
 def nearest_in_block(block: dict, queries: dict, centre, rotation, k: int):
-    """For each query of a block its k nearest of a block of vectors: query ids, ids, distances."""
+    """For each query of a block its k nearest of a block of vectors: query rows, ids, ids, distances."""
     size = len(centre)
     ids, vectors = np.frombuffer(block["ids"], np.int64), _flat(block["vectors"], size)
     wanted, asked = np.frombuffer(queries["ids"], np.int64), _flat(queries["vectors"], size)
@@ -98,48 +114,57 @@ def nearest_in_block(block: dict, queries: dict, centre, rotation, k: int):
     lower, upper = bounds(
         codes, np.frombuffer(block["lengths"]), np.frombuffer(block["products"]), asked, centre, rotation
     )
-    own = ids[:, None] == wanted[None]
     # The exact distances of the k best estimates bound the k-th distance from above.
-    guess = np.where(own, np.inf, lower + upper)
     if len(ids) > k:
-        best = np.argpartition(guess, k - 1, axis=0)[:k]
+        best = np.argpartition(lower + upper, k - 1, axis=0)[:k]
         limit = ((vectors[best] - asked[None]) ** 2).sum(axis=2).max(axis=0)
-        limit[np.isinf(np.take_along_axis(guess, best, axis=0)).any(axis=0)] = np.inf
     else:
         limit = np.full(len(wanted), np.inf)
-    rows, columns = np.nonzero((lower <= limit) & ~own)
+    rows, columns = np.nonzero(lower <= limit)
     distance = np.empty(len(rows))
     for lo in range(0, len(rows), 1 << 16):
         part = slice(lo, lo + (1 << 16))
         distance[part] = np.sqrt(((vectors[rows[part]] - asked[columns[part]]) ** 2).sum(axis=1))
-    order = np.lexsort((ids[rows], distance, columns))
-    columns, rows, distance = columns[order], rows[order], distance[order]
-    first = np.searchsorted(columns, columns)
-    top = np.arange(len(columns)) - first < k
-    return wanted[columns[top]], ids[rows[top]], distance[top]
+    place = np.frombuffer(queries["places"], np.int64)
+    return _best([place[columns], wanted[columns], ids[rows], distance], k)
 
 
-def _packed(rows: DataFrame, limit: int, centre, rotation, codes: bool) -> DataFrame:
-    """Rows packed into blocks of at most `limit`, with codes if asked for."""
-    names = ["ids", "vectors"] + (["codes", "lengths", "products"] if codes else [])
+def _best(found: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """The k nearest of each query row."""
+    order = np.lexsort((found[2], found[3], found[0]))
+    place = found[0][order]
+    top = order[np.arange(len(place)) - np.searchsorted(place, place) < k]
+    return [f[top] for f in found]
 
-    def block(ids, vectors):
+
+def _packed(rows: DataFrame, limit: int, middle: dict[int, np.ndarray], codes: bool) -> DataFrame:
+    """Rows of one length packed into blocks of at most `limit`, with codes or with the rows' places."""
+    names = ["ids", "vectors"] + (["codes", "lengths", "products"] if codes else ["places"])
+
+    def block(size, ids, places, vectors):
         parts = [ids, vectors]
         if codes:
-            parts += encode(vectors, centre, rotation)
-        return [p.tobytes() for p in parts]
+            parts += encode(vectors, middle.get(size, np.zeros(size)), rotation_of(size))
+        else:
+            parts.append(places)
+        return [size, *(p.tobytes() for p in parts)]
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            flat = batch.column("v").flatten().to_numpy(zero_copy_only=False)
-            vectors = np.ascontiguousarray(flat.reshape(len(ids), -1)) if len(ids) else flat
-            made = [block(ids[lo : lo + limit], vectors[lo : lo + limit]) for lo in range(0, len(ids), limit)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([m[k] for m in made], pa.binary()) for k in range(len(names))], names
-            )
-
-    return map_arrow(rows.select("id", "v"), run, ", ".join(f"{n} binary" for n in names))
+            ids, places = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "place"))
+            for size, mine, vectors in by_length(batch.column("v")):
+                made = []
+                for lo in range(0, len(mine), limit):
+                    part = mine[lo : lo + limit]
+                    made.append(block(size, ids[part], places[part], vectors[lo : lo + limit]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([m[0] for m in made], pa.int32())]
+                    + [pa.array([m[k + 1] for m in made], pa.binary()) for k in range(len(names))],
+                    ["size", *names],
+                )
+
+    placed = rows.select("id", "v", F.monotonically_increasing_id().alias("place"))
+    return map_arrow(placed, run, "size int, " + ", ".join(f"{n} binary" for n in names))
 
 
 def search(
@@ -153,24 +178,42 @@ def search(
     """The k nearest rows of each query: query_id, rank, vec_id, score (Euclidean distance)."""
     ws = ws or Workspace(vectors.sparkSession)
     rows = usable(vectors, key, vector)
-    centre, rotation = fit(rows)
-    asked = usable(queries, key, vector).where(F.size("v") == len(centre))
-    asked = asked.groupBy("id").agg(F.min("v").alias("v"))
-    index = ws.save(_packed(rows, BLOCK_ROWS, centre, rotation, True), "index")
-    sought = ws.save(_packed(asked, QUERY_ROWS, centre, rotation, False), "queries")
+    middle = centres(rows)
+    index = ws.save(_packed(rows, BLOCK_ROWS, middle, True), "index")
+    sought = ws.save(_packed(usable(queries, key, vector), QUERY_ROWS, middle, False), "queries")
     # The stated queries against all rows, block by block: rows of this product are pairs of blocks.
     work = index.select(F.struct(*index.columns).alias("block")).crossJoin(
         sought.select(F.struct(*sought.columns).alias("queries"))
     )
+    names = ["place", "query_id", "vec_id", "score"]
 
     def run(batches):
+        held, many = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                found = nearest_in_block(row["block"], row["queries"], centre, rotation, k)
-                yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], ["query_id", "vec_id", "score"])
-
-    near = map_arrow(work, run, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+                size = row["block"]["size"]
+                if size != row["queries"]["size"]:
+                    continue
+                centre = middle.get(size, np.zeros(size))
+                held.append(nearest_in_block(row["block"], row["queries"], centre, rotation_of(size), k + 1))
+                many += len(held[-1][0])
+                if many > HELD_ROWS:
+                    held = [_best([np.concatenate(c) for c in zip(*held)], k + 1)]
+                    many = len(held[0][0])
+                    if many > HELD_ROWS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(f) for f in held[0]], names)
+                        held, many = [], 0
+        if held:
+            best = _best([np.concatenate(c) for c in zip(*held)], k + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(f) for f in best], names)
+
+    near = map_arrow(work, run, "place long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("place").orderBy("score", "vec_id")
+    ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1)
+    # Of the query's own row and its copies, which are alike in every column, one is left out.
+    same = (F.col("vec_id") == F.col("query_id")) & (F.col("score") == 0)
+    own = F.min(F.when(same, F.col("rank"))).over(Window.partitionBy("place"))
+    others = ranked.withColumn("own", own).where(F.col("own").isNull() | (F.col("rank") != F.col("own")))
+    later = F.coalesce(F.col("rank") > F.col("own"), F.lit(False)).cast("int")
+    return others.withColumn("rank", F.col("rank") - later).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -38,6 +38,7 @@ MAGIC = b"\x1f\x8b\x08"
 DATE = b"2024-01-01T00:00:00Z"
 PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNK = 1 << 20
+HEADER_GUESS = 64 << 10
 NAME = "urn:page:"
 
 
@@ -47,8 +48,8 @@ class Limits:
 
     archive_bytes: int = 256 << 20
     range_bytes: int = 32 << 20
-    header_bytes: int = 64 << 10
-    record_bytes: int = 512 << 20
+    header_bytes: int = 64 << 20
+    record_bytes: int = 4 << 30  # no row of Spark holds as much
 
 
 def sha1_base32(data: bytes) -> str:
@@ -217,18 +218,19 @@ def _check(stated: str | None, data: bytes, what: str) -> None:
         raise Broken(what)
 
 
-def split_record(data: bytes) -> tuple[bytes, bytes, int]:
-    """Head, block and length of the record that `data` starts with."""
-    if not data.startswith(b"WARC/1."):
+def split_record(data: bytes, at: int = 0) -> tuple[bytes, bytes, int]:
+    """Head, block and length of the record that starts at a place of `data`."""
+    if not data.startswith(b"WARC/1.", at):
         raise Broken("version line")
-    end = data.find(b"\r\n\r\n")
+    end = data.find(b"\r\n\r\n", at)
     if end < 0:
         raise Broken("header")
-    size = _length(_headers(data[:end]))
-    block = data[end + 4 : end + 4 + size]
-    if len(block) < size or data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
+    head = data[at:end]
+    start, size = end + 4, _length(_headers(head))
+    block = data[start : start + size]
+    if len(block) < size or data[start + size : start + size + 4] != b"\r\n\r\n":
         raise Broken("record end")
-    return data[:end], block, end + 8 + size
+    return head, block, start + size + 4 - at
 
 
 class Archive:
@@ -262,10 +264,15 @@ class Archive:
         return b"".join(parts), place - len(unpack.unused_data) - at
 
     def _plain(self, at: int) -> tuple[bytes, int]:
-        head = self.file.read_at(min(self.limits.header_bytes, self.size - at), at)
-        if not head.startswith(b"WARC/1."):
-            raise Broken("version line")
-        end = head.find(b"\r\n\r\n")
+        reach = HEADER_GUESS
+        while True:
+            head = self.file.read_at(min(reach, self.size - at), at)
+            if not head.startswith(b"WARC/1."):
+                raise Broken("version line")
+            end = head.find(b"\r\n\r\n")
+            if end >= 0 or reach >= min(self.limits.header_bytes, self.size - at):
+                break
+            reach *= 8
         if end < 0:
             raise Broken("header")
         size = end + 8 + _length(_headers(head[:end]))
@@ -290,6 +297,21 @@ class Archive:
             place += CHUNK
         return self.size
 
+    @staticmethod
+    def _rest_of_member(at: int, data: bytes, place: int):
+        """Records after the first one of a member. They are where the member is and take no further bytes
+        of the archive; what is broken among them is a gap of no bytes."""
+        while place < len(data):
+            try:
+                head, block, taken = split_record(data, place)
+                yield {"offset": at, "length": 0, "kind": "record", **parsed(head, block)}
+                place += taken
+            except Broken as why:
+                yield {"offset": at, "length": 0, "kind": "gap", "reason": f"{why} inside a member, at {place}"}
+                place = data.find(b"WARC/1.", place + 1)
+                if place < 0:
+                    return
+
     def records(self, start: int, end: int):
         """Records that start in the range, and the gaps that begin at 0 or after one of these.
 
@@ -298,8 +320,9 @@ class Archive:
         while at < min(end, self.size):
             try:
                 data, used = self.member(at)
-                head, block, _ = split_record(data)
+                head, block, taken = split_record(data)
                 yield {"offset": at, "length": used, "kind": "record", **parsed(head, block)}
+                yield from self._rest_of_member(at, data, taken)
                 at, after_record = at + used, True
             except Broken as why:
                 after = self.next_valid(at + 1)
