@@ -78,6 +78,15 @@ LINES = {
 }
 
 
+def test_secrets_of_many_repositories_are_examples(spark):
+    """Copies in many documents of one source count as widely copied, too."""
+    value = "Zx9Qw8Er7Ty6Ui5Op4"
+    rows = [(k, f"token = {value}", "one") for k in range(25)] + [(100 + k, f"token = {value[::-1]}", "one") for k in range(24)]
+    got = {r.doc_id: r for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert (got[0].n_copied, got[0].n_owned, got[0].max_owners, got[0].max_repos) == (1, 0, 1, 25)
+    assert (got[100].n_copied, got[100].n_owned, got[100].max_owners, got[100].max_repos) == (0, 1, 1, 24)
+
+
 def test_licenses(spark):
     draw = random.Random(4)
     parts = ["cc", "by", "CC BY", "general", "public", "license", "General Public License", " ", "-", ", ", "\n", "é", "all rights", "reserved", "x"]
@@ -175,6 +184,34 @@ def test_surrogates(spark):
     assert pii.replace(docs, "key").columns == docs.columns
 
 
+def test_people_stay_apart_and_themselves(spark):
+    """One surrogate per word of a name in the whole corpus, whatever else is a name there."""
+    texts = [
+        "Mr. Qadn Carl came. Qadn left, then Carl.", "MR SMITH? Mr. SMITH and Mrs. Smith: SMITH, Smith, smith.", "Dr. John or Mr. John Adam, John.",
+        "Mr. Adam Bruno met Mr. Bruno Carl and Carl.", "Herr David Emil, David", "Frau Toni Emil, Toni", "Frau Anna-Lena O’Neil. Anna-Lena O’Neil, Anna",
+    ]
+    rows = [(k, t, "a", "b", "c") for k, t in enumerate(texts * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __news string, __digest string, own_0 string")
+    out = pii.replace(docs, "key")
+    assert out.columns == docs.columns
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert all(got[k] == got[k + len(texts)] for k in range(len(texts)))
+    words = re.compile(r"[^\W\d_]+(?:[-’][^\W\d_]+)*")
+    known, back = {}, {}
+    for k, text in enumerate(texts):
+        before, after = words.findall(text), words.findall(got[k])
+        assert len(before) == len(after) and words.split(text) == words.split(got[k])
+        for a, b in zip(before, after):
+            if a != b:
+                assert known.setdefault(a.lower(), b.lower()) == b.lower() and back.setdefault(b.lower(), a.lower()) == a.lower()
+                assert a.isupper() == b.isupper() and a[0].isupper() == b[0].isupper()
+    names = {"qadn", "carl", "smith", "john", "adam", "bruno", "david", "emil", "toni", "anna-lena", "o’neil"}
+    assert set(known) == names and not names & set(back)
+    assert got[1].endswith("smith.") and got[6].endswith(", Anna")
+    # a given name has the gender of the titles it follows, here or elsewhere
+    assert known["david"].title().startswith(tuple(pii.GIVEN["m"])) and known["toni"].title().startswith(tuple(pii.GIVEN["f"]))
+
+
 def test_surrogates_stay_distinct(spark, ws):
     names = spark.createDataFrame([("given_m", f"Name{chr(97 + k % 26)}{chr(97 + k // 26)}") for k in range(300)] + [("ip", f"1.2.3.{k}") for k in range(100)], "kind string, norm string")
     rows = pii.surrogates(names, "key", ws).collect()

@@ -84,21 +84,23 @@ SECRETS = f"""
   v AS (SELECT *, CAST(s + length(hit) AS BIGINT) AS e,
                CASE WHEN kind = 'assign' THEN regexp_extract(hit, {quoted(PATTERNS["assign"])}, 2) ELSE hit END AS value FROM m),
   c AS (SELECT * FROM v WHERE kind <> 'assign' OR length(value) >= {MIN_VALUE}),
-  own AS (SELECT value, count(DISTINCT source) >= {_OWNER.example_owners} AS example FROM c GROUP BY value),
-  b AS (SELECT doc_id, CAST(s AS BIGINT) AS s, o, kind, e, example,
+  own AS (SELECT value, count(DISTINCT source) AS owners, count(DISTINCT doc_id) AS repos,
+                 owners >= {_OWNER.example_owners} OR repos >= {_OWNER.example_repos} AS example FROM c GROUP BY value),
+  b AS (SELECT doc_id, CAST(s AS BIGINT) AS s, o, kind, e, example, owners, repos,
                NOT example AND length(value) >= {_OWNER.live_length} AND regexp_matches(value, '[0-9]')
                AND regexp_matches(value, '[A-Za-z]')
                AND len(list_distinct(string_split(value, ''))) >= {_OWNER.live_distinct} AS live, length(value) AS n
         FROM c JOIN own USING (value)),
-  a AS (SELECT doc_id, s, o, kind, e, true AS base, example FROM b
-        UNION ALL SELECT DISTINCT doc_id, CAST(e - n AS BIGINT), 3, 'owned', e, false, false FROM b WHERE live),
+  a AS (SELECT doc_id, s, o, kind, e, true AS base, example, owners, repos FROM b
+        UNION ALL SELECT DISTINCT doc_id, CAST(e - n AS BIGINT), 3, 'owned', e, false, false, owners, repos FROM b WHERE live),
   g AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
                count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
-               count(*) FILTER (WHERE NOT base) AS n_owned, count(*) FILTER (WHERE base AND example) AS n_copied,
+               max(owners) AS max_owners, max(repos) AS max_repos, count(*) FILTER (WHERE NOT base) AS n_owned, count(*) FILTER (WHERE base AND example) AS n_copied,
                string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) FILTER (WHERE base) AS base_spans,
                string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) AS spans FROM a GROUP BY doc_id)
   SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
          coalesce(n_owned, 0) AS n_owned, coalesce(n_copied, 0) AS n_copied,
+         coalesce(max_owners, 0) AS max_owners, coalesce(max_repos, 0) AS max_repos,
          sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
   FROM d LEFT JOIN g USING (doc_id)"""
 

@@ -3,18 +3,22 @@
 Entities are found by pattern: e-mail addresses, IP addresses, bank account and social security
 numbers, card and telephone numbers, and names after a title. Each is reduced to a canonical form
 (lower case, digits only, one word of a name), so one entity has one surrogate however it is written,
-in every document. A surrogate follows from a secret key and keeps the type: letters stay letters of
+in every document. A word of a name is one entity wherever it stands in a name; its gender is that of the
+titles it follows as a given name in the whole corpus, and neutral where these differ. A surrogate follows from a secret key and keeps the type: letters stay letters of
 the same script and case, digits digits, separators stay; card numbers keep their check digit, given
 names the gender that the title tells, addresses their form. Letters of a script that is not listed
 here become Latin ones; an address without a letter or digit to change, or one that still collides after
 `LONGER` draws, gets a keyed prefix, and a name in such a case two syllables more.
 
 Surrogates are made for the distinct entities of the whole corpus. One that equals another's, or any
-entity that occurs, is drawn again for all but the smallest entity, until all differ.
+entity that occurs, is drawn again for all but the smallest entity, until all differ; all words of names
+are compared with each other, in small letters. What still collides after `ATTEMPTS` draws gets a keyed
+suffix, at the cost of its form.
 
 Texts are read twice: once for entities, once to be rebuilt from what lies between them. The second
 pass joins replacements by the text's digest, and only texts with an entity go into the join. A name
-found after a title is also replaced where it stands alone in the same text. Only built-in functions
+found after a title is also replaced where it stands alone in the same text with a capital; all names at
+once, so no surrogate is replaced again. Capitals are those of each occurrence. Only built-in functions
 run. A null text stays null, an empty one empty. Repeated rows are rebuilt alike. Other columns stay
 as they are, whatever their names.
 """
@@ -26,6 +30,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillsight.llm.text import free_names
 from tillsight.workspace import Workspace
 
 MALE = ["Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "Signor"]
@@ -125,11 +130,31 @@ def _name_words(hit: Column) -> Column:
     return F.transform(
         words,
         lambda w, i: F.struct(
-            F.when(i == last, F.lit("family")).otherwise(F.concat(F.lit("given_"), gender)).alias("kind"), w.alias("norm")
+            F.when(i == last, F.lit("family")).otherwise(F.concat(F.lit("given_"), gender)).alias("kind"),
+            F.lower(w).alias("norm"),
+            w.alias("written"),
         ),
     )
 
 
+NAMES = ["family", "given_m", "given_f", "given_n"]
+
+
+def people(parts: DataFrame) -> DataFrame:
+    """Distinct entities (kind, norm); a word of names has one kind in the whole corpus."""
+    others = parts.where(~F.col("kind").isin(NAMES)).select("kind", "norm").distinct()
+    has = {k: F.max((F.col("kind") == k).cast("int")).alias(k) for k in NAMES}
+    words = parts.where(F.col("kind").isin(NAMES)).groupBy("norm").agg(*has.values())
+    man, woman = F.col("given_m") == 1, F.col("given_f") == 1
+    kind = (
+        F.when(man & ~woman, "given_m")
+        .when(woman & ~man, "given_f")
+        .when(man | woman | (F.col("given_n") == 1), "given_n")
+        .otherwise("family")
+    )
+    return others.union(words.select(kind.alias("kind"), "norm"))
+
+
 def _stream(secret: str, attempt: int) -> Column:
     """Hex digits drawn for an entity: 128 of them from the key, the kind and the entity."""
     return F.sha2(F.concat_ws("|", F.lit(secret), F.col("kind"), F.lit(str(attempt)), F.col("norm")), 512)
@@ -235,22 +260,37 @@ def draw(secret: str, attempt: int) -> Column:
 
 
 def surrogates(entities: DataFrame, secret: str, ws: Workspace) -> DataFrame:
-    """(kind, norm, surrogate) of distinct entities, no two surrogates of a kind equal, and none an
-    entity. Of several entities that draw the same, the smallest keeps it."""
+    """(kind, norm, surrogate) of distinct entities, no two surrogates equal, and none an entity, among
+    all names or among entities of another kind. Of several that draw the same, the smallest keeps it."""
+    name = F.col("kind").isin(NAMES)
+    group = F.when(name, "name").otherwise(F.col("kind")).alias("group")
+
+    def folded(column: str) -> Column:
+        return F.when(name, F.lower(column)).otherwise(F.col(column)).alias("folded")
+
     waiting, accepted = entities, None
-    taken = entities.select("kind", F.col("norm").alias("surrogate"))
-    for attempt in range(ATTEMPTS):
-        drawn = ws.save(waiting.withColumn("surrogate", draw(secret, attempt)), f"drawn-{attempt}")
-        first = drawn.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm"))
-        free = first.join(taken, ["kind", "surrogate"], "left_anti")
+    taken = entities.select(group, folded("norm")).distinct()
+    for attempt in range(ATTEMPTS + 1):
+        new = draw(secret, attempt)
+        if attempt == ATTEMPTS:
+            new = F.concat(new, F.lit("-"), F.substring(_stream(secret, attempt), 1, 32))
+        drawn = ws.save(waiting.withColumn("surrogate", new).select("*", group, folded("surrogate")), f"drawn-{attempt}")
+        first = drawn.groupBy("group", "folded").agg(F.min(F.struct("norm", "kind", "surrogate")).alias("least"))
+        free = first.join(taken, ["group", "folded"], "left_anti")
         if accepted is not None:
-            free = free.join(accepted.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
-        won = ws.save(free.select("kind", "norm", "surrogate"), f"won-{attempt}")
+            free = free.join(accepted.select("group", "folded"), ["group", "folded"], "left_anti")
+        won = ws.save(free.select("group", "folded", "least.kind", "least.norm", "least.surrogate"), f"won-{attempt}")
         accepted = won if accepted is None else accepted.union(won)
-        waiting = drawn.select("kind", "norm").join(won, ["kind", "norm"], "left_anti")
+        waiting = drawn.select("kind", "norm").join(won.select("kind", "norm"), ["kind", "norm"], "left_anti")
         if waiting.limit(1).count() == 0:
-            return accepted
-    raise ValueError("no free surrogate is left for some entities")
+            break
+    return accepted.select("kind", "norm", "surrogate")
+
+
+def _cased(written: Column, surrogate: Column) -> Column:
+    """A name with the capitals of one occurrence."""
+    shout = (F.upper(written) == written) & (F.length(written) > 1)
+    return F.when(shout, F.upper(surrogate)).otherwise(surrogate)
 
 
 def _formatted(hit: Column, kind: Column, surrogate: Column) -> Column:
@@ -294,14 +334,19 @@ def replace(
     found = found.select(F.sha2("t", 256).alias("digest"), F.regexp_extract_all("t", F.lit(PATTERN), F.lit(0)).alias("hits"))
     found = ws.save(found.groupBy("digest").agg(F.first("hits").alias("hits")), "entities")
     hit = found.select("digest", F.posexplode("hits").alias("at", "hit")).withColumn("form", kind_of(F.col("hit")))
-    plain = F.array(F.struct(F.col("form").alias("kind"), canonical(F.col("form"), F.col("hit")).alias("norm")))
+    plain = F.array(
+        F.struct(F.col("form").alias("kind"), canonical(F.col("form"), F.col("hit")).alias("norm"), F.lit("").alias("written"))
+    )
     # Both branches run for every row, so only names are split into words.
     words = F.when(F.col("form") == "name", _name_words(F.col("hit"))).otherwise(plain)
     parts = ws.save(hit.select("digest", "at", "hit", "form", F.posexplode(words).alias("word", "entity")), "parts")
-    parts = parts.select("digest", "at", "hit", "form", "word", "entity.kind", "entity.norm")
-    chosen = surrogates(ws.save(parts.select("kind", "norm").distinct(), "distinct"), secret, ws)
-    named = parts.join(chosen, ["kind", "norm"])
-    new = F.when(F.col("form") != "name", _formatted(F.col("hit"), F.col("kind"), F.col("surrogate"))).otherwise(F.col("surrogate"))
+    parts = parts.select("digest", "at", "hit", "form", "word", "entity.kind", "entity.norm", "entity.written")
+    chosen = surrogates(ws.save(people(parts), "distinct"), secret, ws)
+    # A word of a name has one surrogate, whatever it is in this name.
+    group = F.when(F.col("kind").isin(NAMES), "name").otherwise(F.col("kind"))
+    named = parts.withColumn("kind", group).join(chosen.withColumn("kind", group), ["kind", "norm"])
+    cased = _cased(F.col("written"), F.col("surrogate"))
+    new = F.when(F.col("form") != "name", _formatted(F.col("hit"), F.col("kind"), F.col("surrogate"))).otherwise(cased)
     title = F.regexp_extract("hit", r"^([\p{L}]+\.? )", 1)
     by_hit = named.withColumn("new", new).groupBy("digest", "at").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word", "new"))), lambda w: w["new"]), " ").alias("new"),
@@ -315,16 +360,31 @@ def replace(
         F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"),
     )
     news = ws.save(by_text, "replacements")
-    hidden = [f"__{n}" for n in ("digest", "news", "names")]
-    news = news.select(*[F.col(n.strip("_")).alias(n) for n in hidden])
+    hidden = free_names(docs.columns, 5)
+    by_length = F.array_sort("names", lambda x, y: F.length(y["norm"]) - F.length(x["norm"]))
+    quoted = F.transform(by_length, lambda n: F.concat(F.lit(r"\Q"), n["norm"], F.lit(r"\E")))
+    news = news.select(
+        F.col("digest").alias(hidden[0]),
+        F.col("news").alias(hidden[1]),
+        F.when(
+            F.size("names") > 0,
+            F.concat(F.lit(r"(?<![\p{L}])(?=\p{Lu})(?iu:"), F.array_join(quoted, "|"), F.lit(r")(?![\p{L}])")),
+        ).alias(hidden[2]),
+        F.map_from_entries(F.transform("names", lambda n: F.struct(n["norm"], n["surrogate"]))).alias(hidden[3]),
+    )
     flagged = has_entity(body)
     rest = docs.where(~flagged)
     touched = docs.where(flagged).withColumn(hidden[0], F.sha2(body, 256)).join(news, hidden[0])
-    gap = lambda g: F.aggregate(
-        F.col(hidden[2]), g,
-        lambda a, n: F.regexp_replace(a, F.concat(F.lit(r"(?<![\p{L}])\Q"), n["norm"], F.lit(r"\E(?![\p{L}])")), n["surrogate"]),
-    )
-    gaps = F.transform(F.split(body, PATTERN, -1), gap)
+
+    def lone(gap: Column) -> Column:
+        """Names that stand alone, all looked up in the original text."""
+        found = F.regexp_extract_all(gap, F.col(hidden[2]), F.lit(0))
+        put = F.transform(found, lambda m: F.coalesce(_cased(m, F.col(hidden[3])[F.lower(m)]), m))
+        between = F.split(gap, F.col(hidden[2]), -1)
+        mixed = F.flatten(F.zip_with(between, put, lambda g, n: F.array(g, F.coalesce(n, F.lit("")))))
+        return F.when(F.col(hidden[2]).isNull(), gap).otherwise(F.array_join(mixed, ""))
+
+    gaps = F.transform(F.split(body, PATTERN, -1), lone)
     rebuilt = F.array_join(
         F.flatten(F.zip_with(gaps, F.col(hidden[1]), lambda g, n: F.array(g, F.coalesce(n, F.lit(""))))), ""
     )

@@ -42,10 +42,12 @@ OWNED = "owned"
 
 @dataclass(frozen=True)
 class Ownership:
-    """A value of at least `example_owners` owners is an example. Others look live from
-    `live_length` characters, `live_distinct` different ones, and at least one digit and letter."""
+    """A value is an example if it has at least `example_owners` owners, or is in at least `example_repos`
+    repositories, whoever owns them. Others look live from `live_length` characters, `live_distinct`
+    different ones, and at least one digit and letter."""
 
     example_owners: int = 3
+    example_repos: int = 25
     live_length: int = 16
     live_distinct: int = 8
 
@@ -86,15 +88,16 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 
 def ownership(found: DataFrame, rule: Ownership) -> DataFrame:
-    """Per digest: rows, repositories, owners, and whether it is an example.
+    """Per digest: repositories, owners, and whether it is an example.
 
     Distinct pairs are made first, with partial sums on the map side, so a value copied into a third
     of all documents is one row per owner before it is counted."""
-    owners = found.groupBy("digest", "owner").agg(F.count(F.lit(1)).alias("n"))
+    owners = found.select("digest", "owner").distinct()
     repos = found.select("digest", "repo").distinct().groupBy("digest").agg(F.count("repo").alias("n_repos"))
-    owners = owners.groupBy("digest").agg(F.sum("n").alias("n_places"), F.count("owner").alias("n_owners"))
+    owners = owners.groupBy("digest").agg(F.count("owner").alias("n_owners"))
     joined = owners.join(repos, "digest")
-    return joined.withColumn("is_example", F.col("n_owners") >= rule.example_owners)
+    widely = (F.col("n_owners") >= rule.example_owners) | (F.col("n_repos") >= rule.example_repos)
+    return joined.withColumn("is_example", widely)
 
 
 def looks_live(value: Column, rule: Ownership) -> Column:
@@ -126,8 +129,8 @@ def scan(
     owner: str = "source",
     ws: Workspace | None = None,
 ) -> DataFrame:
-    """Per row the key, counts of each kind, the digest of the base spans, all spans, and the
-    numbers of owner-specific and of widely copied values.
+    """Per row the key, counts of each kind, the digest of the base spans, all spans, the numbers of
+    owner-specific and of widely copied values, and the most owners and repositories of any of them.
 
     Matches are written once without the texts; that also fixes the row numbers they are joined by.
     """
@@ -145,14 +148,14 @@ def scan(
     rows = ws.save(rows, "matches")
     hit = F.col("assign").isNotNull() | F.col("access").isNotNull() | F.col("hex").isNotNull()
     found = ws.save(candidates(rows.where(hit)), "candidates")
-    verdict = ownership(found, rule).select("digest", "is_example")
+    verdict = ownership(found, rule)
     judged = found.join(verdict, "digest")
     owned = ~F.col("is_example") & looks_live(F.col("value"), rule)
     owned_spans = judged.where(owned).select(
         "row", F.lit(OWNED).alias("kind"), F.lit(len(PATTERNS)).alias("kind_order"),
-        (F.col("end") - F.length("value")).alias("start"), "end", F.lit(False).alias("base"), "is_example",
+        (F.col("end") - F.length("value")).alias("start"), "end", F.lit(False).alias("base"), "is_example", "n_owners", "n_repos",
     ).distinct()
-    base = judged.select("row", "kind", "kind_order", "start", "end", F.lit(True).alias("base"), "is_example")
+    base = judged.select("row", "kind", "kind_order", "start", "end", F.lit(True).alias("base"), "is_example", "n_owners", "n_repos")
     spans = base.unionByName(owned_spans)
     counted = lambda c: F.count(F.when(c, 1))
     by_row = spans.groupBy("row").agg(
@@ -161,8 +164,10 @@ def scan(
         _joined("spans", F.lit(True)),
         counted(~F.col("base")).alias("n_owned"),
         counted(F.col("base") & F.col("is_example")).alias("n_copied"),
+        F.max("n_owners").alias("max_owners"),
+        F.max("n_repos").alias("max_repos"),
     )
-    counts = [f"n_{k}" for k in PATTERNS] + ["n_owned", "n_copied"]
+    counts = [f"n_{k}" for k in PATTERNS] + ["n_owned", "n_copied", "max_owners", "max_repos"]
     return (
         rows.select("row", "key")
         .join(by_row, "row", "left")
