@@ -151,6 +151,39 @@ def test_only_touched_buckets_are_read_and_written(spark, ws):
     assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+", plan), plan
 
 
+def test_a_refreshed_importance_counts_from_the_next_chunk(spark, ws):
+    """Each step reads the newest version; a repeated one reads what it had read."""
+
+    def weights(lowest):
+        rows = [(f"'c{k}'", "'m'", 0.1 if k == lowest else 5.0 + k, "'t'") for k in range(4)]
+        return spark.createDataFrame(rows, NO_WEIGHTS)
+
+    def chunk(k):
+        schema = "customer string, merchant string, category string, amount double, gender string, chunk_id long, row_offset long, source_file string"
+        rows = [(f"'c{i}'", "'m'", "'t'", 1.0, "'F'", k, 10 * k, f"{k}") for i in range(4) for _ in range(3)]
+        return spark.createDataFrame(rows, schema)
+
+    def live():
+        limits = Thresholds(**{**OFF, "min_merchant_txns": 5, "top_share": 1.0, "bottom_share": 0.2})
+        settings = LiveConfig(limits, Options(amount_scale=2), patterns=("upgrade",), at_end=())
+        return LiveDetector(spark, weights(0), ws.path("live"), settings, lambda k: Clock(f"{k}", ""))
+
+    one = live()
+    one.process_chunks(chunk(0), 0)
+    assert one.refresh(weights(1)) == 1
+    one.process_chunks(chunk(1), 1)
+    assert fired(one) == [("c0", "m", 0), ("c1", "m", 2)]
+    assert one.refresh(weights(2)) == 2
+    # the last micro-batch is done again, by this detector's successor, and nothing of it changes
+    again = live()
+    again._progress.folder.remove(again._progress._name((0, 2, 2)))
+    again.process_chunks(chunk(1), 1)
+    assert fired(again) == [("c0", "m", 0), ("c1", "m", 2)]
+    again.refresh(weights(3))
+    again.process_chunks(chunk(2), 2)
+    assert fired(again) == [("c0", "m", 0), ("c1", "m", 2), ("c3", "m", 4)]
+
+
 def test_levels_keep_few_segments(spark, ws):
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("n", T.LongType()), T.StructField(BUCKET, T.IntegerType())])
     merge = lambda df: df.groupBy("k", BUCKET).agg(F.sum("n").alias("n"))

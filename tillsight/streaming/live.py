@@ -20,7 +20,8 @@ reads only what earlier ones wrote. So results are the same after any restart.
     emitted                 detections with their step; step = 2 * chunk id (or batch id), odd steps hold
                             what is added when a run is closed
     progress                rows and detections so far by step; makes the step's detections visible
-    weights                 average importance per pair, from the static table
+    weights/version=<v>     average importance per pair, from the static table as it was published
+    versions, used          lines that tell the versions published, and the one each step read
     files/file_id=<i>       CSV files of exactly 50 detections
 """
 
@@ -70,6 +71,8 @@ PROGRESS = T.StructType(
         T.StructField("batch", T.LongType()),
     ]
 )
+VERSION = T.StructType([T.StructField("version", T.LongType())])
+USED = T.StructType([STEP, T.StructField("version", T.LongType())])
 # Buckets told by the bits of one long.
 MASK_BITS = 62
 # Within a micro-batch any total order will do; this one is reproducible.
@@ -131,7 +134,9 @@ class LiveDetector:
         self.config = config
         self.clock = clock
         self._last: tuple[int, Totals] | None = None
-        self._weights: DataFrame | None = None
+        self._published = False
+        self._versions = Journal(spark, f"{self.out}/versions", VERSION, "version")
+        self._used = Journal(spark, f"{self.out}/used", USED)
         self._emitted = LevelStore(spark, f"{self.out}/emitted", EMITTED, buckets=True, spread=False)
         self._progress = Journal(spark, f"{self.out}/progress", PROGRESS)
         self._arrived_schema: T.StructType | None = None
@@ -184,23 +189,42 @@ class LiveDetector:
         return known_pairs(self.spark.read.schema(batch.schema).parquet(path), seen.get)
 
     def _detect(
-        self, pairs: PairTable, batch_id: int, start: str, patterns: tuple[str, ...], ws: Workspace
+        self, pairs: PairTable, step: int, start: str, patterns: tuple[str, ...], ws: Workspace
     ) -> DataFrame:
-        clock = self.clock(batch_id) if self.clock else Clock(start, read_clock())
+        clock = self.clock(step // 2) if self.clock else Clock(start, read_clock())
         if not patterns:
             return self._empty(DETECTIONS)
         limits, opts = self.config.limits, self.config.opts
-        weights = self._pair_weights() if "upgrade" in patterns else None
+        weights = self._pair_weights(step) if "upgrade" in patterns else None
         return detect_on_pairs(pairs, weights, limits, clock, opts, ws, patterns)
 
-    def _pair_weights(self) -> DataFrame:
-        """Average weights, computed once per detector and read by every micro-batch."""
-        if self._weights is None:
-            weights = pair_weights(self.importance, self.config.opts)
-            path = f"{self.out}/weights"
-            weights.write.mode("overwrite").parquet(path)
-            self._weights = self.spark.read.schema(weights.schema).parquet(path)
-        return self._weights
+    def refresh(self, importance: DataFrame) -> int:
+        """Publish a new version of the importance table, which later steps read; its number.
+
+        Average weights are computed here, once for all steps."""
+        version = (self._versions.last_step() if self._versions.segments() else -1) + 1
+        weights = pair_weights(importance, self.config.opts)
+        weights.write.mode("overwrite").parquet(self._weights_path(version))
+        self._versions.append([{"version": version}], version)
+        self._published = True
+        return version
+
+    def _weights_path(self, version: int) -> str:
+        return f"{self.out}/weights/version={version}"
+
+    def _pair_weights(self, step: int) -> DataFrame:
+        """Average weights of the version this step reads: the newest one, or the same as before if the
+        step is repeated."""
+        known = self._used.last(step + 1)
+        if known and known["step"] == step:
+            version = known["version"]
+        else:
+            if not self._published:
+                self.refresh(self.importance)
+            version = self._versions.last_step()
+            self._used.append([{"step": step, "version": version}], step)
+        schema = pair_weights(self.importance, self.config.opts).schema
+        return self.spark.read.schema(schema).parquet(self._weights_path(version))
 
     def _start_time(self) -> str:
         return "" if self.clock else read_clock()
@@ -238,7 +262,7 @@ class LiveDetector:
             self._drop_files(totals.detections // self.config.file_rows)
         ws = self._workspace(step)
         pairs = self._snapshot(batch, batch_id, ws)
-        found = self._detect(pairs, batch_id, start, self.config.patterns, ws)
+        found = self._detect(pairs, step, start, self.config.patterns, ws)
         rows = pairs.txns + (totals.rows if self.config.scope == "chunk" else 0)
         self._emit(found, step, totals, rows, batch_id)
 
@@ -364,7 +388,7 @@ class LiveDetector:
             everything = chunk is None or not self.config.emit_once
             state = self._pair_store().read(buckets=None if everything else buckets)
             pairs = save_pairs(state.drop(BUCKET), ws)
-        found = self._empty(DETECTIONS) if pairs is None else self._detect(pairs, step // 2, start, patterns, ws)
+        found = self._empty(DETECTIONS) if pairs is None else self._detect(pairs, step, start, patterns, ws)
         self._emit(found, step, totals, rows, batch_id, flush=chunk is None, buckets=None if chunk is None else buckets)
 
     def _emit(
@@ -452,7 +476,7 @@ class LiveDetector:
         if self.config.at_end:
             start = self._start_time()
             state = self._state(batch_id)
-            found = self._detect(state, batch_id, start, self.config.at_end, ws)
+            found = self._detect(state, step, start, self.config.at_end, ws)
         self._emit(found, step, totals, totals.rows, batch_id, flush=True)
 
     def run(self, stream: DataFrame) -> None:
