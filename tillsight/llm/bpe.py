@@ -36,8 +36,10 @@ LETTERS, NUMBERS, OTHERS, SPACES, JOIN, ONE_LEFT, TWO_LEFT, ENDED = range(8)
 N_STATES = 8
 INTS = T.ArrayType(T.IntegerType())
 COLUMN = 256
-BLOCK = 8 << 20
-CACHE_PIECES = 500_000
+# A block's arrays take some 60 bytes for each byte of text.
+BLOCK = 2 << 20
+CACHE_PIECES = 300_000
+CACHE_BYTES = 16 << 20
 LONG_PIECE = 64
 MERGE_ROWS = 1 << 16
 NO_RANK = np.int32(2**31 - 1)
@@ -169,6 +171,7 @@ class Vocabulary:
 
     def _empty(self) -> None:
         self.cache: dict[bytes, int] = {}
+        self.cached_bytes = 0
         self.pool = np.zeros(1 << 16, dtype=np.int32)
         self.pool_at = np.zeros(1 << 14, dtype=np.int64)
 
@@ -269,7 +272,7 @@ class Vocabulary:
 
     def merge(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A pool of ids and, for each of the distinct pieces, its first place and number of ids."""
-        if len(self.cache) > CACHE_PIECES:
+        if len(self.cache) > CACHE_PIECES or self.cached_bytes > CACHE_BYTES:
             self._empty()
         names = pieces.to_pylist()
         at = np.fromiter(map(self.cache.get, names, repeat(-1)), np.int64, len(names))
@@ -283,6 +286,7 @@ class Vocabulary:
             self.pool_at = _grown(self.pool_at, known + len(fresh) + 1)
             self.pool_at[known : known + len(offsets)] = offsets + used
             at[fresh] = known + np.arange(len(fresh))
+            self.cached_bytes += sum(len(names[k]) for k in fresh.tolist())
             self.cache.update(zip([names[k] for k in fresh.tolist()], at[fresh].tolist(), strict=True))
         return self.pool, self.pool_at[at], self.pool_at[at + 1] - self.pool_at[at]
 
