@@ -10,10 +10,11 @@ there are domains, and nothing but these sums reaches the driver.
 
 The total is the largest for which no domain is repeated on average, so the scarcest domain has rate
 1 and others less. A share asked of a domain without tokens is spread over the others. Whole rates
-are realised by copies; the rest by a hash of the text, with rates within `snap` of a whole number
-taken as that.
+are realised by copies; the rest by a hash of the text. Steps go on until the targets are met; if they
+are not after `Descent.steps`, a warning names the largest residual, and `Plan.met` is false.
 
-Training reads a bounded sample (`SampleBounds`); everything else reads all rows. A null or empty
+Training reads a bounded sample (`SampleBounds`), of which features alone reach the driver; any number
+of domains takes part. Everything else reads all rows. A null or empty
 text has no tokens: it gets a posterior and a rate like others and moves no total. Repeated rows are
 decided alike. Labels with a null id or domain are not used; without labels of two domains every
 document has the domains' prior. Columns keep their names and values.
@@ -21,12 +22,14 @@ document has the domains' prior. Columns keep their names and values.
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.llm.host_rules import measure
@@ -36,16 +39,18 @@ from tillsight.workspace import Workspace
 
 @dataclass(frozen=True)
 class SampleBounds:
-    """What training may read: so many documents of each domain, each of so many bytes at most."""
+    """What training may read: so many documents of each domain, fewer if there are very many domains,
+    but one at least; each of so many bytes at most."""
 
     per_domain: int = 3_000
+    rows: int = 192_000
     text_bytes: int = 20_000
 
 
 @dataclass(frozen=True)
 class Descent:
     ridge: float = 1e-4
-    steps: int = 30
+    steps: int = 90
     tolerance: float = 5e-3
 
 
@@ -80,25 +85,24 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return n.astype(np.int64), np.column_stack(columns)
 
 
-def fit(rows: pa.Table) -> Classifier:
+FEATURES = [f"f{k}" for k in range(11)]
+
+
+def fit(domain: np.ndarray, x: np.ndarray) -> Classifier:
     """Multinomial logistic regression by gradient descent with momentum, ridge 1e-3."""
-    domain = np.array(rows.column("domain").to_pylist(), dtype=object)
     names = tuple(sorted(set(domain)))
-    parts = [np.zeros((0, 11))]
-    for batch in rows.select(["text"]).to_batches():
-        parts += [features(buf, offsets)[1] for _, _, buf, offsets in blocks(batch.column(0))]
-    x = np.concatenate(parts)
-    mean = x.mean(axis=0) if len(x) else np.zeros(11)
-    scale = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(11)
-    weights = np.zeros((max(len(names), 1), x.shape[1] + 1))
+    mean = x.mean(axis=0) if len(x) else np.zeros(len(FEATURES))
+    scale = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(len(FEATURES))
+    weights = np.zeros((max(len(names), 1), len(FEATURES) + 1))
     if len(names) > 1:
         z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
-        want = (domain[:, None] == np.array(names, dtype=object)[None]).astype(float)
+        want = np.searchsorted(np.array(names, dtype=object), domain)
         speed = np.zeros_like(weights)
         for _ in range(400):
             p = np.exp(z @ weights.T - (z @ weights.T).max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            speed = 0.9 * speed - 0.2 * ((p - want).T @ z / len(z) + 1e-3 * weights)
+            p[np.arange(len(z)), want] -= 1
+            speed = 0.9 * speed - 0.2 * (p.T @ z / len(z) + 1e-3 * weights)
             weights = weights + speed
     return Classifier(names or ("all",), mean, scale, weights)
 
@@ -107,17 +111,29 @@ def trained(docs: DataFrame, labels: DataFrame, key: str, text: str, bounds: Sam
     """Fit on the rows of each domain whose hashed ids are smallest; `labels` has key and `domain`."""
     usable = labels.select(F.col(f"`{key}`").alias("k"), F.col("domain").cast("string").alias("domain"))
     usable = usable.where("k is not null and domain is not null").distinct()
-    names = [r[0] for r in usable.select("domain").distinct().orderBy("domain").limit(64).collect()]
-    picked = None
-    for name in names:
-        some = usable.where(F.col("domain") == name).orderBy(F.xxhash64("k"), "k").limit(bounds.per_domain)
-        picked = some if picked is None else picked.union(some)
-    if picked is None:
-        return fit(pa.table({"domain": pa.array([], pa.string()), "text": pa.array([], pa.string())}))
+    domains = usable.agg(F.count_distinct("domain")).first()[0]
+    each = min(bounds.per_domain, max(bounds.rows // max(domains, 1), 1))
+    place = F.row_number().over(Window.partitionBy("domain").orderBy(F.xxhash64("k"), "k"))
+    picked = usable.withColumn("place", place).where(F.col("place") <= each).drop("place")
     short = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text"))
     short = short.where(F.octet_length("text") <= bounds.text_bytes)
-    # At most 64 * per_domain rows, so the broadcast is bounded.
-    return fit(short.join(F.broadcast(picked), "k").select("domain", "text").distinct().toArrow())
+    # At most `rows` ids, or one for each domain, so the broadcast is bounded; and one text per id and
+    # label, so what is joined stays bounded where ids repeat.
+    texts = short.join(F.broadcast(picked), "k").groupBy("k", "domain").agg(F.min("text").alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, buf, offsets in blocks(batch.column("text")):
+                x = features(buf, offsets)[1]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("domain").slice(lo, hi - lo), *(pa.array(np.ascontiguousarray(c)) for c in x.T)],
+                    ["domain", *FEATURES],
+                )
+
+    rows = map_arrow(texts.select("domain", "text"), run, "domain string, " + ", ".join(f"{f} double" for f in FEATURES)).toArrow()
+    order = np.lexsort([rows.column(f).to_numpy() for f in FEATURES])
+    x = np.column_stack([rows.column(f).to_numpy() for f in FEATURES])[order]
+    return fit(np.array(rows.column("domain").to_pylist(), dtype=object)[order], x)
 
 
 def memberships(docs: DataFrame, model: Classifier, key: str, text: str) -> DataFrame:
@@ -158,6 +174,7 @@ class Plan:
     residuals: tuple[tuple[float, ...], ...]
     totals: tuple[float, ...]
     targets: tuple[float, ...]
+    met: bool = False
 
     def rates(self, p: np.ndarray) -> np.ndarray:
         x = np.ones(len(p))
@@ -165,48 +182,59 @@ class Plan:
             x = np.maximum((1 - self.step * self.ridge) * x - self.step * (p @ np.array(r)) + self.step * self.ridge, 0)
         return x
 
-    def rate(self) -> Column:
-        """The same as an expression over the posterior columns."""
-        x = F.lit(1.0)
-        for r in self.residuals:
-            pull = sum((F.col(f"p{k}") * F.lit(self.step * v) for k, v in enumerate(r)), F.lit(0.0))
-            x = F.greatest(F.lit(0.0), x * F.lit(1 - self.step * self.ridge) - pull + F.lit(self.step * self.ridge))
-        return x
+
+def _sums(members: DataFrame, k: int, size: int, made: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sums over all rows of `size` numbers that `made` gives for tokens and posteriors of some rows."""
+    names = [f"p{i}" for i in range(k)]
+
+    def run(batches):
+        total = np.zeros(size)
+        for batch in batches:
+            p = np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+            total += made(batch.column("tokens").to_numpy(zero_copy_only=False).astype(float), p)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["at", "value"])
+
+    parts = map_arrow(members.select("tokens", *names), run, "at long, value double")
+    # As many rows as sums, however many rows were summed.
+    rows = parts.groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+    out = np.zeros(size)
+    out[rows.column("at").to_numpy()] = rows.column("value").to_numpy()
+    return out
 
 
 def solve(members: DataFrame, shares: list[float], descent: Descent) -> Plan:
     """Projected gradient over all rows; `members` is a written table with tokens and posteriors."""
     k = len(shares)
-    p = [F.col(f"p{i}") for i in range(k)]
-    t = F.col("tokens")
-    row = members.agg(
-        F.coalesce(F.sum(t), F.lit(0)).alias("t"),
-        *[F.coalesce(F.sum(t * p[i]), F.lit(0.0)).alias(f"m{i}") for i in range(k)],
-        *[F.coalesce(F.sum(t * p[i] * p[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in range(k) for j in range(k)],
-    ).first()
-    total = float(row["t"])
+    first = _sums(
+        members, k, 1 + k + k * k,
+        lambda t, p: np.concatenate([[t.sum()], t @ p, ((p * t[:, None]).T @ p).ravel()]),
+    )
+    total = first[0]
     if total == 0:
-        return Plan(1.0, descent.ridge, (), (0.0,) * k, (0.0,) * k)
-    have = np.array([row[f"m{i}"] for i in range(k)]) / total
+        return Plan(1.0, descent.ridge, (), (0.0,) * k, (0.0,) * k, True)
+    have = first[1 : 1 + k] / total
     want = np.where(have > 0, np.array(shares, float), 0)
     want = want / want.sum() if want.sum() > 0 else have
     asked = want > 0
     target = want * (have[asked] / want[asked]).min()
-    gram = np.array([[row[f"g{i}_{j}"] for j in range(k)] for i in range(k)]) / total
+    gram = first[1 + k :].reshape(k, k) / total
     # Residuals count in proportion to what a domain has, so a scarce one is met as fast as others.
     scale = np.where(have > 0, have, 1.0)
     step = 1 / (np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max() + descent.ridge)
     residuals: list[tuple[float, ...]] = []
     now = have
-    for _ in range(descent.steps):
+    while True:
         residual = now - target
-        if (np.abs(residual) <= descent.tolerance * np.maximum(target, 1e-9)).all():
+        met = bool((np.abs(residual) <= descent.tolerance * np.maximum(target, 1e-9)).all())
+        if met or len(residuals) == descent.steps:
             break
         residuals.append(tuple((residual / scale).tolist()))
-        x = Plan(step, descent.ridge, tuple(residuals), (), ()).rate()
-        sums = members.select(t, *p, x.alias("x")).agg(*[F.sum(t * p[i] * F.col("x")) for i in range(k)]).first()
-        now = np.array([float(v) for v in sums]) / total
-    return Plan(step, descent.ridge, tuple(residuals), tuple(now.tolist()), tuple(target.tolist()))
+        plan = Plan(step, descent.ridge, tuple(residuals), (), ())
+        now = _sums(members, k, k, lambda t, p: (t * plan.rates(p)) @ p) / total
+    if not met:
+        worst = np.abs(now - target).max()
+        warnings.warn(f"shares are not met after {descent.steps} steps: off by up to {worst:.2g} of all tokens", stacklevel=2)
+    return Plan(step, descent.ridge, tuple(residuals), tuple(now.tolist()), tuple(target.tolist()), met)
 
 
 def copies(rates: np.ndarray, draw: np.ndarray) -> np.ndarray:
@@ -230,13 +258,22 @@ def rates(
     """Per row the key, tokens, posterior of each domain, rate and copies."""
     ws = ws or Workspace(docs.sparkSession)
     model, plan, members = fitted(docs, labels, shares, key, text, bounds, descent, ws)
-    x = F.col("rate")
-    whole = F.floor(x)
-    return members.withColumn("rate", plan.rate()).select(
-        F.col("key").alias(key), "tokens",
-        *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(model.domains)],
-        "rate", (whole + (F.col("draw") < x - whole).cast("int")).cast("long").alias("copies"),
-    )
+    names = [f"p{k}" for k in range(len(model.domains))]
+    kept = ["key", "tokens", *names]
+
+    def run(batches):
+        for batch in batches:
+            p = np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+            x = plan.rates(p)
+            times = copies(x, batch.column("draw").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in kept), pa.array(x), pa.array(times)], [*kept, "rate", "copies"]
+            )
+
+    rated = map_arrow(members, run, members.select(*kept).schema.add("rate", "double").add("copies", "long"))
+    return rated.select(
+        F.col("key").alias(key), "tokens", *[F.col(n).alias(f"p_{d}") for n, d in zip(names, model.domains)], "rate", "copies"
+    )
 
 
 def mixed(

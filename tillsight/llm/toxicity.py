@@ -44,7 +44,9 @@ PREFIXES = range(4, 9)
 
 @dataclass(frozen=True)
 class TrainingBounds:
-    """What training may read: so many documents of either label, each of so many bytes at most."""
+    """What training may read, and how large the model may be: so many documents of either label, each of
+    so many bytes at most; so many features, the most telling ones, each found in so many documents of the
+    sample at least. Nothing is bounded in scoring."""
 
     per_label: int = 3_000
     text_bytes: int = 20_000
@@ -97,6 +99,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds, ke
     )
     # At most 2 * per_label rows, so the broadcast is bounded.
     joined = short.join(F.broadcast(picked[0].union(picked[1])), "k")
+    joined = joined.groupBy("k", "label").agg(F.min("text").alias("text"))  # one text where an id repeats
     return joined.select("label", "text").distinct()  # copies would count as evidence
 
 
