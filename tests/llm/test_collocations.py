@@ -71,7 +71,7 @@ def test_split_words_and_batches(spark, monkeypatch):
     """Very common words are split by the next word; machines of one prefix may come in many batches."""
     docs = corpus()
     df = spark.createDataFrame(docs, "text string, lang string").repartition(9)
-    assert b"the" in collocations.common_words(df, "text")
+    assert collocations.prefix_slots(df, "text")[b"the"] > 100
     rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
