@@ -10,6 +10,8 @@ from tillsight.workspace import Workspace
 
 # Fixed value: rows per detection file.
 FILE_ROWS = 50
+# Files that one task writes, as their number counts there and not their few bytes.
+TASK_FILES = 64
 
 
 def file_of(seq: Column, size: int = FILE_ROWS) -> Column:
@@ -33,11 +35,12 @@ def in_files(
     return numbered.filter(F.col("seq") <= rows - rows % size)
 
 
-def write_files(numbered: DataFrame, path: str, columns: list[str]) -> None:
-    """One CSV file per `file_id`, below `file_id=<i>`; a file written again is replaced."""
+def write_files(numbered: DataFrame, path: str, columns: list[str], files: int = 1) -> None:
+    """One CSV file per `file_id`, below `file_id=<i>`; a file written again is replaced. `files` is about
+    their number, by which they are dealt to tasks."""
     (
         numbered.select(*columns, "file_id", "seq")
-        .repartition("file_id")
+        .repartition(files // TASK_FILES + 1, "file_id")
         .sortWithinPartitions("file_id", "seq")
         .drop("seq")
         .write.partitionBy("file_id")

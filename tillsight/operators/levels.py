@@ -136,16 +136,18 @@ class LevelStore:
         df = self._read(segments, buckets)
         return self.merge(df) if self.merge and len(segments) > 1 else df
 
-    def append(self, df: DataFrame, step: int, metrics: list[Column] | None = None) -> dict:
-        """Add a step's rows; done again for the same step it replaces them, and withdraws later steps.
+    def append(self, df: DataFrame, step: int, metrics: list[Column] | None = None, first: int | None = None) -> dict:
+        """Add a step's rows, or those of all steps from `first` on, as one segment; done again for the same
+        step it replaces them, and withdraws later steps.
 
-        Returns the metrics, aggregates of the step's rows."""
-        segments = list(self.segments(step))
+        Returns the metrics, aggregates of the rows."""
+        first = step if first is None else first
+        segments = list(self.segments(first))
         for later in self._steps():
-            if later >= step:
+            if later >= first:
                 self.folder.remove(f"manifest/{later}.json")
-        found = self._write(df, (0, step, step), metrics)
-        segments.append((0, step, step))
+        found = self._write(df, (0, first, step), metrics)
+        segments.append((0, first, step))
         made = [segments[-1]]
         level = 0
         while True:
@@ -229,8 +231,9 @@ class Journal:
         rows = self.spark.read.schema(self.schema).json(paths)
         return rows if before is None else rows.filter(F.col(self.step) < before)
 
-    def append(self, rows: list[dict], step: int) -> None:
-        """Add a step's rows; done again for the same step it replaces them, and withdraws later steps."""
+    def append(self, rows: list[dict], step: int, last: int | None = None) -> None:
+        """Add a step's rows, or those of all steps up to `last`; done again for the same step it replaces
+        them, and withdraws later steps."""
         segments = self.segments()
         for segment in [s for s in segments if s[2] >= step]:
             kept = [r for r in self._rows(segment) if r[self.step] < step]
@@ -240,7 +243,7 @@ class Journal:
                 self._put(shorter, kept)
                 segments.append(shorter)
             self.folder.remove(self._name(segment))
-        segments.append((0, step, step))
+        segments.append((0, step, step if last is None else last))
         self._put(segments[-1], rows)
         level = 0
         while True:

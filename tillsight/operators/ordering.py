@@ -29,21 +29,24 @@ def place_in_order(df: DataFrame, order: list[Column | str]) -> DataFrame:
 def number_placed(placed: DataFrame, keys: list[str]) -> DataFrame:
     """Turn written places into `seq`, counted from 1 for each of the keys.
 
-    There is one offset per key and sort partition, a number that does not grow with the rows.
+    Rows that were sorted together are numbered together or by keys that lead their order. There is one
+    offset per key and sort partition.
     """
+    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     placed = placed.withColumn("_slice", F.shiftright("_at", PLACE_BITS))
     group = Window.partitionBy(*keys) if keys else Window
     earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(*keys, "_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(place).alias("_first"))
         .select(
-            *keys, "_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+            *keys,
+            "_slice",
+            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_before"),
         )
     )
     # Without keys the offsets are at most the sort's partitions, so they may be broadcast.
     offsets = offsets if keys else F.broadcast(offsets)
-    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     return (
         placed.join(offsets, [*keys, "_slice"])
         .withColumn("seq", F.col("_before") + place + 1)

@@ -73,7 +73,12 @@ def pair_versions(per_chunk: DataFrame) -> DataFrame:
 
 
 def build_history(txns: DataFrame, opts: Options, ws: Workspace) -> History:
-    per_chunk = save_pairs(pair_state(txns, opts, SCOPE), ws, SCOPE)
+    return history_of(pair_state(txns, opts, SCOPE), ws)
+
+
+def history_of(pairs: DataFrame, ws: Workspace) -> History:
+    """History of pair state by chunk; all that came before may be the rows of one chunk."""
+    per_chunk = save_pairs(pairs, ws, SCOPE)
     versions = ws.save(pair_versions(per_chunk.df), "versions")
     last = per_chunk.df.agg(F.max("chunk_id")).first()[0]
     return History(per_chunk, versions, -1 if last is None else last)
@@ -209,7 +214,7 @@ def level_history(
 
 def upgrade_intervals(
     history: History,
-    importance: DataFrame,
+    weights: DataFrame,
     limits: Thresholds,
     clock: Clock,
     opts: Options,
@@ -235,7 +240,6 @@ def upgrade_intervals(
         merchants,
         opts,
     ).filter(F.col("n") >= F.col("floor"))
-    weights = pair_weights(importance, opts)
     known = reach.select("chunk_id", "next_chunk", "n", *PAIR).join(weights, list(PAIR))
     known = lookup_join(in_touches(known, touches, rows, opts), eligible, ["merchantId"], "customerId", merchants, opts)
     top = lookup_join(each_touch(known), cuts.df, keys, "customerId", cuts.rows, opts).filter(
@@ -288,10 +292,23 @@ def version_intervals(
 ) -> DataFrame:
     """The same with an interval for each version that fires; intervals of one key do not overlap."""
     ws = ws or Workspace(txns.sparkSession)
-    history = build_history(txns, opts, ws)
+    weights = pair_weights(importance, opts) if "upgrade" in patterns else None
+    return intervals_of(build_history(txns, opts, ws), weights, limits, clock, opts, ws, patterns)
+
+
+def intervals_of(
+    history: History,
+    weights: DataFrame | None,
+    limits: Thresholds,
+    clock: Clock,
+    opts: Options,
+    ws: Workspace,
+    patterns: tuple[str, ...] = PATTERNS,
+) -> DataFrame:
+    """Intervals of the chosen rules over a written history and average weights per pair."""
     found = []
     if "upgrade" in patterns:
-        found.append(upgrade_intervals(history, importance, limits, clock, opts, ws))
+        found.append(upgrade_intervals(history, weights, limits, clock, opts, ws))
     if "child" in patterns:
         found.append(child_intervals(history, limits, clock, opts))
     if "gender_skew" in patterns:

@@ -110,6 +110,16 @@ class Arrivals:
             return False
         return self.chunk_rows is None or sum(f.rows for f in files) >= self.chunk_rows
 
+    def last_whole(self, chunk: int, rows: int) -> int:
+        """The last of the chunks that are whole from a whole one on without a gap, of so many rows in all."""
+        left = rows - sum(f.rows for f in self.waiting[chunk] + self.late)
+        while self.whole(chunk + 1):
+            left -= sum(f.rows for f in self.waiting[chunk + 1])
+            if left < 0:
+                break
+            chunk += 1
+        return chunk
+
     def short_last(self, chunk: int) -> bool:
         """Whether a chunk has come in part and none after it has."""
         return chunk in self.waiting and chunk == max(self.waiting)

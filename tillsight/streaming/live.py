@@ -2,9 +2,10 @@
 
 A stream with chunk numbers is evaluated chunk by chunk in the order of these numbers, whatever order
 its files come in: each micro-batch stores the pair state of the files it brings and notes them
-(`arrivals`), and then every chunk that is next in line and whole is evaluated. A stream without numbers
-goes by micro-batches, with a streaming aggregate as its running state. In chunk scope each chunk is
-evaluated alone.
+(`arrivals`), and then every chunk that is next in line and whole is evaluated. Chunks that are whole together, as
+when a backlog is read, are evaluated together: each still on what came up to it, but in one plan over
+intervals of chunks (`plans.cumulative`). A stream without numbers goes by micro-batches, with a streaming
+aggregate as its running state. In chunk scope each chunk is evaluated alone.
 
 The running state of a numbered stream is a table in levels (`operators.levels`), bucketed by merchant. A
 chunk adds what it changes; then only the buckets it touched are read and evaluated, as no rule fires
@@ -38,7 +39,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillsight.functions.ids import strip_ends
 from tillsight.functions.times import read_clock
 from tillsight.operators.batches import FILE_ROWS, file_of, write_files
-from tillsight.operators.dedup import not_seen
+from tillsight.operators.dedup import keep_first, not_seen
 from tillsight.operators.levels import BUCKET, Journal, LevelStore
 from tillsight.operators.ordering import number_placed, place_in_order
 from tillsight.operators.pairs import (
@@ -51,6 +52,7 @@ from tillsight.operators.pairs import (
     pair_state,
     save_pairs,
 )
+from tillsight.plans.cumulative import SCOPE, history_of, intervals_of
 from tillsight.plans.detect import detect_on_pairs
 from tillsight.plans.upgrade import pair_weights
 from tillsight.schemas import DETECTION_COLUMNS, DETECTIONS, TRANSACTIONS
@@ -89,6 +91,7 @@ class LiveConfig:
     emit_once     drop detections whose key was emitted before.
     chunk_rows    rows of a whole chunk; unknown, a chunk is whole with the first file that comes for it.
     buckets       parts of the running state and of what was emitted, by merchant.
+    at_once       rows of chunks that are evaluated together, more if the first of them has more.
     """
 
     limits: Thresholds
@@ -100,6 +103,7 @@ class LiveConfig:
     file_rows: int = FILE_ROWS
     chunk_rows: int | None = None
     buckets: int = 16
+    at_once: int = 5_000_000
 
     def __post_init__(self):
         if self.scope not in ("cumulative", "chunk"):
@@ -212,9 +216,9 @@ class LiveDetector:
     def _weights_path(self, version: int) -> str:
         return f"{self.out}/weights/version={version}"
 
-    def _pair_weights(self, step: int) -> DataFrame:
-        """Average weights of the version this step reads: the newest one, or the same as before if the
-        step is repeated."""
+    def _pair_weights(self, step: int, last: int | None = None) -> DataFrame:
+        """Average weights of the version this step reads, and all up to `last`: the newest one, or the same as
+        before if the step is repeated."""
         known = self._used.last(step + 1)
         if known and known["step"] == step:
             version = known["version"]
@@ -222,7 +226,8 @@ class LiveDetector:
             if not self._published:
                 self.refresh(self.importance)
             version = self._versions.last_step()
-            self._used.append([{"step": step, "version": version}], step)
+            steps = range(step, (last or step) + 1, 2)
+            self._used.append([{"step": s, "version": version} for s in steps], step, last)
         schema = pair_weights(self.importance, self.config.opts).schema
         return self.spark.read.schema(schema).parquet(self._weights_path(version))
 
@@ -306,8 +311,11 @@ class LiveDetector:
         notes = notes_of(self.spark.read.schema(pairs.schema).parquet(path), batch_id)
         self.arrived.add(notes, batch_id, done)
         while self.arrived.whole(done + 1):
-            done += 1
-            self._evaluate(done, 2 * done, batch_id, start, self.config.patterns)
+            first, done = done + 1, self.arrived.last_whole(done + 1, self.config.at_once)
+            if first == done:
+                self._evaluate(done, 2 * done, batch_id, start, self.config.patterns)
+            else:
+                self._evaluate_together(first, done, batch_id, start)
             start = self._start_time()
 
     def _rows_of(self, files: list[Arrival]) -> DataFrame | None:
@@ -325,6 +333,23 @@ class LiveDetector:
             found = part if found is None else found.unionByName(part)
         return found
 
+    def _rows_by_chunk(self, files: list[tuple[int, Arrival]]) -> DataFrame:
+        """Pair state of some files by the chunks they count in, in one scan of what has arrived."""
+        batches = sorted({f.batch for _, f in files})
+        reader = self.spark.read if self._arrived_schema is None else self.spark.read.schema(self._arrived_schema)
+        rows = reader.option("basePath", f"{self.out}/arrived").parquet(*[f"{self.out}/arrived/batch={b}" for b in batches])
+        named = SOURCE in rows.columns
+        wanted = {(f.batch, f.chunk, f.source if named else None, to) for to, f in files}
+        wanted = self.spark.createDataFrame(sorted(wanted, key=str), "_batch long, _chunk long, _source string, _to long")
+        chunks = {f.chunk for _, f in files}
+        rows = rows.filter(F.col(CHUNK).between(min(chunks), max(chunks)))
+        same = (F.col("batch") == F.col("_batch")) & (F.col(CHUNK) == F.col("_chunk"))
+        same = same & F.col(SOURCE).eqNullSafe(F.col("_source")) if named else same
+        # A row per file, a few of the journal of arrivals.
+        found = rows.join(F.broadcast(wanted), same).drop(CHUNK, "batch", SOURCE, PLACE, "_batch", "_chunk", "_source")
+        found = found.withColumnRenamed("_to", CHUNK)
+        return merge_pairs(found, [F.col(c) for c in (CHUNK, *PAIR)])
+
     def _bucket(self, merchant: Column) -> Column:
         """Merchants that a rule may take for one, by their stripped names, are in one bucket."""
         return F.pmod(F.xxhash64(merchant), F.lit(self.config.buckets)).cast("int").alias(BUCKET)
@@ -351,7 +376,7 @@ class LiveDetector:
             )
         return self._pairs
 
-    def _add_pairs(self, new: DataFrame, step: int) -> list[int]:
+    def _add_pairs(self, new: DataFrame, step: int, first: int | None = None) -> list[int]:
         """Add what has changed to the running state; the buckets it touches."""
         store = self._pair_store(new.schema)
         masks = [
@@ -363,7 +388,7 @@ class LiveDetector:
             ).alias(f"mask_{low}")
             for low in range(0, self.config.buckets, MASK_BITS)
         ]
-        seen = store.append(new.withColumn(BUCKET, self._state_bucket()), step, masks)
+        seen = store.append(new.withColumn(BUCKET, self._state_bucket()), step, masks, first)
         bits = [(low, seen.get(f"mask_{low}") or 0) for low in range(0, self.config.buckets, MASK_BITS)]
         return [low + k for low, mask in bits for k in range(MASK_BITS) if mask >> k & 1]
 
@@ -391,6 +416,73 @@ class LiveDetector:
         found = self._empty(DETECTIONS) if pairs is None else self._detect(pairs, step, start, patterns, ws)
         self._emit(found, step, totals, rows, batch_id, flush=chunk is None, buckets=None if chunk is None else buckets)
 
+    def _evaluate_together(self, first: int, last: int, batch_id: int, start: str) -> None:
+        """Evaluate chunks that are whole, each on what came up to it, with the results of one after another.
+
+        What is late counts from the first of them. The state before them stands as a chunk of its own; what
+        holds there is reported, as far as it is new, in the first chunk that touches its bucket."""
+        config, step, end = self.config, 2 * first, 2 * last
+        totals = self._totals(step)
+        ws = self._workspace(step)
+        files, late, counted = [], [], {}
+        for chunk in range(first, last + 1):
+            mine, more = self.arrived.take(chunk)
+            files += [(chunk, f) for f in mine]
+            late += [(chunk, f) for f in more]
+            counted[chunk] = sum(f.rows for f in mine + more)
+        patterns = config.patterns
+        clock = Clock("", "") if self.clock else Clock(start, read_clock())
+        weights = self._pair_weights(step, end) if "upgrade" in patterns else None
+        buckets = None
+        if config.scope == "chunk":
+            new = save_pairs(self._rows_by_chunk(files), ws, SCOPE)
+            if patterns:
+                found = detect_on_pairs(new, weights, config.limits, clock, config.opts, ws, patterns)
+        else:
+            new = ws.save(self._rows_by_chunk(files + late), "new")
+            buckets = self._add_pairs(merge_pairs(new.drop(CHUNK), [F.col(c) for c in PAIR]), end, step)
+            buckets = buckets if config.emit_once else None
+            if patterns:
+                before = self._pair_store().read(step, buckets).drop(BUCKET).withColumn(CHUNK, F.lit(first - 1).cast("long"))
+                history = history_of(new.unionByName(before.select(*new.columns)), ws)
+                held = intervals_of(history, weights, config.limits, clock, config.opts, ws, patterns)
+                found = self._reported(held, new, first)
+        if not patterns:
+            found = self._empty(DETECTIONS).withColumn(CHUNK, F.lit(None).cast("long"))
+        elif self.clock:
+            clocks = [(chunk, self.clock(chunk)) for chunk in counted]
+            times = [(chunk, c.start, c.detected) for chunk, c in clocks]
+            times = self.spark.createDataFrame(times, f"{CHUNK} long, YStartTime string, detectionTime string")
+            # A row per chunk of these.
+            found = found.drop("YStartTime", "detectionTime").join(F.broadcast(times), CHUNK)
+        if config.emit_once:
+            found = keep_first(found.select(CHUNK, *DETECTION_COLUMNS), CHUNK)
+            found = not_seen(found, self._emitted.read(step, buckets))
+        found = found.select(*DETECTION_COLUMNS, (F.col(CHUNK) * 2).cast("long").alias("step"))
+        placed = place_in_order(found, ["step", *ORDER]).select(*DETECTION_COLUMNS, "_at", "step")
+        self._emitted.append(placed.withColumn(BUCKET, self._found_bucket()), end, first=step)
+        added = self._emitted.read().filter(F.col("step").between(step, end))
+        added = dict(added.groupBy("step").agg(F.count(F.lit(1))).collect())
+        rows, total, lines = totals.rows, totals.detections, []
+        for chunk, read in counted.items():
+            rows, total = rows + read, total + added.get(2 * chunk, 0)
+            lines.append(dict(zip(PROGRESS.fieldNames(), (rows, added.get(2 * chunk, 0), total, 2 * chunk, batch_id))))
+        self._progress.append(lines, step, end)
+        self._fill_files(totals.detections, total, end)
+        self._last = (end, Totals(rows, total, False))
+
+    def _reported(self, held: DataFrame, new: DataFrame, first: int) -> DataFrame:
+        """Intervals as the chunks that report them: every one, or with emit-once the one they begin in."""
+        if not self.config.emit_once:
+            begin = F.greatest("first_chunk", F.lit(first))
+            held = held.filter(F.col("last_chunk") >= first)
+            return held.withColumn(CHUNK, F.explode(F.sequence(begin, "last_chunk"))).drop("first_chunk", "last_chunk")
+        # At most a row per bucket.
+        touched = new.groupBy(self._state_bucket()).agg(F.min(CHUNK).alias("_touched"))
+        held = held.withColumn(BUCKET, self._found_bucket()).join(F.broadcast(touched), BUCKET)
+        held = held.withColumn(CHUNK, F.greatest("first_chunk", "_touched"))
+        return held.filter(F.col(CHUNK) <= F.col("last_chunk")).drop(BUCKET, "_touched", "first_chunk", "last_chunk")
+
     def _emit(
         self,
         found: DataFrame,
@@ -413,15 +505,19 @@ class LiveDetector:
         new = self._emitted.append(placed, step, [F.count(F.lit(1)).alias("rows")]).get("rows") or 0
         total = totals.detections + new
         self._progress.append([dict(zip(PROGRESS.fieldNames(), (rows, new, total, step, batch_id)))], step)
+        self._fill_files(totals.detections, total, step, flush)
+        self._last = (step, Totals(rows, total, False))
+
+    def _fill_files(self, before: int, total: int, step: int, flush: bool = False) -> None:
+        """Write the files that detections up to a step fill."""
         size = self.config.file_rows
-        first_open = totals.detections // size
+        first_open = before // size
         end = total // size + (1 if flush and total % size else 0)
         if end > first_open:
             due = self.emitted(first_open * size).filter(
                 (F.col("step") <= step) & (F.col("file_id") < end)
             )
-            write_files(due, self.files(), DETECTION_COLUMNS)
-        self._last = (step, Totals(rows, total, False))
+            write_files(due, self.files(), DETECTION_COLUMNS, end - first_open)
 
     # Running
 
