@@ -3,21 +3,23 @@
 A pair's state only changes in chunks where the pair has rows, so its history is kept as versions,
 each valid from one chunk until the pair's next. What a rule reports of a version holds for as long, so
 each rule gives intervals of chunks, and nothing is repeated per chunk unless `cumulative` is asked for
-the rows of every chunk. For UPGRADE a merchant's cuts can only move in chunks that touch it; time is
-counted there in the merchant's own touches, and histogram levels and candidates near the cut are repeated
-for these alone.
+the rows of every chunk. For UPGRADE a merchant's cuts can only move in chunks that touch it. Both cuts
+are found as order statistics over time (`operators.timeline`), and then the touches at which a customer is
+within them: all, or only the first, so that no customer is repeated per touch.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from functools import reduce
+from math import floor
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.rows import to_detections
 from tillsight.operators.lookup import lookup_join
+from tillsight.operators.ordering import global_sequence
 from tillsight.operators.pairs import (
     MERGE,
     PAIR,
@@ -26,7 +28,8 @@ from tillsight.operators.pairs import (
     pair_state,
     save_pairs,
 )
-from tillsight.operators.ranking import lowest_weights, save_cuts, top_levels
+from tillsight.operators.ranking import percent
+from tillsight.operators.timeline import Bounds, highest_place, value_over_time
 from tillsight.plans.child import is_child
 from tillsight.plans.gender_skew import is_skewed, one_letter
 from tillsight.plans.upgrade import pair_weights
@@ -43,6 +46,7 @@ class History:
 
     per_chunk: PairTable
     versions: DataFrame
+    first_chunk: int
     last_chunk: int
 
 
@@ -80,8 +84,8 @@ def history_of(pairs: DataFrame, ws: Workspace) -> History:
     """History of pair state by chunk; all that came before may be the rows of one chunk."""
     per_chunk = save_pairs(pairs, ws, SCOPE)
     versions = ws.save(pair_versions(per_chunk.df), "versions")
-    last = per_chunk.df.agg(F.max("chunk_id")).first()[0]
-    return History(per_chunk, versions, -1 if last is None else last)
+    first, last = per_chunk.df.agg(F.min("chunk_id"), F.max("chunk_id")).first()
+    return History(per_chunk, versions, 0 if first is None else first, -1 if last is None else last)
 
 
 def spans(history: History) -> list[Column]:
@@ -137,7 +141,7 @@ def gender_skew_intervals(
 
 
 def merchant_touches(history: History) -> DataFrame:
-    """Chunks that touch each merchant, numbered from 1, with its rows so far and its next such chunk."""
+    """Chunks that touch each merchant, with its rows so far and its next such chunk."""
     per_chunk = (
         history.per_chunk.df.filter(F.col("merchantId").isNotNull())
         .groupBy("merchantId", "chunk_id")
@@ -147,71 +151,11 @@ def merchant_touches(history: History) -> DataFrame:
     return per_chunk.select(
         "merchantId",
         "chunk_id",
-        F.row_number().over(ordered).cast("long").alias("touch"),
         F.lead("chunk_id").over(ordered).alias("next_chunk"),
         running({"total": F.sum("n")}, ("merchantId",))["total"].alias("total"),
     )
 
 
-def eligible_merchants_over_time(touches: DataFrame, limits: Thresholds) -> DataFrame:
-    """First touch at which each merchant has enough rows, as its total never falls, and its last one."""
-    enough = F.col("total") >= limits.min_merchant_txns
-    return (
-        touches.groupBy("merchantId")
-        .agg(F.min(F.when(enough, F.col("touch"))).alias("since"), F.max("touch").alias("until"))
-        .filter(F.col("since").isNotNull())
-    )
-
-
-def in_touches(versions: DataFrame, touches: DataFrame, rows: int, opts: Options) -> DataFrame:
-    """Versions with the touches at which they begin and end in place of chunks."""
-    small = touches.select("merchantId", "chunk_id", "touch")
-    begun = lookup_join(versions, small, ["merchantId", "chunk_id"], "n", rows, opts)
-    after = small.select("merchantId", F.col("chunk_id").alias("next_chunk"), F.col("touch").alias("next_touch"))
-    return lookup_join(begun, after, ["merchantId", "next_chunk"], "n", rows, opts, "left").drop("chunk_id", "next_chunk")
-
-
-def each_touch(df: DataFrame) -> DataFrame:
-    """A row per touch at which a version is valid and its merchant eligible."""
-    start = F.greatest("touch", "since")
-    end = F.coalesce(F.col("next_touch") - 1, F.col("until"))
-    valid = df.withColumns({"_start": start, "_end": end}).filter(F.col("_start") <= F.col("_end"))
-    touches = F.explode(F.sequence("_start", "_end"))
-    return valid.withColumn("touch", touches).drop("_start", "_end", "next_touch", "since", "until")
-
-
-def level_history(
-    history: History, touches: DataFrame, rows: int, eligible: DataFrame, merchants: int, opts: Options
-) -> DataFrame:
-    """Each eligible merchant's histogram at each of its touches, built from changes of its levels."""
-    moves = (
-        history.versions.filter(F.col("merchantId").isNotNull())
-        .select(
-            "merchantId",
-            "chunk_id",
-            F.explode(
-                F.array(
-                    F.struct(F.col("n").alias("n"), F.lit(1).alias("change")),
-                    F.struct(F.col("n_before").alias("n"), F.lit(-1).alias("change")),
-                )
-            ).alias("_move"),
-        )
-        .select("merchantId", "chunk_id", "_move.*")
-        .filter(F.col("n") > 0)
-    )
-    moves = lookup_join(moves, eligible.select("merchantId"), ["merchantId"], "n", merchants, opts, "left_semi")
-    moves = moves.groupBy("merchantId", "n", "chunk_id").agg(F.sum("change").alias("change")).filter(F.col("change") != 0)
-    keys = ("merchantId", "n")
-    level = moves.select(
-        *keys,
-        "chunk_id",
-        running({"customers": F.sum("change")}, keys)["customers"].alias("customers"),
-        F.lead("chunk_id").over(Window.partitionBy(*keys).orderBy("chunk_id")).alias("next_chunk"),
-    ).filter(F.col("customers") > 0)
-    known = lookup_join(in_touches(level, touches, rows, opts), eligible, ["merchantId"], "n", merchants, opts)
-    return each_touch(known)
-
-
 def upgrade_intervals(
     history: History,
     weights: DataFrame,
@@ -219,37 +163,73 @@ def upgrade_intervals(
     clock: Clock,
     opts: Options,
     ws: Workspace,
+    firings: int | None = None,
 ) -> DataFrame:
-    """Only customers that reach their merchant's lowest cut ever are followed from touch to touch."""
-    keys = ["touch", "merchantId"]
-    all_touches = merchant_touches(history)
-    eligible = ws.save(eligible_merchants_over_time(all_touches, limits), "eligible")
-    merchants = eligible.count()
+    """An interval for every touch of a merchant at which a customer fires, or for the first `firings` (1 or 2)
+    of each customer and cut.
+
+    A merchant's cuts are order statistics of its customers' counts at its touches. Customers that have once
+    reached a cut stay above it, so of each cut that a merchant ever has a customer becomes a member once, and
+    the weight that still passes at a touch is an order statistic of the members of the cut of that touch.
+    """
+    first = history.first_chunk
+    touches = merchant_touches(history).filter(F.col("total") >= limits.min_merchant_txns)
     seen = Observation()
-    touches = lookup_join(all_touches, eligible.select("merchantId"), ["merchantId"], "chunk_id", merchants, opts, "left_semi")
     touches = ws.save(touches.observe(seen, F.count(F.lit(1)).alias("rows")), "touches")
     rows = seen.get.get("rows") or 0
-    levels = level_history(history, touches, rows, eligible, merchants, opts)
-    cuts = save_cuts(top_levels(levels, keys, limits), keys, ws)
-    floors = ws.save(cuts.df.groupBy("merchantId").agg(F.min("cut").alias("floor")), "floors")
-    reach = lookup_join(
-        history.versions.filter(F.col("customerId").isNotNull()),
-        floors,
-        ["merchantId"],
-        "customerId",
-        merchants,
-        opts,
-    ).filter(F.col("n") >= F.col("floor"))
-    known = reach.select("chunk_id", "next_chunk", "n", *PAIR).join(weights, list(PAIR))
-    known = lookup_join(in_touches(known, touches, rows, opts), eligible, ["merchantId"], "customerId", merchants, opts)
-    top = lookup_join(each_touch(known), cuts.df, keys, "customerId", cuts.rows, opts).filter(
-        F.col("n") >= F.col("cut")
-    )
-    low = lowest_weights(
-        top.select(*keys, "customerId", "avg_weight"), keys, cuts.largest, limits, opts, ws
+    eligible = touches.select("merchantId").distinct()
+
+    def of_eligible(df: DataFrame) -> DataFrame:
+        return lookup_join(df, eligible, ["merchantId"], "customerId", rows, opts, "left_semi")
+
+    versions = of_eligible(history.versions.filter(F.col("merchantId").isNotNull()))
+    most = versions.agg(F.max("n")).first()[0] or 0
+    moves = F.array(
+        F.struct(F.col("n").alias("n"), F.lit(1).alias("change")),
+        F.struct(F.col("n_before").alias("n"), F.lit(-1).alias("change")),
     )
-    times = touches.select(*keys, "chunk_id", "next_chunk")
-    placed = lookup_join(low, times, keys, "customerId", rows, opts)
+    moves = versions.select("merchantId", "chunk_id", F.inline(moves)).filter(F.col("n") > 0)
+    moves = moves.select("merchantId", "chunk_id", (F.lit(most) - F.col("n")).alias("code"), "change")
+    passes = (floor(limits.top_share * 10_000 + 1e-6) + 0.5) / 10_000  # rounded to 4 places
+    in_top = highest_place(limits.top_share, lambda before, total: F.round(percent(before, total), 4), passes)
+    cuts = value_over_time(moves, touches.select("merchantId", "chunk_id"), ["merchantId"], "chunk_id", most, in_top, ws)
+    cuts = ws.save(cuts.select("merchantId", "chunk_id", (F.lit(most) - F.col("code")).alias("cut")), "cuts")
+
+    # Average weights by their place among all of them, nulls as the lowest.
+    weights = ws.save(of_eligible(weights), "weights")
+    values = global_sequence(weights.filter(F.col("avg_weight").isNotNull()).select("avg_weight").distinct(), ["avg_weight"], ws)
+    values = ws.save(values.withColumnRenamed("seq", "code"), "values")
+    heaviest = values.count()
+    weights = lookup_join(weights, values, ["avg_weight"], "customerId", heaviest, opts, "left")
+    weights = weights.select(*PAIR, F.coalesce("code", F.lit(0)).cast("long").alias("code"))
+
+    kinds = cuts.select("merchantId", "cut").distinct()
+    ends = kinds.groupBy("merchantId").agg(F.min("cut").alias("_low"), F.max("cut").alias("_high"))
+    risen = versions.filter(F.col("customerId").isNotNull()).select("chunk_id", "n", "n_before", *PAIR)
+    risen = lookup_join(risen, ends, ["merchantId"], "customerId", rows, opts)
+    low, high = F.greatest(F.col("n_before") + 1, F.col("_low")), F.least("n", "_high")
+    risen = risen.withColumns({"_from": low, "_to": high}).filter(F.col("_from") <= F.col("_to")).join(weights, list(PAIR))
+    risen = risen.select("chunk_id", *PAIR, "code", F.explode(F.sequence("_from", "_to")).alias("cut"))
+    keys = ["merchantId", "cut"]
+    members = ws.save(lookup_join(risen, kinds, keys, "customerId", rows, opts, "left_semi"), "members")
+    in_bottom = highest_place(limits.bottom_share, percent, limits.bottom_share)
+    joined = members.withColumn("change", F.lit(1))
+    bounds = value_over_time(joined, cuts, keys, "chunk_id", heaviest, in_bottom, ws)
+    bounds = bounds.select(*keys, (F.col("chunk_id") - first).alias("_time"), F.col("code").alias("bound"))
+    bounds = Bounds(bounds, keys, rows, history.last_chunk - first, opts, ws)
+
+    members = members.select(*PAIR, "cut", "code", (F.col("chunk_id") - first).alias("_from"))
+    if firings is None:
+        fired = bounds.all_met(members)
+    else:
+        fired = bounds.met(members)
+        if firings > 1:
+            fired = ws.save(fired, "firings")
+            again = fired.withColumn("_from", F.col("_time") + 1).drop("_time")
+            fired = fired.unionByName(bounds.met(again))
+    fired = fired.select(*PAIR, (F.col("_time") + first).alias("chunk_id"))
+    times = touches.select("merchantId", "chunk_id", "next_chunk")
+    placed = lookup_join(fired, times, ["merchantId", "chunk_id"], "customerId", rows, opts)
     return to_detections(placed.select(*PAIR, *spans(history)), "upgrade", clock, scope=SPAN)
 
 
@@ -289,11 +269,14 @@ def version_intervals(
     opts: Options = Options(),
     ws: Workspace | None = None,
     patterns: tuple[str, ...] = PATTERNS,
+    firings: int | None = None,
 ) -> DataFrame:
-    """The same with an interval for each version that fires; intervals of one key do not overlap."""
+    """The same with an interval for each version that fires; intervals of one key do not overlap.
+
+    With `firings` (1 or 2) at least the first so many intervals of a key, and not all that follow."""
     ws = ws or Workspace(txns.sparkSession)
     weights = pair_weights(importance, opts) if "upgrade" in patterns else None
-    return intervals_of(build_history(txns, opts, ws), weights, limits, clock, opts, ws, patterns)
+    return intervals_of(build_history(txns, opts, ws), weights, limits, clock, opts, ws, patterns, firings)
 
 
 def intervals_of(
@@ -304,11 +287,12 @@ def intervals_of(
     opts: Options,
     ws: Workspace,
     patterns: tuple[str, ...] = PATTERNS,
+    firings: int | None = None,
 ) -> DataFrame:
     """Intervals of the chosen rules over a written history and average weights per pair."""
     found = []
     if "upgrade" in patterns:
-        found.append(upgrade_intervals(history, weights, limits, clock, opts, ws))
+        found.append(upgrade_intervals(history, weights, limits, clock, opts, ws, firings))
     if "child" in patterns:
         found.append(child_intervals(history, limits, clock, opts))
     if "gender_skew" in patterns:

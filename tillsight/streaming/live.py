@@ -445,7 +445,9 @@ class LiveDetector:
             if patterns:
                 before = self._pair_store().read(step, buckets).drop(BUCKET).withColumn(CHUNK, F.lit(first - 1).cast("long"))
                 history = history_of(new.unionByName(before.select(*new.columns)), ws)
-                held = intervals_of(history, weights, config.limits, clock, config.opts, ws, patterns)
+                # Where the first interval is that of the state before, which may be dropped, the second counts.
+                firings = 2 if config.emit_once else None
+                held = intervals_of(history, weights, config.limits, clock, config.opts, ws, patterns, firings)
                 found = self._reported(held, new, first)
         if not patterns:
             found = self._empty(DETECTIONS).withColumn(CHUNK, F.lit(None).cast("long"))
