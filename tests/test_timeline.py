@@ -89,3 +89,18 @@ def test_first_firings_write_no_row_per_touch(spark):
             got.setdefault(tuple(r[2:]), r[0])
         assert got == first
     assert max(saved.values()) <= 1_200 < len(held), saved
+
+
+@pytest.mark.parametrize("opts", [Options(), Options(broadcast_rows=0, salts=8)])
+def test_rows_of_every_chunk_are_dealt_by_their_number(spark, monkeypatch, opts):
+    """One merchant whose few customers fire, with rare touches, too: no task makes much more than its share."""
+    monkeypatch.setattr("tillsight.operators.lookup.TASK_ROWS", 300)
+    limits = Thresholds(5, top_share=1.0, bottom_share=0.5, max_avg_amount=5, min_pair_txns=3, min_female=10**9)
+    txns = spark.range(1600).selectExpr(
+        "(id div 4) * (1 + id div 800) chunk_id", "concat(\"'c\", id % 40, \"'\") customer", "\"'m'\" merchant", "'t' category", "1.0D amount", "'F' gender"
+    )
+    weights = spark.range(40).selectExpr("concat(\"'c\", id, \"'\") Source", "\"'m'\" Target", "cast(id as double) Weight", "'t' typeTrans")
+    for pattern in ("upgrade", "child"):
+        found = cumulative(txns, weights, limits, CLOCK, opts, None, (pattern,))
+        made = [r[1] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(made) > 10_000 and max(made) < 2_500, made

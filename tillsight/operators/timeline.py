@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tillsight.operators.lookup import lookup_join
+from tillsight.operators.lookup import lookup_join, tasks_for
 from tillsight.settings import Options
 from tillsight.workspace import Workspace
 
@@ -37,7 +37,8 @@ def highest_place(share: float, rank: Callable[[Column, Column], Column], about:
 def value_over_time(
     changes: DataFrame, asked: DataFrame, keys: list[str], time: str, top: int, place: Callable[[Column], Column], ws: Workspace
 ) -> DataFrame:
-    """`asked` (keys and time) with `code`, the value at a place of those there at the time, lowest first.
+    """`asked` (keys, time and what else it has) with `code`, the value at a place of those there at the time,
+    lowest first.
 
     `changes` tell at which time how many of a `code` from 0 to `top` come (`change` above 0) or go. Rows without
     a value at that place are dropped."""
@@ -75,16 +76,22 @@ def value_over_time(
 
 
 class Bounds:
-    """Bounds of groups over time: rows of keys, `_time` from 0 to `last` and `bound`, one per time and group at most."""
+    """Bounds of groups over time: rows of keys, `_time` from 0 to `last` and `bound`, one per time and group at most.
+
+    With `_until` among them, a bound is that of all times from `_time` to there."""
 
     def __init__(self, bounds: DataFrame, keys: list[str], rows: int, last: int, opts: Options, ws: Workspace):
-        self.keys, self.rows, self.opts = keys, rows, opts
+        self.keys, self.rows, self.opts, self.ws = keys, rows, opts, ws
         self.height = max(1, -(-last.bit_length() // TIME_BITS))
-        self.levels, nodes = [], bounds.select(*keys, F.col("_time").alias("_node"), F.col("bound").alias("_top"))
-        for _ in range(self.height):
-            kid = F.struct(F.col("_node").bitwiseAND((1 << TIME_BITS) - 1).alias("place"), F.col("_top").alias("top"))
+        until = F.col("_until") if "_until" in bounds.columns else F.col("_time")
+        nodes = bounds.select(*keys, F.col("_time").alias("_node"), F.col("bound").alias("_top"), until.alias("_until"))
+        self.levels = []
+        for level in range(self.height):
+            kid = [F.col("_node").bitwiseAND((1 << TIME_BITS) - 1).alias("place"), F.col("_top").alias("top")]
+            lasting = [] if level else [F.sum(F.col("_until") - F.col("_node") + 1).alias("_lasting")]
+            kid = F.struct(*kid) if level else F.struct(*kid, F.col("_until").alias("until"))
             blocks = nodes.groupBy(*keys, F.shiftright("_node", TIME_BITS).alias("_block")).agg(
-                F.sort_array(F.collect_list(kid)).alias("_kids"), F.max("_top").alias("_top")
+                F.sort_array(F.collect_list(kid)).alias("_kids"), F.max("_top").alias("_top"), *lasting
             )
             self.levels.append(ws.save(blocks, "blocks"))
             nodes = self.levels[-1].select(*keys, F.col("_block").alias("_node"), "_top")
@@ -121,10 +128,23 @@ class Bounds:
         return rows.select(*columns, F.col("_node").alias("_time"))
 
     def all_met(self, rows: DataFrame) -> DataFrame:
-        """A row for every time from `_from` on at which the `code` is within the bound."""
+        """A row for every time from `_from` on at which the `code` is within the bound, with its `_until`.
+
+        Those of one row may be as many as there are times, so rows are dealt to tasks by blocks of times, with as
+        many tasks as the times that may come out need."""
         blocks = self.levels[0]
-        near = lookup_join(rows, blocks, self.keys, "customerId", self.rows, self.opts)
+        near = lookup_join(rows, self.highest, self.keys, "customerId", self.rows, self.opts)
+        near = near.filter(F.col("code") <= F.col("_highest")).drop("_highest")
+        tops = blocks.select(*self.keys, "_block", "_top", "_lasting")
+        near = lookup_join(near, tops, self.keys, "customerId", self.rows, self.opts)
         near = near.filter((F.col("code") <= F.col("_top")) & (F.col("_block") >= F.shiftright("_from", TIME_BITS)))
-        times = F.transform("_kids", lambda kid: F.struct((F.shiftleft("_block", TIME_BITS) + kid["place"]).alias("at"), kid["top"].alias("top")))
-        fit = F.filter(times, lambda t: (t["at"] >= F.col("_from")) & (t["top"] >= F.col("code")))
-        return near.select(*rows.columns, F.explode(F.transform(fit, lambda t: t["at"])).alias("_time"))
+        seen = Observation()
+        near = near.observe(seen, F.sum("_lasting").alias("rows")).select(*rows.columns, "_block")
+        near = self.ws.save(near, "near")
+        kids = blocks.select(*self.keys, "_block", "_kids")
+        on = [*self.keys, "_block"]
+        near = lookup_join(near, kids, on, "customerId", self.rows, self.opts, tasks=tasks_for(seen.get.get("rows")))
+        start = F.shiftleft("_block", TIME_BITS)
+        fit = F.filter("_kids", lambda kid: (start + kid["place"] >= F.col("_from")) & (kid["top"] >= F.col("code")))
+        times = F.transform(fit, lambda kid: F.struct((start + kid["place"]).alias("_time"), kid["until"].alias("_until")))
+        return near.select(*rows.columns, F.inline(times))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.rows import to_detections
-from tillsight.operators.lookup import lookup_join
+from tillsight.operators.lookup import lookup_join, tasks_for
 from tillsight.operators.ordering import global_sequence
 from tillsight.operators.pairs import (
     MERGE,
@@ -192,8 +192,9 @@ def upgrade_intervals(
     moves = moves.select("merchantId", "chunk_id", (F.lit(most) - F.col("n")).alias("code"), "change")
     passes = (floor(limits.top_share * 10_000 + 1e-6) + 0.5) / 10_000  # rounded to 4 places
     in_top = highest_place(limits.top_share, lambda before, total: F.round(percent(before, total), 4), passes)
-    cuts = value_over_time(moves, touches.select("merchantId", "chunk_id"), ["merchantId"], "chunk_id", most, in_top, ws)
-    cuts = ws.save(cuts.select("merchantId", "chunk_id", (F.lit(most) - F.col("code")).alias("cut")), "cuts")
+    times = touches.select("merchantId", "chunk_id", "next_chunk")
+    cuts = value_over_time(moves, times, ["merchantId"], "chunk_id", most, in_top, ws)
+    cuts = ws.save(cuts.select(*times.columns, (F.lit(most) - F.col("code")).alias("cut")), "cuts")
 
     # Average weights by their place among all of them, nulls as the lowest.
     weights = ws.save(of_eligible(weights), "weights")
@@ -215,20 +216,20 @@ def upgrade_intervals(
     in_bottom = highest_place(limits.bottom_share, percent, limits.bottom_share)
     joined = members.withColumn("change", F.lit(1))
     bounds = value_over_time(joined, cuts, keys, "chunk_id", heaviest, in_bottom, ws)
-    bounds = bounds.select(*keys, (F.col("chunk_id") - first).alias("_time"), F.col("code").alias("bound"))
+    began, ended = [(c - first).alias(name) for c, name in zip(spans(history), ("_time", "_until"))]
+    bounds = bounds.select(*keys, began, ended, F.col("code").alias("bound"))
     bounds = Bounds(bounds, keys, rows, history.last_chunk - first, opts, ws)
 
     members = members.select(*PAIR, "cut", "code", (F.col("chunk_id") - first).alias("_from"))
     if firings is None:
-        fired = bounds.all_met(members)
-    else:
-        fired = bounds.met(members)
-        if firings > 1:
-            fired = ws.save(fired, "firings")
-            again = fired.withColumn("_from", F.col("_time") + 1).drop("_time")
-            fired = fired.unionByName(bounds.met(again))
+        ends = [(F.col(c) + first).alias(name) for c, name in zip(("_time", "_until"), SPAN)]
+        return to_detections(bounds.all_met(members).select(*PAIR, *ends), "upgrade", clock, scope=SPAN)
+    fired = bounds.met(members)
+    if firings > 1:
+        fired = ws.save(fired, "firings")
+        again = fired.withColumn("_from", F.col("_time") + 1).drop("_time")
+        fired = fired.unionByName(bounds.met(again))
     fired = fired.select(*PAIR, (F.col("_time") + first).alias("chunk_id"))
-    times = touches.select("merchantId", "chunk_id", "next_chunk")
     placed = lookup_join(fired, times, ["merchantId", "chunk_id"], "customerId", rows, opts)
     return to_detections(placed.select(*PAIR, *spans(history)), "upgrade", clock, scope=SPAN)
 
@@ -309,6 +310,18 @@ def cumulative(
     ws: Workspace | None = None,
     patterns: tuple[str, ...] = PATTERNS,
 ) -> DataFrame:
-    """The same with a row for every chunk."""
-    found = version_intervals(txns, importance, limits, clock, opts, ws, patterns)
+    """The same with a row for every chunk, dealt to as many tasks as these rows need."""
+    ws = ws or Workspace(txns.sparkSession)
+    history = build_history(txns, opts, ws)
+    found = []
+    if "upgrade" in patterns:
+        found.append(intervals_of(history, pair_weights(importance, opts), limits, clock, opts, ws, ("upgrade",)))
+    others = tuple(p for p in patterns if p != "upgrade")
+    if others:
+        seen = Observation()
+        lasting = F.sum(F.col("last_chunk") - F.col("first_chunk") + 1).alias("rows")
+        held = intervals_of(history, None, limits, clock, opts, ws, others).observe(seen, lasting)
+        held = ws.save(held, "held")
+        found.append(held.repartition(tasks_for(seen.get.get("rows")), *held.columns))
+    found = reduce(DataFrame.unionByName, found)
     return found.select(F.explode(F.sequence(*SPAN)).alias("chunk_id"), *[c for c in found.columns if c not in SPAN])
